@@ -122,8 +122,8 @@ def _escape(c, chars: str):
     return F.regexp_replace(c, f"([{chars}])", r"\\$1")
 
 
-def line_protocol(points: DataFrame, *, precision: int | None = None) -> DataFrame:
-    """Wide points -> one line-protocol text line per point:
+def line_expr(points: DataFrame, *, precision: int | None = None):
+    """Line-protocol text of a wide point row as a column expression:
     ``measurement,tag=v field=1.5,other=2.0 <epoch ns>``.
 
     Tags with a NULL or empty value are omitted; measurement and tag text
@@ -135,15 +135,21 @@ def line_protocol(points: DataFrame, *, precision: int | None = None) -> DataFra
     for t in tags:
         v = F.col(t)
         head.append(F.when(v.isNotNull() & (v != ""), F.concat(F.lit(f"{t}="), _escape(v, ", ="))))
-    if precision is None:
-        fmt = lambda c: F.col(c).cast("string")
-    else:
-        fmt = lambda c: F.format_string(f"%.{int(precision)}f", F.col(c))
+
+    def fmt(c):
+        if precision is None:
+            return F.col(c).cast("string")
+        return F.format_string(f"%.{int(precision)}f", F.col(c))
+
     body = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), fmt(c))) for c in fields]
-    line = F.concat_ws(
+    return F.concat_ws(
         " ",
         F.concat_ws(",", *head),
         F.concat_ws(",", *body),
         epoch_nanos("time").cast("string"),
     )
-    return points.select(line.alias("line"))
+
+
+def line_protocol(points: DataFrame, *, precision: int | None = None) -> DataFrame:
+    """Wide points -> one line-protocol text line per point (``line``)."""
+    return points.select(line_expr(points, precision=precision).alias("line"))
