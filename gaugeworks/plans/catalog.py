@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.control import ELAPSED_COLUMNS, HYDROPONIC_RULES, control_actions, elapsed_since_action
 from ..operators.parse import clean_readings, parse_readings
 from ..operators.points import line_protocol, points_long, raw_points, window_points
 from ..operators.readings import latest_readings, with_plant_activity, with_schedule, with_status_line
@@ -319,3 +320,17 @@ def q_latest_readings(spark, sf_dir):
         *[F.when(F.col("event_type") == F.lit(t), F.col("value")).alias(t) for t in EVENT_TYPES],
     )
     return latest_readings(w, EVENTS, tiebreak="event_id")
+
+
+# --- R6 / R7: control actions and elapsed seconds -------------------------
+@register("control_actions", S.control_actions_sql(HYDROPONIC_RULES, S.events_hydro_sql()))
+def q_control_actions(spark, sf_dir):
+    acts = control_actions(_events_hydro(spark, sf_dir), HYDROPONIC, HYDROPONIC_RULES, tiebreak="event_id")
+    return ntz(rounded(acts))
+
+
+@register("elapsed_since_action", S.elapsed_sql(HYDROPONIC_RULES, S.events_hydro_sql(), ELAPSED_COLUMNS))
+def q_elapsed_since_action(spark, sf_dir):
+    h = _events_hydro(spark, sf_dir)
+    out = elapsed_since_action(h, HYDROPONIC, HYDROPONIC_RULES, tiebreak="event_id")
+    return ntz(out.select("system_id", "event_id", "event_time", *ELAPSED_COLUMNS.values()))

@@ -136,3 +136,79 @@ def health_sql(cte: str, spec: PipelineSpec, window: str, by=None) -> str:
 
 
 ANALYSIS_SQL = {"basic": basic_sql, "anomaly": anomaly_sql, "health": health_sql}
+
+
+# --- control actions: greedy cooldown chains as a recursive query --------
+def _rule_sql(r) -> tuple[str, str]:
+    conds = []
+    if r.below is not None:
+        conds.append(f"{r.sensor} < {r.below!r}")
+    if r.above is not None:
+        conds.append(f"{r.sensor} > {r.above!r}")
+    cond = "(" + " OR ".join(conds) + f") AND NOT isnan({r.sensor})"
+    if r.below is not None:
+        act = f"CASE WHEN {r.sensor} < {r.below!r} THEN '{r.low_action or r.name}' ELSE '{r.high_action or r.name}' END"
+    else:
+        act = f"'{r.high_action or r.name}'"
+    return cond, act
+
+
+def control_chain_sql(rules, readings_cte: str) -> str:
+    """CTEs ``r`` (readings in epoch micros), ``o`` (clock starts), ``e``
+    (broken thresholds) and ``chain`` (each rule's actions, recursively:
+    the next action is the first broken threshold more than a cooldown
+    after the previous one)."""
+    sensors = sorted({r.sensor for r in rules})
+    elig = []
+    for rule in rules:
+        cond, act = _rule_sql(rule)
+        elig.append(
+            f"SELECT system_id, event_id AS tb, t, '{rule.name}' AS rule, {act} AS action, "
+            f"{rule.sensor} AS value FROM r WHERE {cond}"
+        )
+    starts = "\n  UNION ALL ".join(
+        f"SELECT system_id, '{rule.name}' AS rule, {int(round(rule.cooldown * 1e6))} AS cd, origin AS t, -1 AS tb FROM o"
+        for rule in rules
+    )
+    return (
+        "WITH RECURSIVE h AS (\n  " + readings_cte + "\n),\n"
+        "r AS (SELECT system_id, event_id, event_time, epoch_us(event_time) AS t, " + ", ".join(sensors)
+        + " FROM h WHERE event_time IS NOT NULL),\n"
+        "o AS (SELECT system_id, min(t) AS origin FROM r GROUP BY system_id),\n"
+        "e AS (\n  " + "\n  UNION ALL ".join(elig) + "\n),\n"
+        "chain(system_id, rule, cd, t, tb) AS (\n  " + starts + "\n  UNION ALL\n"
+        "  SELECT c.system_id, c.rule, c.cd, n.t, n.tb FROM chain c, LATERAL (\n"
+        "    SELECT e.t, e.tb FROM e WHERE e.system_id = c.system_id AND e.rule = c.rule AND e.t > c.t + c.cd\n"
+        "    ORDER BY e.t, e.tb LIMIT 1) n\n)"
+    )
+
+
+def control_actions_sql(rules, readings_cte: str) -> str:
+    return (
+        control_chain_sql(rules, readings_cte)
+        + "\nSELECT c.system_id, c.rule, e.action, make_timestamp(c.t) AS event_time, "
+        + r("e.value")
+        + " AS value, c.tb\n"
+        "FROM chain c JOIN e ON c.system_id = e.system_id AND c.rule = e.rule AND c.t = e.t AND c.tb = e.tb"
+    )
+
+
+def elapsed_sql(rules, readings_cte: str, columns: dict[str, str]) -> str:
+    """Seconds since the last action (or clock start) per rule, by an
+    as-of join on (time, tie-break) packed into one ordered key."""
+    key = "CAST({a}.t AS HUGEINT) * 10000000000 + ({a}.{tb} + 1)"
+    joins, outs = [], []
+    for i, rule in enumerate(rules):
+        a = f"a{i}"
+        joins.append(
+            f"ASOF LEFT JOIN (SELECT system_id, t, tb, {key.format(a='chain', tb='tb')} AS k FROM chain "
+            f"WHERE rule = '{rule.name}') {a}\n  ON r.system_id = {a}.system_id AND {key.format(a='r', tb='event_id')} >= {a}.k"
+        )
+        outs.append(f"CAST((r.t - {a}.t) // 1000000 AS INTEGER) AS {columns[rule.name]}")
+    return (
+        control_chain_sql(rules, readings_cte)
+        + "\nSELECT r.system_id, r.event_id, r.event_time, "
+        + ", ".join(outs)
+        + "\nFROM r\n"
+        + "\n".join(joins)
+    )
