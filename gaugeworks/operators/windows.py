@@ -153,8 +153,9 @@ def flatten_window(df: DataFrame, name: str = "window") -> DataFrame:
     """Replace the ``window`` struct by ``window_start`` / ``window_end``."""
     cols = []
     for c in df.columns:
+        q = "`" + c.replace("`", "``") + "`"
         if c == name:
-            cols += [F.col(f"{name}.start").alias(f"{name}_start"), F.col(f"{name}.end").alias(f"{name}_end")]
+            cols += [f"{q}.start AS `{name}_start`", f"{q}.end AS `{name}_end`"]
         else:
-            cols.append(F.col(c))
-    return df.select(*cols)
+            cols.append(q)
+    return df.selectExpr(*cols)

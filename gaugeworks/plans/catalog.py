@@ -39,24 +39,30 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def round_half_up(c, digits: int = S.DIGITS):
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def round_half_up_sql(c: str, digits: int = S.DIGITS) -> str:
     """``floor(x * 10^d + 0.5) / 10^d`` for |x| < 1e12 (NaN, +/-Inf and
     larger values pass through).  Plain IEEE operations, so Spark and the
     SQL oracle produce bit-identical doubles from identical inputs."""
-    scale = float(10**digits)
-    return F.when(
-        F.abs(c) < F.lit(S.ROUND_LIMIT),
-        F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale),
-    ).otherwise(c)
+    scale = f"{float(10**digits)!r}D"
+    return (
+        f"CASE WHEN abs({c}) < {S.ROUND_LIMIT!r}D "
+        f"THEN CAST(floor({c} * {scale} + 0.5D) AS DOUBLE) / {scale} ELSE {c} END"
+    )
 
 
 def rounded(df: DataFrame, digits: int = S.DIGITS) -> DataFrame:
-    """Round every double column (presentation for the oracle compare)."""
-    return df.select(
+    """Round every double column (presentation for the oracle compare);
+    one projection built from SQL text, so plan building costs a single
+    round trip to the JVM."""
+    return df.selectExpr(
         *[
-            round_half_up(F.col(f.name), digits).alias(f.name)
+            f"{round_half_up_sql(_q(f.name), digits)} AS {_q(f.name)}"
             if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
+            else _q(f.name)
             for f in df.schema.fields
         ]
     )
@@ -64,16 +70,30 @@ def rounded(df: DataFrame, digits: int = S.DIGITS) -> DataFrame:
 
 def ntz(df: DataFrame) -> DataFrame:
     """Present timestamps as TIMESTAMP_NTZ (UTC wall clock), like the oracle."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("timestamp_ntz").alias(f.name)
+            f"CAST({_q(f.name)} AS TIMESTAMP_NTZ) AS {_q(f.name)}"
             if isinstance(f.dataType, T.TimestampType)
-            else F.col(f.name)
+            else _q(f.name)
             for f in df.schema.fields
         ]
     )
 
 
+def present(df: DataFrame, digits: int = S.DIGITS) -> DataFrame:
+    """``rounded`` + ``ntz`` in one projection."""
+    exprs = []
+    for f in df.schema.fields:
+        c = _q(f.name)
+        if isinstance(f.dataType, T.DoubleType):
+            exprs.append(f"{round_half_up_sql(c, digits)} AS {c}")
+        elif isinstance(f.dataType, T.TimestampType):
+            exprs.append(f"CAST({c} AS TIMESTAMP_NTZ) AS {c}")
+        else:
+            exprs.append(c)
+    return df.selectExpr(*exprs)
+
+
 def _events_wide(spark, sf_dir):
     ensure_utc(spark)
     return events_wide(table(spark, sf_dir, "events"))
@@ -94,7 +114,7 @@ def _analysis(kind: str, source, spec, window: str, by=None):
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = op(source(spark, sf_dir), spec, window, by=by or ())
-        return ntz(rounded(flatten_window(out)))
+        return present(flatten_window(out))
 
     return build
 
@@ -156,7 +176,7 @@ def _events_envelope(spark, sf_dir):
 )
 def q_parse_readings(spark, sf_dir):
     parsed = parse_readings(_events_envelope(spark, sf_dir), EVENTS)
-    return ntz(rounded(parsed))
+    return present(parsed)
 
 
 @register(
@@ -183,7 +203,7 @@ _RAW_FIELDS = list(EVENT_TYPES) + ["plant_activity"]
 )
 def q_raw_points_long(spark, sf_dir):
     pts = raw_points(_events_wide(spark, sf_dir), EVENTS)
-    return ntz(rounded(points_long(pts)))
+    return present(points_long(pts))
 
 
 def _basic_fields(spec) -> list[str]:
@@ -207,7 +227,7 @@ def _basic_fields(spec) -> list[str]:
 def q_window_points_long(spark, sf_dir):
     out = ANALYSES["basic"](_events_wide(spark, sf_dir), EVENTS, "5 minutes")
     pts = window_points(rounded(out), EVENTS.with_(system_col="__none__"), measurement_name("basic", "5 minutes"))
-    return ntz(points_long(pts))
+    return present(points_long(pts))
 
 
 def _line_sql() -> str:
@@ -326,11 +346,11 @@ def q_latest_readings(spark, sf_dir):
 @register("control_actions", S.control_actions_sql(HYDROPONIC_RULES, S.events_hydro_sql()))
 def q_control_actions(spark, sf_dir):
     acts = control_actions(_events_hydro(spark, sf_dir), HYDROPONIC, HYDROPONIC_RULES, tiebreak="event_id")
-    return ntz(rounded(acts))
+    return present(acts)
 
 
 @register("elapsed_since_action", S.elapsed_sql(HYDROPONIC_RULES, S.events_hydro_sql(), ELAPSED_COLUMNS))
 def q_elapsed_since_action(spark, sf_dir):
     h = _events_hydro(spark, sf_dir)
     out = elapsed_since_action(h, HYDROPONIC, HYDROPONIC_RULES, tiebreak="event_id")
-    return ntz(out.select("system_id", "event_id", "event_time", *ELAPSED_COLUMNS.values()))
+    return present(out.select("system_id", "event_id", "event_time", *ELAPSED_COLUMNS.values()))

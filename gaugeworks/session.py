@@ -51,6 +51,8 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # no Python call-site capture per Column: plan building is ~3x cheaper
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if scratch:
         b = b.config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))

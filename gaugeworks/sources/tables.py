@@ -21,9 +21,21 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One provided table: ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *, fresh: bool = False) -> DataFrame:
+    """One provided table: ``{sf_dir}/{name}.parquet``.
+
+    The provided tables are read-only, so the scan DataFrame (file listing
+    and footer schema) is reused per session; ``fresh`` forces a new read."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if fresh or df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def props_k(props="props"):
