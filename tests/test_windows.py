@@ -71,7 +71,7 @@ def test_health_without_sensor_raises(spark):
 
 @pytest.fixture(scope="module")
 def events_sf(spark):
-    return events_wide(table(spark, SF_SMALL, "events")).cache()
+    return events_wide(table(spark, SF_SMALL, "events"))
 
 
 def test_properties_over_events(spark, events_sf):
