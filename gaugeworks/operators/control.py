@@ -371,3 +371,127 @@ def elapsed_since_action(
         for n in names
     }
     return joined.withColumns(elapsed).select(*df.columns, *elapsed.keys())
+
+
+# --- streaming form ------------------------------------------------------
+def _stream_state_schema(rules) -> str:
+    return ", ".join(["origin long", "seen long"] + [f"last_{i} long" for i in range(len(rules))])
+
+
+def control_stream(
+    df: DataFrame,
+    spec: PipelineSpec,
+    rules=HYDROPONIC_RULES,
+    *,
+    emit: str = "actions",
+    tiebreak: str | None = None,
+    watermark: str | None = None,
+) -> DataFrame:
+    """Streaming control actions (``emit='actions'``) or readings with
+    elapsed seconds per rule (``emit='elapsed'``).
+
+    ``applyInPandasWithState`` grouped by system keeps O(1) state per system
+    (clock start, newest time seen, last action time per rule).  Each
+    micro-batch's rows of a system are sorted by time and replayed from the
+    stored state; rows older than the watermark are dropped by Spark, rows
+    older than a system's last action cannot fire (as in an ordered batch
+    they would have come earlier).  On in-order input the result equals
+    ``control_actions`` / ``elapsed_since_action``."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    if emit not in ("actions", "elapsed"):
+        raise ValueError("emit must be 'actions' or 'elapsed'")
+    sys_c, time_c = spec.system_col, spec.time_col
+    sys_type = df.schema[sys_c].dataType.simpleString()
+    cds = [int(round(r.cooldown * MICROS)) for r in rules]
+    names = [r.name for r in rules]
+    out_cols = [ELAPSED_COLUMNS.get(n, f"since_{n}") for n in names]
+    sensors = sorted({r.sensor for r in rules})
+    tb = F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")
+    src = df
+    if df.isStreaming:
+        delay = spec.watermark if watermark is None else watermark
+        if delay:
+            src = src.withWatermark(time_c, delay)
+    flags = []
+    for i, r in enumerate(rules):
+        flags += [r.condition().alias(f"__hit{i}"), r.action().alias(f"__act{i}")]
+    rows = src.where(F.col(time_c).isNotNull()).select(
+        F.col(sys_c).alias("sys"),
+        F.unix_micros(F.col(time_c).cast("timestamp")).alias("t"),
+        tb.alias("tb"),
+        *[F.col(s).cast("double").alias(s) for s in sensors],
+        *flags,
+        F.col(time_c).alias("__time"),
+    )
+    if emit == "actions":
+        out_schema = f"sys {sys_type}, rule string, action string, t long, value double, tb long"
+    else:
+        out_schema = f"sys {sys_type}, t long, tb long, " + ", ".join(f"{c} int" for c in out_cols)
+
+    def step(key, pdfs, state):
+        frames = [p for p in pdfs if len(p)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values(["t", "tb"], kind="mergesort").reset_index(drop=True)
+        t = pdf["t"].to_numpy(np.int64)
+        if state.exists:
+            st = list(state.get)
+        else:
+            st = [int(t[0]), int(t[0])] + [int(t[0])] * len(rules)
+        origin, seen = st[0], st[1]
+        acts, last_times = [], []
+        for i, r in enumerate(rules):
+            hit = pdf[f"__hit{i}"].fillna(False).to_numpy(bool) & (t >= seen)
+            idx = np.flatnonzero(hit)
+            te = t[idx]
+            last = st[2 + i]
+            chain = []
+            j = int(np.searchsorted(te, last + cds[i], side="right"))
+            while j < len(te):
+                chain.append(j)
+                j = int(np.searchsorted(te, te[j] + cds[i], side="right"))
+            fired = idx[chain]
+            if len(fired):
+                st[2 + i] = int(t[fired[-1]])
+            acts.append((r, fired))
+            last_times.append((last, fired))
+        st[1] = max(seen, int(t[-1]))
+        state.update(tuple(st))
+        if emit == "actions":
+            out = []
+            for i, (r, fired) in enumerate(acts):
+                if len(fired):
+                    out.append(
+                        pd.DataFrame(
+                            {
+                                "sys": pdf["sys"].iloc[fired].to_numpy(),
+                                "rule": r.name,
+                                "action": pdf[f"__act{i}"].iloc[fired].to_numpy(),
+                                "t": t[fired],
+                                "value": pdf[r.sensor].iloc[fired].to_numpy(),
+                                "tb": pdf["tb"].iloc[fired].to_numpy(),
+                            }
+                        )
+                    )
+            if out:
+                yield pd.concat(out, ignore_index=True)
+            return
+        res = pd.DataFrame({"sys": pdf["sys"].to_numpy(), "t": t, "tb": pdf["tb"].to_numpy()})
+        rows_idx = np.arange(len(t))
+        for (prev, fired), col in zip(last_times, out_cols):
+            # last action at or before each row (in time, tie-break order):
+            # this batch's actions, else the stored state
+            pos = np.searchsorted(fired, rows_idx, side="right") - 1
+            last_t = np.where(pos >= 0, t[fired[np.maximum(pos, 0)]] if len(fired) else prev, prev)
+            res[col] = ((t - last_t) // MICROS).astype("int32")
+        yield res
+
+    out = rows.groupBy("sys").applyInPandasWithState(
+        step, out_schema, _stream_state_schema(rules), "append", GroupStateTimeout.NoTimeout
+    )
+    if emit == "actions":
+        return out.select(
+            F.col("sys").alias(sys_c), "rule", "action", F.timestamp_micros("t").alias(time_c), "value", "tb"
+        )
+    return out.select(F.col("sys").alias(sys_c), F.timestamp_micros("t").alias(time_c), "tb", *out_cols)

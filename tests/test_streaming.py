@@ -128,3 +128,50 @@ def test_restart_after_sink_failure_is_exactly_once(spark, tmpdir_new):
     rows = spark.read.parquet(out).select(F.unix_seconds("time").alias("end")).collect()
     ends = sorted(r.end for r in rows)
     assert ends == [300, 600, 900]
+
+
+def test_streaming_control_equals_batch(spark, tmpdir_new):
+    from gaugeworks.operators.control import control_actions, control_stream, elapsed_since_action
+    from gaugeworks.spec import HYDROPONIC
+
+    src = os.path.join(tmpdir_new, "in")
+    os.makedirs(src)
+    schema = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("timestamp", pa.timestamp("us", tz="UTC"))])
+    import random
+
+    rnd = random.Random(3)
+    t = 1_704_067_200  # 2024-01-01
+    for b in range(5):
+        keys, vals, ts = [], [], []
+        for _ in range(60):
+            t += rnd.choice([5, 60, 200, 400])
+            sysid = rnd.choice([b"a", b"b"])
+            doc = {"timestamp": t * 1000, "sensors": {"water_level_percent": rnd.uniform(20, 40),
+                   "water_ph": rnd.uniform(5.5, 6.5), "ec_tds": rnd.uniform(1.1, 1.5)}}
+            keys.append(sysid); vals.append(json.dumps(doc).encode()); ts.append(t * 1_000_000)
+        f = os.path.join(src, f"batch-{b:03d}.parquet")
+        pq.write_table(pa.table({"key": keys, "value": vals, "timestamp": pa.array(ts, pa.timestamp("us", tz="UTC"))}, schema=schema), f)
+        os.utime(f, (1_700_000_000 + 10 * b, 1_700_000_000 + 10 * b))
+
+    from gaugeworks.operators.parse import with_system_id
+
+    def parsed(stream):
+        p = parse_readings(read_envelope_files(spark, src, stream=stream, max_files_per_trigger=1 if stream else None), HYDROPONIC)
+        return with_system_id(p, HYDROPONIC)
+
+    out_a, out_e = os.path.join(tmpdir_new, "acts"), os.path.join(tmpdir_new, "el")
+    for emit, out in (("actions", out_a), ("elapsed", out_e)):
+        q = (
+            control_stream(parsed(True), HYDROPONIC, emit=emit, watermark="1 hour")
+            .writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", out + "_cp").outputMode("append")
+            .trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+    got = sorted((r.system_id, r.rule, r.action, r.event_time) for r in spark.read.parquet(out_a).collect())
+    exp = sorted((r.system_id, r.rule, r.action, r.event_time) for r in control_actions(parsed(False), HYDROPONIC).collect())
+    assert got == exp and len(exp) > 10
+    gel = sorted((r.system_id, r.event_time, r.last_refill, r.last_ph_adjust, r.last_nutrient_dose) for r in spark.read.parquet(out_e).collect())
+    eel = sorted((r.system_id, r.event_time, r.last_refill, r.last_ph_adjust, r.last_nutrient_dose)
+                 for r in elapsed_since_action(parsed(False), HYDROPONIC).collect())
+    assert gel == eel
