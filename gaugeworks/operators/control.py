@@ -10,18 +10,20 @@ timeline into time chunks so a hot system is spread over many tasks:
 1. *eligible rows*: one scan emits a row per (reading, rule) whose
    threshold is broken, plus one virtual "clock start" row per system and
    rule at its first reading;
-2. *chunk summaries* (per system, rule, chunk): inside a
-   chunk the greedy chain from any starting row is fixed, so for every row
-   that could be the chunk's first action (rows within one cooldown of the
-   chunk start, and the first row after) we record where its chain ends;
-3. *composition* (per system and rule, over the small
-   summaries only): walk the chunks in order and pick each chunk's entry
-   state (time of the last action before it);
-4. *expansion* (per system, rule, chunk): replay each chunk's
-   chain from its entry state and emit the actions.
+2. *chunk functions* (per system, rule, chunk): inside a chunk the greedy
+   chain from any starting row is fixed, so for every row that could be
+   the chunk's first action (rows within one cooldown of the chunk start,
+   and the first row after) we record where its chain ends;
+3. *composition tree*: consecutive chunk functions are folded ``fan_in``
+   at a time, level by level (bottom-up), then each node's entry state
+   (time of the last action before it) is resolved top-down;
+4. *expansion* (per system, rule, chunk): replay each chunk's chain from
+   its entry state and emit the actions.
 
 Raw readings are never gathered per system: steps 2 and 4 hold one chunk,
-step 3 holds at most one cooldown's worth of eligible rows per chunk.
+every group of step 3 holds at most ``fan_in`` nodes of about one
+cooldown of eligible rows each.  Every step is a vectorised
+``mapInPandas`` over an explicit ``repartition`` by its group key.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..spec import PipelineSpec
 
 MICROS = 1_000_000
@@ -197,40 +200,135 @@ def _summarise(cds, chunk_us):
         # candidates: every row within one cooldown of the chunk start, and the first row after
         m = c.first_after(c.cd)
         keep = (idx <= m) & (idx < c.gend)
-        out = c.pdf.loc[keep, ["sys", "rule", "chunk"]].copy()
+        out = c.pdf.loc[keep, ["sys", "rule", "chunk"]].rename(columns={"chunk": "node"})
         out["cand_t"] = c.t[keep]
         out["exit_t"] = c.t[end[keep]]
+        out["fb_t"] = pd.array([None] * len(out), dtype="Int64")
         yield out
 
     return run
 
 
-def _compose(cds):
+# A *node* is the step function "entry state -> state after a run of
+# consecutive chunks": its candidate rows ``cand_t`` (the first chunk's
+# possible first actions) each with ``exit_t`` (last action time after the
+# run), and ``fb_t``, the result when no candidate fires (NULL: unchanged,
+# which only a single-chunk node can do).  Entry ``None`` means no earlier
+# action at all, so the first row fires.
+
+
+def _node_eval(cand: np.ndarray, exit_t: np.ndarray, fb, last, cd: int):
+    if last is None:
+        return int(exit_t[0])
+    j = int(np.searchsorted(cand, last + cd, side="right"))
+    if j < len(cand):
+        return int(exit_t[j])
+    return last if fb is None else int(fb)
+
+
+def _nodes(pdf: pd.DataFrame, group_cols: list[str]):
+    """Yield ``(first row index, [(node, cand, exit, fb), ...])`` per group,
+    nodes in order; ``pdf`` must come sorted by ``_node_order``."""
+    cand = pdf["cand_t"].to_numpy(np.int64)
+    exit_t = pdf["exit_t"].to_numpy(np.int64)
+    fb = pdf["fb_t"].to_numpy(dtype="float64", na_value=np.nan)
+    node = pdf["node"].to_numpy(np.int64)
+    gid = pdf.groupby(group_cols, sort=False).ngroup().to_numpy(np.int64)
+    brk = np.flatnonzero(np.r_[True, (gid[1:] != gid[:-1]) | (node[1:] != node[:-1]), True]).tolist()
+    gid_l, node_l, fb_l = gid.tolist(), node.tolist(), fb.tolist()
+    cur, items = None, []
+    for a, b in zip(brk[:-1], brk[1:]):
+        if items and gid_l[a] != gid_l[cur]:
+            yield cur, items
+            items = []
+        if not items:
+            cur = a
+        f = fb_l[a]
+        items.append((node_l[a], cand[a:b], exit_t[a:b], None if f != f else int(f)))
+    if items:
+        yield cur, items
+
+
+def _node_order(pdf: pd.DataFrame, group_cols: list[str]) -> pd.DataFrame:
+    return pdf.sort_values(group_cols + ["node", "cand_t"], kind="mergesort").reset_index(drop=True)
+
+
+def _compose_up(cds, fan_in: int):
+    """Fold up to ``fan_in`` consecutive child nodes into their parent."""
+
     def run(it):
         pdf = _whole_partition(it)
         if pdf is None:
             return
-        pdf = pdf.sort_values(["sys", "rule", "chunk", "cand_t"], kind="mergesort").reset_index(drop=True)
-        cand = pdf["cand_t"].to_numpy(np.int64)
-        exit_t = pdf["exit_t"].to_numpy(np.int64)
-        cd_row = pdf["rule"].map(cds).to_numpy(np.int64)
-        grp = pdf.groupby(["sys", "rule"], sort=False).ngroup().to_numpy(np.int64)
-        chk = pdf["chunk"].to_numpy(np.int64)
-        # chunk boundaries inside the sorted frame
-        starts = np.flatnonzero(np.r_[True, (grp[1:] != grp[:-1]) | (chk[1:] != chk[:-1])])
-        ends = np.r_[starts[1:], len(pdf)]
-        entry = np.empty(len(starts), dtype=object)
-        last, prev_g = None, None
-        for k, (a, b) in enumerate(zip(starts, ends)):
-            if grp[a] != prev_g:
-                last, prev_g = None, grp[a]
-            entry[k] = last
-            j = a if last is None else a + int(np.searchsorted(cand[a:b], last + cd_row[a], side="right"))
-            if j < b:
-                last = int(exit_t[j])
-        out = pdf.loc[starts, ["sys", "rule", "chunk"]].reset_index(drop=True)
-        out["entry_t"] = pd.array(list(entry), dtype="Int64")
-        yield out
+        pdf = _node_order(pdf, ["sys", "rule", "parent"])
+        rule = pdf["rule"].tolist()
+        parent = pdf["parent"].tolist()
+        take, cands, exits, fbs, parents = [], [], [], [], []
+        for first, items in _nodes(pdf, ["sys", "rule", "parent"]):
+            cd = cds[rule[first]]
+            _, cand, exit_t, fb = items[0]
+            exit_t = exit_t.copy()
+            for _, c2, e2, f2 in items[1:]:
+                j = np.searchsorted(c2, exit_t + cd, side="right")
+                tail = exit_t if f2 is None else np.full_like(exit_t, f2)
+                exit_t = np.where(j < len(c2), e2[np.minimum(j, len(c2) - 1)], tail)
+                fb = int(e2[0]) if fb is None else _node_eval(c2, e2, f2, fb, cd)
+            n = len(cand)
+            take.append(np.full(n, first))
+            cands.append(cand)
+            exits.append(exit_t)
+            fbs.append(np.full(n, -1 if fb is None else fb, dtype=np.int64))
+            parents.append(np.full(n, parent[first], dtype=np.int64))
+        if not take:
+            return
+        rows = np.concatenate(take)
+        fb_all = np.concatenate(fbs)
+        yield pd.DataFrame(
+            {
+                "sys": pdf["sys"].to_numpy()[rows],
+                "rule": pdf["rule"].to_numpy()[rows],
+                "node": np.concatenate(parents),
+                "cand_t": np.concatenate(cands),
+                "exit_t": np.concatenate(exits),
+                # fallbacks are action times (>= 0); -1 marks "unchanged"
+                "fb_t": pd.Series(fb_all, dtype="Int64").where(fb_all >= 0),
+            }
+        )
+
+    return run
+
+
+def _entries_down(cds):
+    """Given each parent's entry state, walk its children in order."""
+
+    def run(it):
+        pdf = _whole_partition(it)
+        if pdf is None:
+            return
+        pdf = _node_order(pdf, ["sys", "rule", "parent"])
+        rule = pdf["rule"].tolist()
+        p_entry = pdf["p_entry"].to_numpy(dtype="float64", na_value=np.nan).tolist()
+        take, nodes, entries = [], [], []
+        for first, items in _nodes(pdf, ["sys", "rule", "parent"]):
+            cd = cds[rule[first]]
+            e = p_entry[first]
+            e = None if e != e else int(e)
+            for node, cand, exit_t, fb in items:
+                take.append(first)
+                nodes.append(node)
+                entries.append(e)
+                e = _node_eval(cand, exit_t, fb, e, cd)
+        if not take:
+            return
+        rows = np.asarray(take, dtype=np.int64)
+        yield pd.DataFrame(
+            {
+                "sys": pdf["sys"].to_numpy()[rows],
+                "rule": pdf["rule"].to_numpy()[rows],
+                "node": np.asarray(nodes, dtype=np.int64),
+                "entry_t": pd.array(entries, dtype="Int64"),
+            }
+        )
 
     return run
 
@@ -266,29 +364,60 @@ def control_actions(
     *,
     tiebreak: str | None = None,
     chunk: str = "1 hour",
+    fan_in: int = 256,
+    levels: int = 2,
 ) -> DataFrame:
     """Actions fired by the rules over a batch of readings.
 
     Output: ``system``, ``rule``, ``action``, ``event_time``, ``value``
     (the triggering reading) and ``tb`` (the tie-break value, 0 if none).
-    ``chunk`` sets the time-chunk length of the parallel plan; results do
-    not depend on it.
+    ``chunk`` sets the time-chunk length of the parallel plan (at least the
+    longest cooldown); results do not depend on it.  Chunk functions are
+    composed in a tree of ``levels`` levels folding ``fan_in`` consecutive
+    nodes each, so no task ever holds more than ``fan_in`` nodes of one
+    system (about one cooldown of eligible rows per node); only spans
+    beyond ``fan_in ** levels`` chunks add nodes to the per-system root.
 
     Each step is a ``mapInPandas`` over a partition hash-partitioned by its
     group key (explicit ``repartition``, which adaptive execution may merge
     but never splits), vectorised over all chunks of the partition."""
     chunk_us = _duration_micros(chunk)
     cds = _cooldowns(rules)
+    if max(cds.values()) > chunk_us:
+        raise ValueError("chunk must be at least as long as the longest cooldown")
     sys_type = df.schema[spec.system_col].dataType.simpleString()
-    elig = _eligible(df, spec, rules, tiebreak, chunk_us)
+    # read twice (chunk functions, expansion): materialise once
+    elig = materialize(_eligible(df, spec, rules, tiebreak, chunk_us))
     keys = ["sys", "rule", "chunk"]
-
-    summary = elig.repartition(*keys).mapInPandas(
-        _summarise(cds, chunk_us), f"sys {sys_type}, rule string, chunk long, cand_t long, exit_t long"
-    )
-    entries = summary.repartition("sys", "rule").mapInPandas(
-        _compose(cds), f"sys {sys_type}, rule string, chunk long, entry_t long"
+    node_schema = f"sys {sys_type}, rule string, node long, cand_t long, exit_t long, fb_t long"
+    entry_schema = f"sys {sys_type}, rule string, node long, entry_t long"
+
+    # level 0: one node per chunk
+    # every tree level is read twice (next level up, walk down): materialise
+    level = materialize(elig.repartition(*keys).mapInPandas(_summarise(cds, chunk_us), node_schema))
+    tree = [level]
+    for _ in range(levels):  # bottom-up: fold fan_in consecutive nodes
+        level = materialize(
+            level.withColumn("parent", F.floor(F.col("node") / F.lit(fan_in)).cast("long"))
+            .repartition("sys", "rule", "parent")
+            .mapInPandas(_compose_up(cds, fan_in), node_schema)
+        )
+        tree.append(level)
+    # top-down: the root of each (system, rule) starts with no earlier action
+    entries = (
+        tree[-1].withColumns({"parent": F.lit(0).cast("long"), "p_entry": F.lit(None).cast("long")})
+        .repartition("sys", "rule")
+        .mapInPandas(_entries_down(cds), entry_schema)
     )
+    for child in reversed(tree[:-1]):
+        parents = entries.select("sys", "rule", F.col("node").alias("parent"), F.col("entry_t").alias("p_entry"))
+        entries = (
+            child.withColumn("parent", F.floor(F.col("node") / F.lit(fan_in)).cast("long"))
+            .join(parents, ["sys", "rule", "parent"], "left")
+            .repartition("sys", "rule", "parent")
+            .mapInPandas(_entries_down(cds), entry_schema)
+        )
+    entries = entries.withColumnRenamed("node", "chunk")
     acts = (
         elig.join(entries, keys, "left")
         .repartition(*keys)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_utc(spark: SparkSession) -> None:
@@ -28,6 +29,24 @@ def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     return os.path.join(base, sub) if sub else base
 
 
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` of the session (or the context's), if any."""
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - remote sessions have no context
+        return None
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate that later steps read more than
+    once: a reliable ``checkpoint()`` into the cluster's shared
+    ``spark.checkpoint.dir`` when one is configured (survives executor
+    loss without recomputation), else ``persist(MEMORY_AND_DISK)``."""
+    if configured_checkpoint_dir(df.sparkSession):
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def local_session(
     app: str = "gaugeworks",
     *,
