@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import logging
 import os
+import time
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -74,15 +75,16 @@ def plan_streams(
     analyses=("basic", "anomaly", "health"),
     raw: bool = True,
     by=(),
-) -> dict[str, tuple[DataFrame, str]]:
-    """Name -> (streaming result, measurement) for every output."""
-    out: dict[str, tuple[DataFrame, str]] = {}
+) -> dict[str, tuple]:
+    """Name -> (builder of the streaming result, measurement) per output.
+    Builders are called lazily so one bad output cannot stop the others."""
+    out: dict[str, tuple] = {}
     if raw:
-        out["raw"] = (parsed, RAW_MEASUREMENT)
+        out["raw"] = (lambda: parsed, RAW_MEASUREMENT)
     for w in windows or spec.windows:
         for a in analyses:
             m = measurement_name(a, w)
-            out[m] = (ANALYSES[a](parsed, spec, w, by=by), m)
+            out[m] = (partial(ANALYSES[a], parsed, spec, w, by=by), m)
     return out
 
 
@@ -102,6 +104,8 @@ def start_streams(
 ) -> StreamSet:
     """Start one query per output and return them with start errors.
 
+    Building and starting each query is isolated: a failure is logged and
+    reported in ``StreamSet.errors`` and the other queries still start.
     Triggers are ``DataStreamWriter.trigger`` keyword dicts, e.g.
     ``{"processingTime": "5 seconds"}`` (default raw) /
     ``{"processingTime": "15 seconds"}`` (default windows), or
@@ -109,14 +113,15 @@ def start_streams(
     raw_trigger = raw_trigger or {"processingTime": "5 seconds"}
     window_trigger = window_trigger or {"processingTime": "15 seconds"}
     result = StreamSet()
-    for name, (df, measurement) in plan_streams(
+    for name, (build, measurement) in plan_streams(
         parsed, spec, windows=windows, analyses=analyses, raw=raw, by=by
     ).items():
         is_raw = name == "raw"
         fn = partial(_sink_raw if is_raw else _sink_window, spec=spec, measurement=measurement, sink=sink)
         try:
             q = (
-                df.writeStream.queryName(f"{query_prefix}{name}")
+                build()
+                .writeStream.queryName(f"{query_prefix}{name}")
                 .foreachBatch(fn)
                 .outputMode("append")
                 .option("checkpointLocation", os.path.join(checkpoint_base, name))
@@ -130,14 +135,19 @@ def start_streams(
     return result
 
 
-def run(spark: SparkSession, streams: StreamSet, timeout: float | None = None) -> None:
-    """Wait until any query ends (or ``timeout`` seconds), then stop the
-    rest in reverse start order; re-raise the first query failure."""
+def run(spark: SparkSession, streams: StreamSet, timeout: float | None = None, poll: float = 1.0) -> None:
+    """Wait until any of these queries ends (or ``timeout`` seconds), then
+    stop the rest in reverse start order; re-raise the first failure.
+
+    Waits on its own queries only: the session-wide
+    ``awaitAnyTermination`` also returns for unrelated queries that ended
+    earlier in the session."""
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
+        while streams.queries and all(q.isActive for q in streams.queries):
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            streams.queries[0].awaitTermination(poll)
     finally:
         stop_all(streams)
     for q in streams.queries:

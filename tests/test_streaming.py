@@ -175,3 +175,30 @@ def test_streaming_control_equals_batch(spark, tmpdir_new):
     eel = sorted((r.system_id, r.event_time, r.last_refill, r.last_ph_adjust, r.last_nutrient_dose)
                  for r in elapsed_since_action(parsed(False), HYDROPONIC).collect())
     assert gel == eel
+
+
+def test_failed_start_is_isolated_and_run_surfaces_failures(spark, tmpdir_new):
+    from gaugeworks.streaming.streams import run
+
+    src = os.path.join(tmpdir_new, "in")
+    _write_batches(src, [[10, 290], [340]])
+    parsed = parse_readings(read_envelope_files(spark, src, max_files_per_trigger=1), SPEC)
+    # grouping by a missing column breaks only the window queries
+    streams = start_streams(
+        parsed, SPEC, SinkConfig(os.path.join(tmpdir_new, "pts")), os.path.join(tmpdir_new, "cp"),
+        by=["no_such_column"], raw_trigger={"availableNow": True}, window_trigger={"availableNow": True},
+    )
+    assert set(streams.errors) == {"aggregations_5_minutes", "anomalies_5_minutes", "health_5_minutes"}
+    assert len(streams.queries) == 1
+    await_all(streams)
+
+    # a sink that fails makes run() raise instead of hanging or hiding it
+    bad = parsed.writeStream.foreachBatch(_boom).option("checkpointLocation", os.path.join(tmpdir_new, "cp2")).start()
+    from gaugeworks.streaming.streams import StreamSet
+
+    with pytest.raises(StreamingQueryException):
+        run(spark, StreamSet(queries=[bad]), timeout=120)
+
+
+def _boom(df, batch_id):
+    raise RuntimeError("sink down")
