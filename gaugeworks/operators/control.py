@@ -435,6 +435,35 @@ def control_actions(
     )
 
 
+def _max_before(df: DataFrame, key: str, order: str, cols: list[str], outs: list[str], fan_in: int) -> DataFrame:
+    """Per row: maximum of each ``cols`` over the rows of the same ``key``
+    with a smaller ``order`` (one row per (key, order)).
+
+    Blocked prefix maximum: inside blocks of ``fan_in`` consecutive orders,
+    across the blocks of a super-block, and across super-blocks; each
+    window partition holds at most ``fan_in`` rows except the last level,
+    which holds one row per ``fan_in**2`` orders."""
+    b1 = F.floor(F.col(order) / F.lit(fan_in)).cast("long")
+    rows = df.withColumns({"__b1": b1, "__b2": F.floor(b1 / F.lit(fan_in)).cast("long")})
+    before = lambda *part: Window.partitionBy(*part)
+
+    w0 = before(key, "__b1").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = rows.select(key, order, "__b1", "__b2", *[F.max(c).over(w0).alias(f"__i{i}") for i, c in enumerate(cols)])
+
+    blocks = rows.groupBy(key, "__b1", "__b2").agg(*[F.max(c).alias(f"__m{i}") for i, c in enumerate(cols)])
+    w1 = before(key, "__b2").orderBy("__b1").rowsBetween(Window.unboundedPreceding, -1)
+    blk = blocks.select(key, "__b1", *[F.max(f"__m{i}").over(w1).alias(f"__k{i}") for i in range(len(cols))])
+
+    supers = blocks.groupBy(key, "__b2").agg(*[F.max(f"__m{i}").alias(f"__s{i}") for i in range(len(cols))])
+    w2 = before(key).orderBy("__b2").rowsBetween(Window.unboundedPreceding, -1)
+    sup = supers.select(key, "__b2", *[F.max(f"__s{i}").over(w2).alias(f"__t{i}") for i in range(len(cols))])
+
+    out = inner.join(blk, [key, "__b1"], "left").join(sup, [key, "__b2"], "left")
+    return out.select(
+        key, order, *[F.greatest(f"__i{i}", f"__k{i}", f"__t{i}").alias(o) for i, o in enumerate(outs)]
+    )
+
+
 def elapsed_since_action(
     df: DataFrame,
     spec: PipelineSpec,
@@ -443,6 +472,7 @@ def elapsed_since_action(
     tiebreak: str | None = None,
     chunk: str = "1 hour",
     actions: DataFrame | None = None,
+    fan_in: int = 256,
 ) -> DataFrame:
     """Each reading with whole seconds since each rule last fired for its
     system (or since the system's first reading), the action of the
@@ -451,7 +481,8 @@ def elapsed_since_action(
 
     An as-of lookup done per (system, time chunk): a running maximum of
     action times inside the chunk, and the last action of earlier chunks
-    carried in from a per-chunk summary (one row per system and chunk)."""
+    carried in from a per-chunk summary through a blocked prefix maximum
+    (``_max_before``), so no window partition spans a system's history."""
     chunk_us = _duration_micros(chunk)
     sys_c, time_c = spec.system_col, spec.time_col
     if actions is None:
@@ -476,8 +507,7 @@ def elapsed_since_action(
     # carried forward over the earlier chunks of the same system
     per_chunk = acts.groupBy(sys_c, "__chunk").agg(*[F.max(f"__a_{n}").alias(f"__m_{n}") for n in names])
     chunks = readings.select(sys_c, "__chunk").distinct().join(per_chunk, [sys_c, "__chunk"], "full")
-    w = Window.partitionBy(sys_c).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunks.select(sys_c, "__chunk", *[F.max(f"__m_{n}").over(w).alias(f"__c_{n}") for n in names])
+    carry = _max_before(chunks, sys_c, "__chunk", [f"__m_{n}" for n in names], [f"__c_{n}" for n in names], fan_in)
 
     # inside a chunk: running max of action times, actions ordered before
     # the reading they come from (same time and tie-break)
