@@ -496,7 +496,8 @@ def elapsed_since_action(
         {"__t": t_us, "__tb": tb}
     ).withColumn("__chunk", F.floor(F.col("__t") / F.lit(chunk_us)).cast("long"))
     origin = readings.groupBy(sys_c).agg(F.min("__t").alias("__origin"))
-    acts = actions.select(
+    # actions and the per-chunk table are each read several times below
+    acts = materialize(actions).select(
         F.col(sys_c),
         F.unix_micros(F.col(time_c).cast("timestamp")).alias("__t"),
         F.col("tb").alias("__tb"),
@@ -506,7 +507,7 @@ def elapsed_since_action(
     # per (system, chunk): last action of each rule inside the chunk, then
     # carried forward over the earlier chunks of the same system
     per_chunk = acts.groupBy(sys_c, "__chunk").agg(*[F.max(f"__a_{n}").alias(f"__m_{n}") for n in names])
-    chunks = readings.select(sys_c, "__chunk").distinct().join(per_chunk, [sys_c, "__chunk"], "full")
+    chunks = materialize(readings.select(sys_c, "__chunk").distinct().join(per_chunk, [sys_c, "__chunk"], "full"))
     carry = _max_before(chunks, sys_c, "__chunk", [f"__m_{n}" for n in names], [f"__c_{n}" for n in names], fan_in)
 
     # inside a chunk: running max of action times, actions ordered before
