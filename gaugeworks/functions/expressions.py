@@ -119,21 +119,26 @@ def clean_reading(c, sensor: SensorSpec) -> Column:
     return F.bround(nan_to_null(c), sensor.digits)
 
 
+# --- fixed values: status line text: labels, units and the missing-value
+# --- marker, in display order.
+STATUS_MISSING = "ERROR"
+STATUS_PARTS = (("Water: ", "°C"), (", pH: ", ""), (", EC: ", " mS/cm"), (", Level: ", "%"), (", Activity: ", ""))
+
+
 def shown(c, unit: str = "") -> Column:
-    """Value as text with a unit, or ``ERROR`` when missing."""
+    """Value as text with a unit, or the missing-value marker."""
     c = col_of(c)
-    return F.coalesce(F.concat(c.cast("string"), F.lit(unit)), F.lit("ERROR"))
+    return F.coalesce(F.concat(c.cast("string"), F.lit(unit)), F.lit(STATUS_MISSING))
 
 
 def status_line(water_temperature, ph, ec, level, activity) -> Column:
-    """One-line console summary of a reading."""
-    return F.concat(
-        F.lit("Water: "), shown(water_temperature, "°C"),
-        F.lit(", pH: "), shown(ph),
-        F.lit(", EC: "), shown(ec, " mS/cm"),
-        F.lit(", Level: "), shown(level, "%"),
-        F.lit(", Activity: "), F.coalesce(F.format_string("%.2f", col_of(activity)), F.lit("ERROR")),
-    )
+    """One-line console summary of a reading (activity with two decimals)."""
+    values = [water_temperature, ph, ec, level]
+    parts = []
+    for (label, unit), v in zip(STATUS_PARTS[:4], values):
+        parts += [F.lit(label), shown(v, unit)]
+    act = F.coalesce(F.format_string("%.2f", col_of(activity)), F.lit(STATUS_MISSING))
+    return F.concat(*parts, F.lit(STATUS_PARTS[4][0]), act)
 
 
 def epoch_nanos(ts) -> Column:

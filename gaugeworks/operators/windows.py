@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 from ..functions.expressions import health_score, mean_of, range_flag
 from ..spec import PipelineSpec
 
+# --- fixed values: analysis labels (``analysis_type``) and the measurement
+# --- prefixes points of each analysis are written under.
+ANALYSIS_TYPE = {"basic": "basic_aggregation", "anomaly": "anomaly_detection", "health": "system_health"}
+MEASUREMENT_PREFIX = {"basic": "aggregations", "anomaly": "anomalies", "health": "health"}
+
 
 def _windowed(df: DataFrame, spec: PipelineSpec, window: str, watermark: str | None):
     time_col = spec.time_col
@@ -71,7 +76,7 @@ def basic_aggregation(
     return (
         df.groupBy(win.alias("window"), *by)
         .agg(*aggs)
-        .withColumns({"window_duration": F.lit(window), "analysis_type": F.lit("basic_aggregation")})
+        .withColumns({"window_duration": F.lit(window), "analysis_type": F.lit(ANALYSIS_TYPE["basic"])})
     )
 
 
@@ -98,7 +103,7 @@ def anomaly_detection(
     out = df.groupBy(win.alias("window"), *by).agg(*aggs)
     if with_duration:
         out = out.withColumn("window_duration", F.lit(window))
-    return out.withColumn("analysis_type", F.lit("anomaly_detection"))
+    return out.withColumn("analysis_type", F.lit(ANALYSIS_TYPE["anomaly"]))
 
 
 def system_health(
@@ -130,7 +135,7 @@ def system_health(
     return (
         df.groupBy(win.alias("window"), *by)
         .agg(*aggs)
-        .withColumns({"window_duration": F.lit(window), "analysis_type": F.lit("system_health")})
+        .withColumns({"window_duration": F.lit(window), "analysis_type": F.lit(ANALYSIS_TYPE["health"])})
     )
 
 
@@ -140,10 +145,6 @@ ANALYSES = {
     "health": system_health,
 }
 
-# measurement prefix of each analysis when written as points
-MEASUREMENT_PREFIX = {"basic": "aggregations", "anomaly": "anomalies", "health": "health"}
-
-
 def measurement_name(analysis: str, window: str) -> str:
     """``aggregations_5_minutes`` style measurement name for a window."""
     return f"{MEASUREMENT_PREFIX[analysis]}_{window.replace(' ', '_')}"

@@ -62,6 +62,10 @@ class PipelineMetrics(StreamingQueryListener):
                 "records_processed": dict(self.records_processed),
                 "batches": dict(self.batches),
                 "failures": dict(self.failures),
+                # totals under the original application's counter names
+                "records_processed_total": sum(self.records_processed.values()),
+                "batches_written_total": sum(self.batches.values()),
+                "write_errors_total": sum(self.failures.values()),
                 "rows_per_second": dict(self.rows_per_second),
                 "watermark": dict(self.watermark),
                 "late_rows": dict(self.late_rows),

@@ -28,6 +28,7 @@ from .sinks import write_line_protocol, write_points
 
 log = logging.getLogger(__name__)
 
+# --- fixed values: measurement name of raw reading points.
 RAW_MEASUREMENT = "raw_sensor_data"
 
 
