@@ -357,6 +357,20 @@ def _expand(cds, chunk_us):
     return run
 
 
+def _tree_levels(elig: DataFrame, fan_in: int) -> int:
+    """Fewest fold levels so that a root spans at most ``fan_in`` nodes."""
+    span = (
+        elig.groupBy("sys", "rule")
+        .agg((F.max("chunk") - F.min("chunk") + F.lit(1)).alias("span"))
+        .agg(F.max("span").alias("span"))
+        .first()["span"]
+    )
+    levels, width = 0, fan_in
+    while span is not None and span > width:
+        levels, width = levels + 1, width * fan_in
+    return levels
+
+
 def control_actions(
     df: DataFrame,
     spec: PipelineSpec,
@@ -365,7 +379,7 @@ def control_actions(
     tiebreak: str | None = None,
     chunk: str = "1 hour",
     fan_in: int = 256,
-    levels: int = 2,
+    levels: int | None = None,
 ) -> DataFrame:
     """Actions fired by the rules over a batch of readings.
 
@@ -375,8 +389,9 @@ def control_actions(
     longest cooldown); results do not depend on it.  Chunk functions are
     composed in a tree of ``levels`` levels folding ``fan_in`` consecutive
     nodes each, so no task ever holds more than ``fan_in`` nodes of one
-    system (about one cooldown of eligible rows per node); only spans
-    beyond ``fan_in ** levels`` chunks add nodes to the per-system root.
+    system (about one cooldown of eligible rows per node).  ``levels=None``
+    picks the fewest levels that keep every root within ``fan_in`` nodes,
+    from the widest chunk span of any system (one small aggregate).
 
     Each step is a ``mapInPandas`` over a partition hash-partitioned by its
     group key (explicit ``repartition``, which adaptive execution may merge
@@ -393,6 +408,8 @@ def control_actions(
     entry_schema = f"sys {sys_type}, rule string, node long, entry_t long"
 
     # level 0: one node per chunk
+    if levels is None:
+        levels = _tree_levels(elig, fan_in)
     # every tree level is read twice (next level up, walk down): materialise
     level = materialize(elig.repartition(*keys).mapInPandas(_summarise(cds, chunk_us), node_schema))
     tree = [level]
