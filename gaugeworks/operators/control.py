@@ -407,10 +407,10 @@ def control_actions(
     node_schema = f"sys {sys_type}, rule string, node long, cand_t long, exit_t long, fb_t long"
     entry_schema = f"sys {sys_type}, rule string, node long, entry_t long"
 
-    # level 0: one node per chunk
     if levels is None:
         levels = _tree_levels(elig, fan_in)
-    # every tree level is read twice (next level up, walk down): materialise
+    # level 0 has one node per chunk; every level is read twice (next level
+    # up, walk down), so each is materialised
     level = materialize(elig.repartition(*keys).mapInPandas(_summarise(cds, chunk_us), node_schema))
     tree = [level]
     for _ in range(levels):  # bottom-up: fold fan_in consecutive nodes
