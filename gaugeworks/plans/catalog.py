@@ -138,19 +138,15 @@ register("health_by_system_1h", S.health_sql(S.events_wide_sql(), EVENTS, "1 hou
 register("basic_dense_1d", S.basic_sql(S.lineitem_dense_sql(), LINEITEM, "1 day"))(
     _analysis("basic", _lineitem_dense, LINEITEM, "1 day")
 )
+
+
 # the hydroponic ranges over dense derived readings
 def _hydro_with_activity(spark, sf_dir):
     return with_plant_activity(_events_hydro(spark, sf_dir))
 
 
 def _hydro_cte() -> str:
-    act = (
-        "CASE WHEN light_intensity_ppfd IS NOT NULL THEN "
-        "least(1.0, light_intensity_ppfd / 800.0) * "
-        "greatest(0.1, 1.0 - abs(water_temperature - 22.0) / 10.0) * "
-        "greatest(0.3, 1.0 - abs(water_ph - 6.0) / 1.5) END"
-    )
-    return f"SELECT *, {act} AS plant_activity FROM (\n  {S.events_hydro_sql()}\n  ) h"
+    return f"SELECT *, {S.ACTIVITY_SQL} AS plant_activity FROM (\n  {S.events_hydro_sql()}\n  ) h"
 
 
 for _kind in ("basic", "anomaly", "health"):
@@ -226,7 +222,7 @@ def _basic_fields(spec) -> list[str]:
 )
 def q_window_points_long(spark, sf_dir):
     out = ANALYSES["basic"](_events_wide(spark, sf_dir), EVENTS, "5 minutes")
-    pts = window_points(rounded(out), EVENTS.with_(system_col="__none__"), measurement_name("basic", "5 minutes"))
+    pts = window_points(rounded(out), EVENTS, measurement_name("basic", "5 minutes"))
     return present(points_long(pts))
 
 
@@ -265,15 +261,10 @@ def q_clean_readings(spark, sf_dir):
     return clean_readings(h, HYDROPONIC)
 
 
-_ACT_SQL = (
-    "CASE WHEN light_intensity_ppfd IS NOT NULL THEN "
-    "least(1.0, light_intensity_ppfd / 800.0) * "
-    "greatest(0.1, 1.0 - abs(water_temperature - 22.0) / 10.0) * "
-    "greatest(0.3, 1.0 - abs(water_ph - 6.0) / 1.5) END"
-)
 
 
-@register("plant_activity", _hydro_sql_from(f"event_id, {S.r(_ACT_SQL)} AS plant_activity"))
+
+@register("plant_activity", _hydro_sql_from(f"event_id, {S.r(S.ACTIVITY_SQL)} AS plant_activity"))
 def q_plant_activity(spark, sf_dir):
     h = with_plant_activity(_events_hydro(spark, sf_dir))
     return rounded(h.select("event_id", "plant_activity"))
@@ -309,7 +300,7 @@ def _shown_sql(c: str, unit: str = "") -> str:
     "status_line",
     "WITH h AS (\n  " + S.events_hydro_sql() + "\n), c AS (SELECT event_id, "
     + ", ".join(f"{S.bround_sql(s.name, s.digits)} AS {s.name}" for s in HYDROPONIC.sensors)
-    + " FROM h), a AS (SELECT *, " + _ACT_SQL + " AS plant_activity FROM c)\n"
+    + " FROM h), a AS (SELECT *, " + S.ACTIVITY_SQL + " AS plant_activity FROM c)\n"
     "SELECT event_id, 'Water: ' || " + _shown_sql("water_temperature", "°C")
     + " || ', pH: ' || " + _shown_sql("water_ph")
     + " || ', EC: ' || " + _shown_sql("ec_tds", " mS/cm")

@@ -10,6 +10,7 @@ because summation order changes the last bits of averages.
 
 from __future__ import annotations
 
+from ..functions import expressions as X
 from ..spec import EVENT_TYPES, LINEITEM_SENSORS, PipelineSpec
 
 DIGITS = 6
@@ -48,6 +49,15 @@ def events_hydro_sql() -> str:
     )
 
 
+# plant activity from light, water temperature and pH (same constants as
+# ``functions.expressions.plant_activity``)
+ACTIVITY_SQL = (
+    "CASE WHEN light_intensity_ppfd IS NOT NULL THEN "
+    f"least(1.0, light_intensity_ppfd / {X.ACTIVITY_LIGHT_FULL!r}) * "
+    f"greatest({X.ACTIVITY_TEMP_FLOOR!r}, 1.0 - abs(water_temperature - {X.ACTIVITY_TEMP_OPT!r}) / {X.ACTIVITY_TEMP_SPAN!r}) * "
+    f"greatest({X.ACTIVITY_PH_FLOOR!r}, 1.0 - abs(water_ph - {X.ACTIVITY_PH_OPT!r}) / {X.ACTIVITY_PH_SPAN!r}) END"
+)
+
 ROUND_LIMIT = 1e12
 
 
