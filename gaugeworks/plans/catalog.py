@@ -261,9 +261,6 @@ def q_clean_readings(spark, sf_dir):
     return clean_readings(h, HYDROPONIC)
 
 
-
-
-
 @register("plant_activity", _hydro_sql_from(f"event_id, {S.r(S.ACTIVITY_SQL)} AS plant_activity"))
 def q_plant_activity(spark, sf_dir):
     h = with_plant_activity(_events_hydro(spark, sf_dir))
