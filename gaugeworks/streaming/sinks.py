@@ -22,12 +22,21 @@ from ..operators.points import line_expr
 
 def _partitioned(points: DataFrame, batch_id: int | None) -> tuple[DataFrame, list[str]]:
     if batch_id is None:
-        return points.withColumn("date", F.to_date("time")), ["measurement", "date"]
+        # backfill: range-partition on (measurement, time) so each task
+        # covers a contiguous time range (few date folders, few files per
+        # task) and a hot date is split over several tasks
+        dated = points.withColumn("date", F.to_date("time"))
+        return dated.repartitionByRange("measurement", "time"), ["measurement", "date"]
     return points.withColumn("batch_id", F.lit(int(batch_id))), ["measurement", "batch_id"]
 
 
-def _overwrite(df: DataFrame, parts: list[str]):
-    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+def _overwrite(df: DataFrame, parts: list[str], max_records_per_file: int = 5_000_000):
+    return (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy(*parts)
+    )
 
 
 def write_points(
