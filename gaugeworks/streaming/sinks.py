@@ -52,10 +52,11 @@ def write_points(
     written (counted in the same pass through ``observe``), or ``None``
     when counting is off."""
     obs = None
+    df, parts = _partitioned(points, batch_id)
     if observe:
+        # observed above the range exchange: its sampling job must not count
         obs = Observation(f"points_{batch_id if batch_id is not None else 'batch'}")
-        points = points.observe(obs, F.count(F.lit(1)).alias("points"))
-    df, parts = _partitioned(points, batch_id)
+        df = df.observe(obs, F.count(F.lit(1)).alias("points"))
     _overwrite(df, parts).format(fmt).save(path)
     return int(obs.get.get("points", 0)) if obs is not None else None
 

@@ -33,8 +33,8 @@ def test_write_points_is_idempotent(spark, tmpdir_new):
     assert n1 == n2 == pts.count()
     assert spark.read.parquet(out).count() == n1
     back = os.path.join(tmpdir_new, "backfill")
-    write_points(pts, back)  # backfill layout: measurement / date
-    write_points(pts, back)  # re-run replaces the same dates
+    assert write_points(pts, back) == n1  # backfill layout: measurement / date
+    assert write_points(pts, back) == n1  # re-run replaces the same dates
     assert spark.read.parquet(back).count() == n1
 
 
