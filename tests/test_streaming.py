@@ -202,3 +202,55 @@ def test_failed_start_is_isolated_and_run_surfaces_failures(spark, tmpdir_new):
 
 def _boom(df, batch_id):
     raise RuntimeError("sink down")
+
+
+def _write_keyed(path, batches):
+    """Envelope files; each batch is a list of (key, seconds, level)."""
+    os.makedirs(path, exist_ok=True)
+    schema = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("timestamp", pa.timestamp("us", tz="UTC"))])
+    for i, rows in enumerate(batches):
+        keys = [k.encode() for k, _, _ in rows]
+        vals = [json.dumps({"timestamp": s * 1000, "sensors": {"water_level_percent": lv}}).encode() for _, s, lv in rows]
+        ts = pa.array([s * 1_000_000 for _, s, _ in rows], pa.timestamp("us", tz="UTC"))
+        f = os.path.join(path, f"batch-{i:03d}.parquet")
+        pq.write_table(pa.table({"key": keys, "value": vals, "timestamp": ts}, schema=schema), f)
+        os.utime(f, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+
+
+def test_streaming_windows_by_system(spark, tmpdir_new):
+    from gaugeworks.operators.parse import with_system_id
+    from gaugeworks.spec import HYDROPONIC
+
+    src = os.path.join(tmpdir_new, "in")
+    _write_keyed(src, [[("a", 10, 50.0), ("b", 20, 50.0), ("a", 30, 50.0)], [("b", 700, 50.0)]])
+    parsed = with_system_id(parse_readings(read_envelope_files(spark, src, max_files_per_trigger=1), HYDROPONIC), HYDROPONIC)
+    out = os.path.join(tmpdir_new, "pts")
+    streams = start_streams(
+        parsed, HYDROPONIC.with_(windows=("5 minutes",)), SinkConfig(out), os.path.join(tmpdir_new, "cp"),
+        analyses=("basic",), raw=False, by=["system_id"], window_trigger={"availableNow": True},
+    )
+    assert not streams.errors
+    await_all(streams)
+    got = sorted((r.system_id, int(r.water_level_percent_count)) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 2), ("b", 1)]
+
+
+def test_control_stream_out_of_order_row_cannot_fire(spark, tmpdir_new):
+    from gaugeworks.operators.control import control_stream
+    from gaugeworks.operators.parse import with_system_id
+    from gaugeworks.spec import HYDROPONIC
+
+    src = os.path.join(tmpdir_new, "in")
+    # clock starts at 0; 400 fires (> 300 s); 380 arrives late (older than the
+    # last action) and cannot fire; 800 fires
+    _write_keyed(src, [[("a", 0, 50.0), ("a", 400, 10.0)], [("a", 380, 10.0)], [("a", 800, 10.0)]])
+    parsed = with_system_id(parse_readings(read_envelope_files(spark, src, max_files_per_trigger=1), HYDROPONIC), HYDROPONIC)
+    out = os.path.join(tmpdir_new, "acts")
+    q = (
+        control_stream(parsed, HYDROPONIC, watermark="1 hour").writeStream.format("parquet")
+        .option("path", out).option("checkpointLocation", out + "_cp").outputMode("append")
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    got = sorted(int(r.t) for r in spark.read.parquet(out).select(F.unix_seconds("event_time").alias("t")).collect())
+    assert got == [400, 800]
