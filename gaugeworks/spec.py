@@ -106,6 +106,8 @@ HYDROPONIC_STATE = (
     ("last_nutrient_dose", "int"),
 )
 
+# --- fixed values: window lengths, watermark delay and the system id used
+# --- when a record carries no key.
 HYDROPONIC = PipelineSpec(
     sensors=HYDROPONIC_SENSORS,
     state_fields=HYDROPONIC_STATE,
