@@ -9,7 +9,7 @@ join and Catalyst constant-folds the bounds.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,6 @@ class PipelineSpec:
     time_col: str = "event_time"
     system_col: str = "system_id"
     default_system: str = "system_01"
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         names = [s.name for s in self.sensors]
