@@ -540,7 +540,10 @@ def elapsed_since_action(
     running = both.select("*", *[F.max(f"__a_{n}").over(w2).alias(f"__r_{n}") for n in names]).where(
         F.col("__kind") == 1
     )
-    joined = running.join(carry, [sys_c, "__chunk"], "left").join(origin, sys_c, "left")
+    # the clock start joins the small per-chunk table, so the readings take
+    # one join on (system, chunk), the key their window already shuffled on
+    carry = carry.join(origin, sys_c, "left")
+    joined = running.join(carry, [sys_c, "__chunk"], "left")
     elapsed = {
         out_cols[n]: F.floor(
             (F.col("__t") - F.coalesce(F.col(f"__r_{n}"), F.col(f"__c_{n}"), F.col("__origin"))) / F.lit(MICROS)
