@@ -134,10 +134,17 @@ register("basic_by_system_1h", S.basic_sql(S.events_wide_sql(), EVENTS, "1 hour"
 register("health_by_system_1h", S.health_sql(S.events_wide_sql(), EVENTS, "1 hour", by="system_id"))(
     _analysis("health", _events_wide, EVENTS, "1 hour", by=["system_id"])
 )
+register("anomaly_by_system_1h", S.anomaly_sql(S.events_wide_sql(), EVENTS, "1 hour", by="system_id"))(
+    _analysis("anomaly", _events_wide, EVENTS, "1 hour", by=["system_id"])
+)
 # dense four-sensor readings per day
 register("basic_dense_1d", S.basic_sql(S.lineitem_dense_sql(), LINEITEM, "1 day"))(
     _analysis("basic", _lineitem_dense, LINEITEM, "1 day")
 )
+# ... and per return flag: three keys each holding about a third of all rows
+register("basic_dense_by_flag_1d", S.basic_sql(S.lineitem_dense_sql(), LINEITEM, "1 day", by="system_id"))(
+    _analysis("basic", _lineitem_dense, LINEITEM, "1 day", by=["system_id"])
+)
 
 
 # the hydroponic ranges over dense derived readings
