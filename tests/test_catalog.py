@@ -64,3 +64,9 @@ def test_query_matches_oracle(spark, con, name):
 def test_query_without_oracle_runs(spark, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+def test_query_reads_whole_tables(spark, name):
+    plan = entry_mod.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "Sample" not in plan
