@@ -106,3 +106,31 @@ def test_latest_readings_streaming_update(spark, tmpdir_new):
     final = {r.system_id: r.view for r in got.collect()}  # last update per key wins below
     batch = {r.system_id: r.view for r in latest_readings(wide, EVENTS).collect()}
     assert set(final) == set(batch)
+
+
+def test_foreach_partition_sink_batches_and_closes(spark, tmpdir_new):
+    from functools import partial
+
+    from gaugeworks.streaming.sinks import PointWriter, foreach_partition_sink
+
+    class FileWriter(PointWriter):  # local class: pickled by value to the workers
+        def __init__(self, folder):
+            import uuid
+
+            self.path = os.path.join(folder, uuid.uuid4().hex)
+            self.batches = []
+
+        def write(self, points):
+            assert 0 < len(points) <= 50
+            self.batches.append(len(points))
+
+        def close(self):
+            with open(self.path, "w") as f:
+                json.dump(self.batches, f)
+
+    pts = _raw(spark)
+    out = os.path.join(tmpdir_new, "ext")
+    os.makedirs(out)
+    foreach_partition_sink(pts.repartition(4), partial(FileWriter, out), batch_size=50)
+    sizes = [n for name in os.listdir(out) for n in json.load(open(os.path.join(out, name)))]
+    assert sum(sizes) == pts.count() and max(sizes) == 50
