@@ -33,3 +33,19 @@ def test_app_drains_file_source(spark, tmpdir_new):
     ms = {r.measurement for r in pts.select("measurement").distinct().collect()}
     assert ms == {"raw_sensor_data", "aggregations_1_hour", "anomalies_1_hour", "health_1_hour"}
     assert pts.where(F.col("measurement") == "raw_sensor_data").count() == h.count()
+
+
+def test_kafka_paths_without_connector(spark, tmpdir_new):
+    import pytest
+
+    from gaugeworks.sources.envelope import publish_kafka, read_envelope_files, read_kafka
+
+    # the connector jar is not shipped here: the reader gets as far as the
+    # data-source lookup and fails with Spark's own message
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_kafka(spark, "localhost:9092", "sensors")
+    src = os.path.join(tmpdir_new, "env")
+    h = events_as_hydroponic(table(spark, SF_SMALL, "events"))
+    to_envelope(h, HYDROPONIC, key_col="system_id", time_col="event_time").write.parquet(src)
+    with pytest.raises(ValueError, match="checkpoint"):
+        publish_kafka(read_envelope_files(spark, src), "localhost:9092", "sensors")
