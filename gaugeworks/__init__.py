@@ -8,6 +8,15 @@ a ``DataFrame -> DataFrame`` function driven by a ``PipelineSpec`` and
 runs the same on batch tables and Structured Streaming.
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 from .spec import EVENTS, HYDROPONIC, LINEITEM, PipelineSpec, SensorSpec
 
+# Ship this package's code by value inside the Python functions Spark sends
+# to its workers (mapInPandas / applyInPandasWithState closures), so
+# executors need no installed copy of the package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 __all__ = ["EVENTS", "HYDROPONIC", "LINEITEM", "PipelineSpec", "SensorSpec"]
