@@ -11,10 +11,14 @@ verified exactly on their full sets.
 Candidates are taken in two steps, so that a group of thousands of near
 copies costs a number of pairs in proportion to it:
 
-1. every class against the smallest class of each of its bands;
+1. every class against the hub of each of its bands: the class that
+   shares the most bands with others (of a text and its copies, the text);
 2. what step 1 left apart: in bands that still hold several components,
-   the classes outside the largest one against all classes of other components.  Pairs
-   inside one component cannot change it and are never made.
+   the classes outside the largest one against all classes of other
+   components.  Pairs inside one component cannot change it and are never
+   made, nor are pairs that cannot reach the threshold: a shingle that no
+   other class of step 2 holds is in no intersection, so with ``c``
+   shingles shared with anyone, ``c_min >= 0.85 (n_a + n_b - c_min)`` must hold.
 
 After step 2 every pair that shares a band is linked, refuted or inside
 one component, so components equal those of all banded pairs.  A pair at
@@ -42,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, written
+from .common import written
 from .graph import components
 
 WORDS = 5
@@ -196,10 +200,9 @@ def prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(test, "a binary, b binary")
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Pairs whose full sets reach the threshold.  Sets are made anew from
-    one text of each class that occurs in a pair."""
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def class_shingles(needed: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``node, items`` (the full set, as bytes) of the classes in
+    ``needed(node)``, made anew from one text of each."""
     where = needed.join(classes.select("node", "rep"), "node").select("node", "rep.doc_id", "rep.text_hash")
     text = docs.select(
         F.col(id_col).cast("bigint").alias("d"),
@@ -220,7 +223,13 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
 
     items = found.select("node", "text").mapInArrow(sets, "node binary, items binary")
     # a row that repeats id and text would come twice
-    items = written(items.dropDuplicates(["node"]), "shingles")
+    return items.dropDuplicates(["node"])
+
+
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Pairs whose full sets reach the threshold."""
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    items = written(class_shingles(needed, classes, docs, id_col, text_col), "shingles")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,21 +248,51 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     return both.select("a", "b", "x", "y").mapInArrow(confirm, "a binary, b binary")
 
 
-def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Step 2: candidate pairs of classes in different components."""
-    rows = (
-        shared.join(roots, "node", "left")
-        .select("band", "least", "node", F.coalesce("root", "node").alias("root"))
+def shared_counts(items: DataFrame) -> DataFrame:
+    """``node, n, c``: size of each set of ``items`` and how many of its
+    shingles some other set holds too."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in batch.column(1)]
+            if sets:
+                nodes = batch.column(0).take(pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+                yield pa.RecordBatch.from_arrays([nodes, pa.array(np.concatenate(sets))], names=["node", "item"])
+
+    owners = items.mapInArrow(listed, "node binary, item bigint").groupBy("item")
+    single = owners.agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("node")).where("k = 1")
+    alone = single.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    size = (F.octet_length("items") / 8).cast("bigint")
+    return items.select("node", size.alias("n")).join(alone, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")
     )
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows ``band, node, root, ...`` of bands with several components,
+    with the component ``main`` that has the most classes there."""
     per_root = rows.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
-    mixed = per_root.groupBy("band").agg(
+    main = per_root.groupBy("band").agg(
         F.max_by("root", F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("roots")
     )
-    # the smallest class of a band met all others in step 1
-    left = rows.join(mixed.where("roots > 1").select("band", "main"), "band").where("node != least")
-    minor = left.where("root != main").select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    other = left.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), "main")
-    pairs = minor.join(other, "band").where("root_a != root_b and (root_b = main or a < b)")
+    return rows.join(main.where("roots > 1").select("band", "main"), "band")
+
+
+def _apart(shared: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Step 2: candidate pairs of classes in different components."""
+    rows = shared.where("node != hub").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    # the hub of a band met all others in step 1
+    left = written(_mixed(rows).drop("main"), "apart")
+    items = written(class_shingles(left.select("node").distinct(), classes, docs, id_col, text_col), "shingles")
+    known = left.join(written(shared_counts(items), "counts"), "node")
+    # a class too rich in shingles of its own for the smallest set of a band has no partner there
+    smallest = known.groupBy("band").agg(F.min("n").alias("least_n"))
+    able = known.join(smallest, "band").where(f"100 * c >= {PERCENT} * (n + least_n - c)").drop("least_n")
+    able = written(_mixed(able), "apart")
+    a = able.where("root != main").select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+    b = able.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), "main", F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+    may_link = f"100 * least(c_a, c_b) >= {PERCENT} * (n_a + n_b - least(c_a, c_b))"
+    pairs = a.join(b, "band").where(f"root_a != root_b and (root_b = main or a < b) and {may_link}")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -274,14 +313,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
     # bands with one class can be dropped before anything is paired
     bands = band_rows(classes).repartition("band")
-    several = bands.groupBy("band").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = written(bands.join(several.select("band", "least"), "band"), "bands")
-
-    stars = shared.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    several = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    crowded = written(bands.join(several, "band"), "bands")
+    degree = crowded.groupBy("node").agg(F.sum("size").alias("degree"))
+    hubs = crowded.join(degree, "node").groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
+    shared = written(crowded.select("band", "node").join(hubs, "band"), "bands")
+
+    ends = F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
+    stars = shared.where("node != hub").select(*ends).distinct()
     close = written(prune(stars, classes), "close")
     first = written(verify(close, classes, docs, id_col, text_col), "verified")
     roots = written(components(first), "roots")
-    apart = written(prune(_apart(shared, roots), classes), "close")
+    apart = written(prune(_apart(shared, roots, classes, docs, id_col, text_col), classes), "close")
     if not apart.isEmpty():
         second = written(verify(apart, classes, docs, id_col, text_col), "verified")
         if not second.isEmpty():
