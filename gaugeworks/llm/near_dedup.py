@@ -55,6 +55,7 @@ BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
 BATCH = 32
 MISS = 1e-6
+BLOCK = 2048
 SEED = 11
 
 _U64 = np.uint64
@@ -165,7 +166,8 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
-    """``band, node``: a 64-bit key of each band of each class."""
+    """``band, slot, node``: a 64-bit key of each band of each class and
+    the number of the band."""
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,9 +178,12 @@ def band_rows(classes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 keys = _mix64(keys * _U64(0x9E3779B97F4A7C15) + sigs[:, :, k])
             nodes = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), nodes], names=["band", "node"])
+            slots = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel().view(np.int64)), pa.array(slots), nodes], names=["band", "slot", "node"]
+            )
 
-    return classes.select("node", "sig").mapInArrow(bands, "band bigint, node binary")
+    return classes.select("node", "sig").mapInArrow(bands, "band bigint, slot int, node binary")
 
 
 def prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -280,7 +285,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 def _apart(shared: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Step 2: candidate pairs of classes in different components."""
-    rows = shared.where("node != hub").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    rows = shared.where("node != hub").join(roots, "node", "left").select("band", "slot", "node", F.coalesce("root", "node").alias("root"))
     # the hub of a band met all others in step 1
     left = written(_mixed(rows).drop("main"), "apart")
     items = written(class_shingles(left.select("node").distinct(), classes, docs, id_col, text_col), "shingles")
@@ -289,11 +294,72 @@ def _apart(shared: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFr
     smallest = known.groupBy("band").agg(F.min("n").alias("least_n"))
     able = known.join(smallest, "band").where(f"100 * c >= {PERCENT} * (n + least_n - c)").drop("least_n")
     able = written(_mixed(able), "apart")
-    a = able.where("root != main").select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    b = able.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), "main", F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    may_link = f"100 * least(c_a, c_b) >= {PERCENT} * (n_a + n_b - least(c_a, c_b))"
-    pairs = a.join(b, "band").where(f"root_a != root_b and (root_b = main or a < b) and {may_link}")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _close_in_blocks(able.join(classes.select("node", "sig"), "node"))
+
+
+def _ranks(*columns: pa.ChunkedArray) -> list[np.ndarray]:
+    """Columns of bytes as numbers in the same order."""
+    values = [c.to_pylist() for c in columns]
+    rank = {v: i for i, v in enumerate(sorted(set().union(*values)))}
+    return [np.array([rank[v] for v in column], dtype=np.int64) for column in values]
+
+
+def _close_in_blocks(able: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs ``(a, b)`` of ``able`` that survive pruning, each once.
+
+    A band with many classes is cut into blocks on either side; a pair of
+    blocks is compared in one task, so candidates are never rows.  A pair that
+    shares several bands is reported by the first of them."""
+    steps = least_matches()
+    columns = ["band", "slot", "node", "root", "main", "n", "c", "sig"]
+    minor = F.col("root") != F.col("main")
+    sizes = able.groupBy("band").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("parts"),
+        F.ceil(F.count(F.when(minor, 1)) / F.lit(block)).alias("asks"),
+    )
+    rows = written(able.join(sizes.where("asks > 0"), "band"), "blocks")
+    place = F.xxhash64("node")
+    zero = F.lit(0).cast("bigint")
+    left = rows.where(minor).withColumn("ask", F.pmod(place, "asks")).withColumn(
+        "part", F.explode(F.sequence(zero, F.col("parts") - 1))
+    )
+    right = rows.withColumn("part", F.pmod(place, "parts")).withColumn(
+        "ask", F.explode(F.sequence(zero, F.col("asks") - 1))
+    )
+
+    def compare(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        found = ([], [])
+        if ours.num_rows and theirs.num_rows:
+            node_a, node_b, root_a, root_b, main = _ranks(
+                ours["node"], theirs["node_"], ours["root"], theirs["root_"], theirs["main_"]
+            )
+            n_a, c_a, n_b, c_b = (t[k].to_numpy() for t, k in zip((ours, ours, theirs, theirs), ("n", "c", "n_", "c_")))
+            x, y = _matrix(ours["sig"], HASHES), _matrix(theirs["sig_"], HASHES)
+            slot = ours["slot"][0].as_py()
+            for i in range(len(x)):
+                shared = np.minimum(c_a[i], c_b)
+                may = (root_b != root_a[i]) & ((root_b == main) | (node_b > node_a[i]))
+                at = np.flatnonzero(may & (100 * shared >= PERCENT * (n_a[i] + n_b - shared)))
+                if at.size:
+                    at = at[survives(np.broadcast_to(x[i], (len(at), HASHES)), y[at], steps)]
+                    same = (y[at] == x[i]).reshape(-1, BANDS, ROWS).all(axis=2)
+                    at = at[same.argmax(axis=1) == slot]
+                    found[0].append(np.full(len(at), i))
+                    found[1].append(at)
+        i, j = (np.concatenate(f) if f else np.empty(0, dtype=np.int64) for f in found)
+        return pa.table(
+            {"a": ours["node"].take(pa.array(i, pa.int64())), "b": theirs["node_"].take(pa.array(j, pa.int64()))}
+        )
+
+    keys = ["band", "part", "ask"]
+    other = right.select(*[F.col(k).alias(f"{k}_") for k in ("part", "ask", *columns)])
+    pairs = (
+        left.select("part", "ask", *columns)
+        .groupBy(*keys)
+        .cogroup(other.groupBy(*[f"{k}_" for k in keys]))
+        .applyInArrow(lambda ours, theirs: compare(ours, theirs), "a binary, b binary")
+    )
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,14 +383,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     crowded = written(bands.join(several, "band"), "bands")
     degree = crowded.groupBy("node").agg(F.sum("size").alias("degree"))
     hubs = crowded.join(degree, "node").groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
-    shared = written(crowded.select("band", "node").join(hubs, "band"), "bands")
+    shared = written(crowded.select("band", "slot", "node").join(hubs, "band"), "bands")
 
     ends = F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
     stars = shared.where("node != hub").select(*ends).distinct()
     close = written(prune(stars, classes), "close")
     first = written(verify(close, classes, docs, id_col, text_col), "verified")
     roots = written(components(first), "roots")
-    apart = written(prune(_apart(shared, roots, classes, docs, id_col, text_col), classes), "close")
+    apart = written(_apart(shared, roots, classes, docs, id_col, text_col), "close")
     if not apart.isEmpty():
         second = written(verify(apart, classes, docs, id_col, text_col), "verified")
         if not second.isEmpty():
