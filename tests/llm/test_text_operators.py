@@ -190,9 +190,9 @@ def test_token_query(spark, docs_rows):
 
 
 def test_words_encode_like_whole_texts():
-    texts = ["  Don't\tstop…now 12,5%\n\n<|endoftext|> ", "É\u0301 ﬁ ß İ I\u0307 你好\u3000世界 a\u00a0b", "x" * 3000, "'s 's'll 're", "e\u0301 \u0301e"]
+    texts = ["  Don't\tstop…now 12,5%\n\n<|endoftext|> ", "É\u0301 ﬁ ß İ I\u0307 你好\u3000世界 a\u00a0b", "x" * 3000, "'s 's'll 're", "e\u0301 \u0301e", "J\u030c A.B, c'., 7. x.., THE,", "Y\u030a."]
     encoder = token_shards.TextEncoder(TOKENIZER, 1)
-    assert encoder.by_word
+    assert encoder.by_word and encoder.folds and encoder.parts
     assert [list(map(int, ids)) for ids in encoder.encode(texts)] == whole_ids(texts)
 
 
