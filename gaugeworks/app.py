@@ -16,7 +16,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from .operators.parse import clean_readings, parse_readings, with_system_id
+from .operators.parse import clean_readings, nan_to_null, parse_readings, with_system_id
 from .session import checkpoint_dir, ensure_utc
 from .sources.envelope import read_envelope_files, read_json_lines, read_kafka
 from .spec import HYDROPONIC
@@ -32,7 +32,9 @@ def build_args(argv=None) -> argparse.Namespace:
     p.add_argument("--bootstrap", help="Kafka bootstrap servers")
     p.add_argument("--topic", help="Kafka topic")
     p.add_argument("--starting-offsets", default="earliest")
-    p.add_argument("--max-per-trigger", type=int, default=1000, help="offsets (Kafka) or files per micro-batch")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka offsets per micro-batch (default: no limit)")
+    p.add_argument("--max-files-per-trigger", type=int, help="files per micro-batch (default: no limit)")
+    p.add_argument("--allow-data-loss", action="store_true", help="go on when Kafka offsets are gone")
     p.add_argument("--path", help="input folder for the file sources")
     p.add_argument("--sink", required=True, help="output folder for points")
     p.add_argument("--format", default="parquet", choices=["parquet", "json", "line"])
@@ -44,7 +46,8 @@ def build_args(argv=None) -> argparse.Namespace:
     p.add_argument("--raw-trigger", default="5 seconds")
     p.add_argument("--window-trigger", default="15 seconds")
     p.add_argument("--by-system", action="store_true", help="group the analyses by system as well")
-    p.add_argument("--no-clean", action="store_true", help="keep NaN readings and unrounded values")
+    p.add_argument("--no-clean", action="store_true", help="keep NaN readings")
+    p.add_argument("--round", action="store_true", help="round readings to each sensor's precision before everything else")
     p.add_argument("--available-now", action="store_true", help="drain what is there and stop")
     return p.parse_args(argv)
 
@@ -61,16 +64,19 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
             raise SystemExit("--bootstrap and --topic are required for the Kafka source")
         env = read_kafka(
             spark, args.bootstrap, args.topic,
-            starting_offsets=args.starting_offsets, max_offsets_per_trigger=args.max_per_trigger,
+            starting_offsets=args.starting_offsets, max_offsets_per_trigger=args.max_offsets_per_trigger,
+            fail_on_data_loss=not args.allow_data_loss,
         )
     elif args.source == "parquet":
-        env = read_envelope_files(spark, args.path, max_files_per_trigger=args.max_per_trigger)
+        env = read_envelope_files(spark, args.path, max_files_per_trigger=args.max_files_per_trigger)
     else:
-        env = read_json_lines(spark, args.path, max_files_per_trigger=args.max_per_trigger)
+        env = read_json_lines(spark, args.path, max_files_per_trigger=args.max_files_per_trigger)
 
     readings = with_system_id(parse_readings(env, spec), spec)
-    if not args.no_clean:
+    if args.round:
         readings = clean_readings(readings, spec)
+    elif not args.no_clean:
+        readings = nan_to_null(readings, spec)
     base = args.checkpoint or checkpoint_dir(spark, "gaugeworks")
     if args.available_now:
         raw_t = win_t = {"availableNow": True}
@@ -94,3 +100,5 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     finally:
         log.info("metrics: %s", metrics.snapshot())
         spark.streams.removeListener(metrics)
+    if streams.errors:
+        raise RuntimeError(f"queries that did not start: {', '.join(sorted(streams.errors))}")

@@ -263,7 +263,7 @@ def _compose_up(cds, fan_in: int):
         pdf = _node_order(pdf, ["sys", "rule", "parent"])
         rule = pdf["rule"].tolist()
         parent = pdf["parent"].tolist()
-        take, cands, exits, fbs, parents = [], [], [], [], []
+        take, cands, exits, fbs, same, parents = [], [], [], [], [], []
         for first, items in _nodes(pdf, ["sys", "rule", "parent"]):
             cd = cds[rule[first]]
             _, cand, exit_t, fb = items[0]
@@ -277,12 +277,12 @@ def _compose_up(cds, fan_in: int):
             take.append(np.full(n, first))
             cands.append(cand)
             exits.append(exit_t)
-            fbs.append(np.full(n, -1 if fb is None else fb, dtype=np.int64))
+            fbs.append(np.full(n, 0 if fb is None else fb, dtype=np.int64))
+            same.append(np.full(n, fb is None))
             parents.append(np.full(n, parent[first], dtype=np.int64))
         if not take:
             return
         rows = np.concatenate(take)
-        fb_all = np.concatenate(fbs)
         yield pd.DataFrame(
             {
                 "sys": pdf["sys"].to_numpy()[rows],
@@ -290,8 +290,8 @@ def _compose_up(cds, fan_in: int):
                 "node": np.concatenate(parents),
                 "cand_t": np.concatenate(cands),
                 "exit_t": np.concatenate(exits),
-                # fallbacks are action times (>= 0); -1 marks "unchanged"
-                "fb_t": pd.Series(fb_all, dtype="Int64").where(fb_all >= 0),
+                # NULL marks "unchanged"; action times may have any sign
+                "fb_t": pd.Series(np.concatenate(fbs), dtype="Int64").mask(np.concatenate(same)),
             }
         )
 
@@ -371,7 +371,38 @@ def _tree_levels(elig: DataFrame, fan_in: int) -> int:
     return levels
 
 
-def control_actions(
+def _system_key(spec: PipelineSpec):
+    """Systems as text, a NULL one as the default system, so that keys
+    compare and join like any other."""
+    return F.coalesce(F.col(spec.system_col).cast("string"), F.lit(spec.default_system))
+
+
+def _system_back(spec: PipelineSpec, sys_type: str):
+    """The column's own type again; where that is not text, the default
+    system is NULL as it came."""
+    return F.col(spec.system_col) if sys_type == "string" else F.col(spec.system_col).try_cast(sys_type)
+
+
+def control_actions(df: DataFrame, spec: PipelineSpec, rules=HYDROPONIC_RULES, **options) -> DataFrame:
+    """``_control_actions`` with NULL systems as the default system."""
+    sys_type = df.schema[spec.system_col].dataType.simpleString()
+    acts = _control_actions(df.withColumn(spec.system_col, _system_key(spec)), spec, rules, **options)
+    return acts.withColumn(spec.system_col, _system_back(spec, sys_type))
+
+
+def elapsed_since_action(
+    df: DataFrame, spec: PipelineSpec, rules=HYDROPONIC_RULES, *, actions: DataFrame | None = None, **options
+) -> DataFrame:
+    """``_elapsed_since_action`` with NULL systems as the default system."""
+    sys_type = df.schema[spec.system_col].dataType.simpleString()
+    if actions is not None:
+        actions = actions.withColumn(spec.system_col, _system_key(spec))
+    keyed = df.withColumn(spec.system_col, _system_key(spec))
+    out = _elapsed_since_action(keyed, spec, rules, actions=actions, **options)
+    return out.withColumn(spec.system_col, _system_back(spec, sys_type))
+
+
+def _control_actions(
     df: DataFrame,
     spec: PipelineSpec,
     rules=HYDROPONIC_RULES,
@@ -481,7 +512,7 @@ def _max_before(df: DataFrame, key: str, order: str, cols: list[str], outs: list
     )
 
 
-def elapsed_since_action(
+def _elapsed_since_action(
     df: DataFrame,
     spec: PipelineSpec,
     rules=HYDROPONIC_RULES,
@@ -503,7 +534,7 @@ def elapsed_since_action(
     chunk_us = _duration_micros(chunk)
     sys_c, time_c = spec.system_col, spec.time_col
     if actions is None:
-        actions = control_actions(df, spec, rules, tiebreak=tiebreak, chunk=chunk)
+        actions = _control_actions(df, spec, rules, tiebreak=tiebreak, chunk=chunk, fan_in=fan_in)
     names = [r.name for r in rules]
     out_cols = {r.name: ELAPSED_COLUMNS.get(r.name, f"since_{r.name}") for r in rules}
     t_us = F.unix_micros(F.col(time_c).cast("timestamp"))

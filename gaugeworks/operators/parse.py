@@ -51,6 +51,12 @@ def rejected_readings(parsed: DataFrame, spec: PipelineSpec) -> DataFrame:
     return parsed.where(F.coalesce(*present).isNull())
 
 
+def nan_to_null(df: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """NaN -> NULL for every spec sensor present; values stay as they are."""
+    present = {s.name for s in spec.present(df.columns)}
+    return df.select(*[F.nanvl(c, F.lit(None)).alias(c) if c in present else F.col(c) for c in df.columns])
+
+
 def clean_readings(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     """NaN -> NULL and half-even rounding to each sensor's precision, for
     every spec sensor present; other columns pass through unchanged.

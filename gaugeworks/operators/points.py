@@ -67,7 +67,8 @@ def window_points(
 
     ``time`` is the window end (``stamp='end'``) or start; string columns
     named in ``tags`` (and any grouping column listed there) become tags;
-    every other numeric column becomes a double field."""
+    every other numeric column becomes a double field.  The system column is
+    always the ``system_id`` tag, whatever its type."""
     if stamp not in ("end", "start"):
         raise ValueError("stamp must be 'end' or 'start'")
     tag_cols = [t for t in tags if t in df.columns]
@@ -75,7 +76,7 @@ def window_points(
     fields = [
         f.name
         for f in df.schema.fields
-        if f.name not in tag_cols and f.name != window_col and isinstance(f.dataType, numeric)
+        if f.name not in {*tag_cols, spec.system_col, window_col} and isinstance(f.dataType, numeric)
     ]
     if not fields:
         raise ValueError("window_points: no numeric column")

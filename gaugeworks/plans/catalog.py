@@ -233,6 +233,23 @@ def q_window_points_long(spark, sf_dir):
     return present(points_long(pts))
 
 
+@register(
+    "window_points_by_system_1h",
+    "WITH b AS (\n" + S.basic_sql(S.events_wide_sql(), EVENTS, "1 hour", ["system_id"]) + "\n), d AS (\n"
+    "SELECT CAST(system_id AS VARCHAR) AS system_id, window_end AS time, analysis_type, window_duration, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _basic_fields(EVENTS))
+    + " FROM b\n)\n"
+    "SELECT 'aggregations_1_hour' AS measurement, system_id, analysis_type, window_duration,\n"
+    "  time, field, value\n"
+    "FROM (UNPIVOT d ON " + ", ".join(_basic_fields(EVENTS)) + " INTO NAME field VALUE value)\n"
+    "WHERE value IS NOT NULL AND NOT isnan(value) AND NOT isinf(value)",
+)
+def q_window_points_by_system_1h(spark, sf_dir):
+    out = ANALYSES["basic"](_events_wide(spark, sf_dir), EVENTS, "1 hour", by=["system_id"])
+    pts = window_points(rounded(out), EVENTS, measurement_name("basic", "1 hour"))
+    return present(points_long(pts))
+
+
 def _line_sql() -> str:
     parts = ", ".join(
         f"CASE WHEN {c} IS NOT NULL THEN '{c}=' || printf('%.6f', {c}) END" for c in _RAW_FIELDS

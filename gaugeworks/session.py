@@ -24,9 +24,7 @@ def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, sub) if sub else base
+    return f"{base.rstrip('/')}/{sub}" if sub else base
 
 
 def configured_checkpoint_dir(spark: SparkSession) -> str | None:

@@ -22,14 +22,15 @@ def kafka_options(
     topic: str,
     *,
     starting_offsets: str = "earliest",
-    fail_on_data_loss: bool = False,
-    max_offsets_per_trigger: int | None = 1000,
+    fail_on_data_loss: bool = True,
+    max_offsets_per_trigger: int | None = None,
     max_poll_records: int | None = 1000,
     extra: dict | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source: one topic, an admission limit per
-    micro-batch and a starting position (``earliest`` so a new checkpoint
-    replays the topic; ``latest`` reproduces a live-only consumer)."""
+    """Options of the Kafka source: one topic and a starting position
+    (``earliest`` so a new checkpoint replays the topic; ``latest``
+    reproduces a live-only consumer).  Lost offsets fail the query unless
+    ``fail_on_data_loss`` is off, and there is no admission limit unless one is set."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,

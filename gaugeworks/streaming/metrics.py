@@ -26,10 +26,12 @@ class PipelineMetrics(StreamingQueryListener):
         self.rows_per_second = {}
         self.watermark = {}
         self.late_rows = defaultdict(int)
+        self._names = {}
 
     # listener callbacks -------------------------------------------------
     def onQueryStarted(self, event):
-        pass
+        with self._lock:
+            self._names[str(event.id)] = event.name or str(event.id)
 
     def onQueryProgress(self, event):
         p = event.progress
@@ -50,7 +52,7 @@ class PipelineMetrics(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if event.exception:
             with self._lock:
-                self.failures[str(event.id)] += 1
+                self.failures[self._names.get(str(event.id), str(event.id))] += 1
 
     # read side ----------------------------------------------------------
     def active_streams(self) -> int:
@@ -62,8 +64,9 @@ class PipelineMetrics(StreamingQueryListener):
                 "records_processed": dict(self.records_processed),
                 "batches": dict(self.batches),
                 "failures": dict(self.failures),
-                # totals under the original application's counter names
-                "records_processed_total": sum(self.records_processed.values()),
+                # --- fixed values: counter names; every output reads the same
+                # source, so its records count once
+                "records_processed_total": max(self.records_processed.values(), default=0),
                 "batches_written_total": sum(self.batches.values()),
                 "write_errors_total": sum(self.failures.values()),
                 "rows_per_second": dict(self.rows_per_second),

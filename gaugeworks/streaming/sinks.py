@@ -1,13 +1,23 @@
-"""Idempotent point sinks.
+"""Idempotent, lossless point sinks.
 
 Points are written by Spark executors straight from the DataFrame (no
-``collect``).  Each write replaces exactly the partitions it produces
-(``partitionOverwriteMode=dynamic``): a streaming batch lands under
-``measurement=<m>/batch_id=<n>`` and a batch backfill under
-``measurement=<m>/date=<d>``, so a replayed micro-batch or a re-run
-backfill rewrites its own rows instead of duplicating them.  Errors
-propagate: a failed write fails the micro-batch, which is then replayed
-from the checkpoint on restart.
+``collect``) under ``measurement=<m>/date=<d>/run=<r>/batch_id=<n>``.  The
+date is that of the point, for points stamped with a window's end that of
+the window's last instant, so reads by time prune folders.  A write
+replaces only folders of its own run and batch
+(``partitionOverwriteMode=dynamic``), so it can never delete what another
+wrote:
+
+* a stream's run is its query id, which belongs to the checkpoint: a
+  replayed micro-batch rewrites its own rows, a reset checkpoint or a second
+  job on the same sink gets folders of its own;
+* a backfill declares the time range ``replace`` that it rewrites (and a
+  ``label`` where several jobs fill the same range, e.g. one a system); these
+  name its run.  Rows outside the range fail the write.  Backfills of
+  different ranges or labels lie side by side.
+
+Errors propagate: a failed write fails the micro-batch, which is then
+replayed from the checkpoint on restart.
 """
 
 from __future__ import annotations
@@ -20,22 +30,37 @@ from pyspark.sql import functions as F
 from ..operators.points import line_expr
 
 
-def _partitioned(points: DataFrame, batch_id: int | None) -> tuple[DataFrame, list[str]]:
-    if batch_id is None:
-        # backfill: range-partition on (measurement, time) so each task
-        # covers a contiguous time range (few date folders, few files per
-        # task) and a hot date is split over several tasks
-        dated = points.withColumn("date", F.to_date("time"))
-        return dated.repartitionByRange("measurement", "time"), ["measurement", "date"]
-    return points.withColumn("batch_id", F.lit(int(batch_id))), ["measurement", "batch_id"]
-
-
-def _overwrite(df: DataFrame, parts: list[str], max_records_per_file: int = 5_000_000):
+PARTITIONS = ["measurement", "date", "run", "batch_id"]
+
+
+def _partitioned(
+    points: DataFrame, batch_id: int | None, run: str | None, replace: tuple | None, label: str | None, end_stamped: bool
+) -> DataFrame:
+    at = F.col("time") - F.expr("INTERVAL 1 MICROSECOND") if end_stamped else F.col("time")
+    date = F.to_date(at)
+    if batch_id is not None:
+        return points.withColumns(
+            {"date": date, "run": F.lit(run or "stream"), "batch_id": F.lit(int(batch_id))}
+        )
+    if replace is None:
+        raise ValueError("a backfill needs replace=(from, to), the time range that it rewrites")
+    low, high = (F.lit(str(x)).cast("timestamp") for x in replace)
+    inside = (at >= low) & (at < high)
+    checked = F.when(inside, date).otherwise(F.raise_error(F.concat(F.lit("point outside the replaced range: "), at.cast("string"))))
+    name = "backfill_" + "_".join("".join(c if c.isalnum() else "-" for c in str(x)) for x in (*replace, label or "all"))
+    # range-partition on (measurement, time) so each task covers a
+    # contiguous time range (few date folders, few files per task) and a hot
+    # date is split over several tasks
+    dated = points.withColumns({"date": checked, "run": F.lit(name), "batch_id": F.lit(0)})
+    return dated.repartitionByRange("measurement", "time")
+
+
+def _overwrite(df: DataFrame, max_records_per_file: int = 5_000_000):
     return (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*parts)
+        .partitionBy(*PARTITIONS)
     )
 
 
@@ -44,20 +69,24 @@ def write_points(
     path: str,
     *,
     batch_id: int | None = None,
+    run: str | None = None,
+    replace: tuple | None = None,
+    label: str | None = None,
+    end_stamped: bool = False,
     fmt: str = "parquet",
     observe: bool = True,
 ) -> int | None:
     """Write wide points under ``path`` (Parquet by default), replacing
-    the partitions this write covers.  Returns the number of points
+    what the same run and batch wrote.  Returns the number of points
     written (counted in the same pass through ``observe``), or ``None``
     when counting is off."""
     obs = None
-    df, parts = _partitioned(points, batch_id)
+    df = _partitioned(points, batch_id, run, replace, label, end_stamped)
     if observe:
         # observed above the range exchange: its sampling job must not count
         obs = Observation(f"points_{batch_id if batch_id is not None else 'batch'}")
         df = df.observe(obs, F.count(F.lit(1)).alias("points"))
-    _overwrite(df, parts).format(fmt).save(path)
+    _overwrite(df).format(fmt).save(path)
     return int(obs.get.get("points", 0)) if obs is not None else None
 
 
@@ -66,13 +95,17 @@ def write_line_protocol(
     path: str,
     *,
     batch_id: int | None = None,
+    run: str | None = None,
+    replace: tuple | None = None,
+    label: str | None = None,
+    end_stamped: bool = False,
     precision: int | None = None,
 ) -> None:
     """Write points as line-protocol text files (one line per point),
     partitioned and replaced like ``write_points``."""
-    keyed, parts = _partitioned(points, batch_id)
-    text = keyed.select(line_expr(points, precision=precision).alias("value"), *parts)
-    _overwrite(text, parts).text(path)
+    keyed = _partitioned(points, batch_id, run, replace, label, end_stamped)
+    text = keyed.select(line_expr(points, precision=precision).alias("value"), *PARTITIONS)
+    _overwrite(text).text(path)
 
 
 class PointWriter:

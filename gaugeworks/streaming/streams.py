@@ -58,14 +58,17 @@ def _sink_raw(batch_df: DataFrame, batch_id: int, *, spec: PipelineSpec, measure
 
 def _sink_window(batch_df: DataFrame, batch_id: int, *, spec: PipelineSpec, measurement: str, sink: SinkConfig):
     pts = window_points(batch_df, spec, measurement, stamp=sink.stamp)
-    _write(pts, batch_id, sink)
+    _write(pts, batch_id, sink, end_stamped=sink.stamp == "end")
 
 
-def _write(points: DataFrame, batch_id: int, sink: SinkConfig):
+def _write(points: DataFrame, batch_id: int, sink: SinkConfig, end_stamped: bool = False):
+    # the id of the query lives in its checkpoint: a new checkpoint is a new run
+    run = points.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    where = {"batch_id": batch_id, "run": run, "end_stamped": end_stamped}
     if sink.fmt == "line":
-        write_line_protocol(points, sink.path, batch_id=batch_id, precision=sink.precision)
+        write_line_protocol(points, sink.path, precision=sink.precision, **where)
     else:
-        write_points(points, sink.path, batch_id=batch_id, fmt=sink.fmt, observe=False)
+        write_points(points, sink.path, fmt=sink.fmt, observe=False, **where)
 
 
 def plan_streams(
@@ -165,8 +168,11 @@ def stop_all(streams: StreamSet) -> None:
 
 def await_all(streams: StreamSet) -> None:
     """Wait for every query (for bounded ``availableNow`` runs)."""
-    for q in streams.queries:
-        q.awaitTermination()
+    try:
+        for q in streams.queries:
+            q.awaitTermination()
+    finally:  # one that failed ends the others too
+        stop_all(streams)
     for q in streams.queries:
         err = q.exception()
         if err is not None:

@@ -15,8 +15,10 @@ from .conftest import SF_SMALL
 def test_kafka_options():
     o = kafka_options("b:9092", "t", starting_offsets="latest", max_offsets_per_trigger=1000)
     assert o["subscribe"] == "t" and o["startingOffsets"] == "latest"
-    assert o["maxOffsetsPerTrigger"] == "1000" and o["failOnDataLoss"] == "false"
+    assert o["maxOffsetsPerTrigger"] == "1000" and o["failOnDataLoss"] == "true"
     assert o["kafka.max.poll.records"] == "1000"
+    assert "maxOffsetsPerTrigger" not in kafka_options("b:9092", "t")
+    assert kafka_options("b:9092", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
 
 
 def test_app_drains_file_source(spark, tmpdir_new):
@@ -33,6 +35,9 @@ def test_app_drains_file_source(spark, tmpdir_new):
     ms = {r.measurement for r in pts.select("measurement").distinct().collect()}
     assert ms == {"raw_sensor_data", "aggregations_1_hour", "anomalies_1_hour", "health_1_hour"}
     assert pts.where(F.col("measurement") == "raw_sensor_data").count() == h.count()
+    # raw points keep the values as they were published
+    got = {round(r[0], 9) for r in spark.read.parquet(f"{out}/measurement=raw_sensor_data").select("water_temperature").collect()}
+    assert got == {round(r[0], 9) for r in h.select("water_temperature").collect()}
 
 
 def test_kafka_paths_without_connector(spark, tmpdir_new):

@@ -33,11 +33,47 @@ def test_write_points_is_idempotent(spark, tmpdir_new):
     assert n1 == n2 == pts.count()
     assert spark.read.parquet(out).count() == n1
     back = os.path.join(tmpdir_new, "backfill")
-    assert write_points(pts, back) == n1  # backfill layout: measurement / date
-    assert write_points(pts, back) == n1  # re-run replaces the same dates
+    whole = ("2024-01-01", "2024-02-01")
+    assert write_points(pts, back, replace=whole) == n1
+    assert write_points(pts, back, replace=whole) == n1  # re-run replaces its own rows
     assert spark.read.parquet(back).count() == n1
 
 
+def test_sinks_never_delete_what_others_wrote(spark, tmpdir_new):
+    import pytest
+
+    from gaugeworks.operators.points import window_points
+    from gaugeworks.operators.windows import ANALYSES
+
+    wide = events_wide(table(spark, SF_SMALL, "events"))
+    pts = window_points(ANALYSES["basic"](wide, EVENTS, "5 minutes"), EVENTS, "w").cache()
+    out = os.path.join(tmpdir_new, "days")
+    end = F.col("time") - F.expr("INTERVAL 1 MICROSECOND")
+
+    def fill(low, high, label=None, rows=pts):
+        part = rows.where((end >= F.lit(low).cast("timestamp")) & (end < F.lit(high).cast("timestamp")))
+        write_points(part, out, replace=(low, high), label=label, end_stamped=True)
+        return part.count()
+
+    n = fill("2024-01-03", "2024-01-04")
+    n += fill("2024-01-02", "2024-01-03")  # its last window ends on the next day
+    assert spark.read.parquet(out).count() == n
+    n += fill("2024-01-05 00:00:00", "2024-01-05 12:00:00") + fill("2024-01-05 12:00:00", "2024-01-06 00:00:00")
+    assert spark.read.parquet(out).count() == n
+    twin = pts.withColumn("system_id", F.lit("other"))
+    n += fill("2024-01-03", "2024-01-04", label="other", rows=twin)
+    fill("2024-01-03", "2024-01-04")  # again
+    assert spark.read.parquet(out).count() == n
+    with pytest.raises(Exception, match="outside the replaced range"):
+        write_points(pts, out, replace=("2024-01-03", "2024-01-04"), end_stamped=True)
+    with pytest.raises(ValueError, match="replace"):
+        write_points(pts, out)
+    stream = os.path.join(tmpdir_new, "stream")
+    write_points(pts, stream, batch_id=0, run="one")
+    write_points(pts.limit(3), stream, batch_id=0, run="two")  # a reset checkpoint
+    assert spark.read.parquet(stream).count() == pts.count() + 3
+
+
 def test_line_protocol_files(spark, tmpdir_new):
     pts = _raw(spark)
     out = os.path.join(tmpdir_new, "lp")
