@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -585,8 +586,17 @@ def _elapsed_since_action(
 
 
 # --- streaming form ------------------------------------------------------
-def _stream_state_schema(rules) -> str:
-    return ", ".join(["origin long", "seen long"] + [f"last_{i} long" for i in range(len(rules))])
+def _pack(rows: pd.DataFrame) -> bytes:
+    """Readings that wait for the watermark, as an Arrow stream."""
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _unpack(held: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(held)).read_all().to_pandas()
 
 
 def control_stream(
@@ -601,34 +611,35 @@ def control_stream(
     """Streaming control actions (``emit='actions'``) or readings with
     elapsed seconds per rule (``emit='elapsed'``).
 
-    ``applyInPandasWithState`` grouped by system keeps O(1) state per system
-    (clock start, newest time seen, last action time per rule).  Each
-    micro-batch's rows of a system are sorted by time and replayed from the
-    stored state; rows older than the watermark are dropped by Spark, rows
-    older than a system's last action cannot fire (as in an ordered batch
-    they would have come earlier).  On in-order input the result equals
-    ``control_actions`` / ``elapsed_since_action``."""
+    Whether a reading fires depends on all earlier ones, so readings wait in
+    the state of their system until the watermark has passed them and are
+    then replayed in time order: the result does not depend on the order of
+    arrival and equals ``control_actions`` / ``elapsed_since_action`` over
+    the readings that came in time.  Spark drops the others and counts them
+    in ``numRowsDroppedByWatermark`` (``PipelineMetrics.late_rows``), also
+    times up to 1970, where its watermark begins.  As with windows, readings
+    of the last watermark delay stay in the state until later ones arrive.
+
+    State per system: clock start, last action time of each rule and the
+    readings of one watermark delay.  A NULL system is the default system."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     if emit not in ("actions", "elapsed"):
         raise ValueError("emit must be 'actions' or 'elapsed'")
+    delay = spec.watermark if watermark is None else watermark
+    if not delay:
+        raise ValueError("control_stream needs a watermark: readings are replayed behind it")
     sys_c, time_c = spec.system_col, spec.time_col
     sys_type = df.schema[sys_c].dataType.simpleString()
     cds = [int(round(r.cooldown * MICROS)) for r in rules]
-    names = [r.name for r in rules]
-    out_cols = [ELAPSED_COLUMNS.get(n, f"since_{n}") for n in names]
+    out_cols = [ELAPSED_COLUMNS.get(r.name, f"since_{r.name}") for r in rules]
     sensors = sorted({r.sensor for r in rules})
     tb = F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")
-    src = df
-    if df.isStreaming:
-        delay = spec.watermark if watermark is None else watermark
-        if delay:
-            src = src.withWatermark(time_c, delay)
     flags = []
     for i, r in enumerate(rules):
-        flags += [r.condition().alias(f"__hit{i}"), r.action().alias(f"__act{i}")]
-    rows = src.where(F.col(time_c).isNotNull()).select(
-        F.col(sys_c).alias("sys"),
+        flags += [F.coalesce(r.condition(), F.lit(False)).alias(f"__hit{i}"), r.action().alias(f"__act{i}")]
+    rows = df.withWatermark(time_c, delay).where(F.col(time_c).isNotNull()).select(
+        _system_key(spec).alias("sys"),
         F.unix_micros(F.col(time_c).cast("timestamp")).alias("t"),
         tb.alias("tb"),
         *[F.col(s).cast("double").alias(s) for s in sensors],
@@ -636,73 +647,67 @@ def control_stream(
         F.col(time_c).alias("__time"),
     )
     if emit == "actions":
-        out_schema = f"sys {sys_type}, rule string, action string, t long, value double, tb long"
+        out_schema = "sys string, rule string, action string, t long, value double, tb long"
     else:
-        out_schema = f"sys {sys_type}, t long, tb long, " + ", ".join(f"{c} int" for c in out_cols)
+        out_schema = "sys string, t long, tb long, " + ", ".join(f"{c} int" for c in out_cols)
 
     def step(key, pdfs, state):
-        frames = [p for p in pdfs if len(p)]
+        *last, held = state.get if state.exists else (*[None] * len(rules), None)
+        frames = [_unpack(held)] if held else []
+        frames += [p.drop(columns=["sys", "__time"]) for p in pdfs if len(p)]
         if not frames:
             return
-        pdf = pd.concat(frames, ignore_index=True).sort_values(["t", "tb"], kind="mergesort").reset_index(drop=True)
+        pdf = pd.concat(frames, ignore_index=True).sort_values(["t", "tb"], kind="mergesort", ignore_index=True)
+        mark = state.getCurrentWatermarkMs()
+        n = int(np.searchsorted(pdf["t"].to_numpy(np.int64), mark * 1000, side="right"))
+        rest, pdf = pdf.iloc[n:], pdf.iloc[:n]
         t = pdf["t"].to_numpy(np.int64)
-        if state.exists:
-            st = list(state.get)
-        else:
-            st = [int(t[0]), int(t[0])] + [int(t[0])] * len(rules)
-        origin, seen = st[0], st[1]
-        acts, last_times = [], []
-        for i, r in enumerate(rules):
-            hit = pdf[f"__hit{i}"].fillna(False).to_numpy(bool) & (t >= seen)
-            idx = np.flatnonzero(hit)
+        if n and last[0] is None:  # the clock starts at the first reading
+            last = [int(t[0])] * len(rules)
+        chains = []
+        for i in range(len(rules) if n else 0):
+            idx = np.flatnonzero(pdf[f"__hit{i}"].to_numpy(bool))
             te = t[idx]
-            last = st[2 + i]
             chain = []
-            j = int(np.searchsorted(te, last + cds[i], side="right"))
+            j = int(np.searchsorted(te, last[i] + cds[i], side="right"))
             while j < len(te):
                 chain.append(j)
                 j = int(np.searchsorted(te, te[j] + cds[i], side="right"))
-            fired = idx[chain]
-            if len(fired):
-                st[2 + i] = int(t[fired[-1]])
-            acts.append((r, fired))
-            last_times.append((last, fired))
-        st[1] = max(seen, int(t[-1]))
-        state.update(tuple(st))
+            chains.append((last[i], idx[chain]))
+            if chain:
+                last[i] = int(te[chain[-1]])
+        state.update((*last, _pack(rest) if len(rest) else None))
+        if len(rest):
+            state.setTimeoutTimestamp(max(int(rest["t"].iloc[0]) // 1000, mark + 1))
+        if not n:
+            return
         if emit == "actions":
-            out = []
-            for i, (r, fired) in enumerate(acts):
+            for i, (_, fired) in enumerate(chains):
                 if len(fired):
-                    out.append(
-                        pd.DataFrame(
-                            {
-                                "sys": pdf["sys"].iloc[fired].to_numpy(),
-                                "rule": r.name,
-                                "action": pdf[f"__act{i}"].iloc[fired].to_numpy(),
-                                "t": t[fired],
-                                "value": pdf[r.sensor].iloc[fired].to_numpy(),
-                                "tb": pdf["tb"].iloc[fired].to_numpy(),
-                            }
-                        )
+                    yield pd.DataFrame(
+                        {
+                            "sys": key[0],
+                            "rule": rules[i].name,
+                            "action": pdf[f"__act{i}"].to_numpy()[fired],
+                            "t": t[fired],
+                            "value": pdf[rules[i].sensor].to_numpy()[fired],
+                            "tb": pdf["tb"].to_numpy()[fired],
+                        }
                     )
-            if out:
-                yield pd.concat(out, ignore_index=True)
             return
-        res = pd.DataFrame({"sys": pdf["sys"].to_numpy(), "t": t, "tb": pdf["tb"].to_numpy()})
-        rows_idx = np.arange(len(t))
-        for (prev, fired), col in zip(last_times, out_cols):
-            # last action at or before each row (in time, tie-break order):
-            # this batch's actions, else the stored state
-            pos = np.searchsorted(fired, rows_idx, side="right") - 1
-            last_t = np.where(pos >= 0, t[fired[np.maximum(pos, 0)]] if len(fired) else prev, prev)
+        res = pd.DataFrame({"sys": key[0], "t": t, "tb": pdf["tb"].to_numpy()})
+        for (before, fired), col in zip(chains, out_cols):
+            # last action at or before each row in (time, tie-break) order
+            pos = np.searchsorted(fired, np.arange(n), side="right")
+            last_t = np.concatenate([[before], t[fired]])[pos]
             res[col] = ((t - last_t) // MICROS).astype("int32")
         yield res
 
+    state_schema = ", ".join([*[f"last_{i} long" for i in range(len(rules))], "held binary"])
     out = rows.groupBy("sys").applyInPandasWithState(
-        step, out_schema, _stream_state_schema(rules), "append", GroupStateTimeout.NoTimeout
+        step, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout
     )
+    out = out.withColumnRenamed("sys", sys_c).withColumn(sys_c, _system_back(spec, sys_type))
     if emit == "actions":
-        return out.select(
-            F.col("sys").alias(sys_c), "rule", "action", F.timestamp_micros("t").alias(time_c), "value", "tb"
-        )
-    return out.select(F.col("sys").alias(sys_c), F.timestamp_micros("t").alias(time_c), "tb", *out_cols)
+        return out.select(sys_c, "rule", "action", F.timestamp_micros("t").alias(time_c), "value", "tb")
+    return out.select(sys_c, F.timestamp_micros("t").alias(time_c), "tb", *out_cols)

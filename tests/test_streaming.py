@@ -141,11 +141,12 @@ def test_streaming_control_equals_batch(spark, tmpdir_new):
 
     rnd = random.Random(3)
     t = 1_704_067_200  # 2024-01-01
-    for b in range(5):
+    for b in range(6):
         keys, vals, ts = [], [], []
-        for _ in range(60):
-            t += rnd.choice([5, 60, 200, 400])
-            sysid = rnd.choice([b"a", b"b"])
+        # a far reading of another system moves the watermark past all others
+        for _ in range(60 if b < 5 else 1):
+            t += rnd.choice([5, 60, 200, 400]) if b < 5 else 100_000
+            sysid = rnd.choice([b"a", b"b"]) if b < 5 else b"z"
             doc = {"timestamp": t * 1000, "sensors": {"water_level_percent": rnd.uniform(20, 40),
                    "water_ph": rnd.uniform(5.5, 6.5), "ec_tds": rnd.uniform(1.1, 1.5)}}
             keys.append(sysid); vals.append(json.dumps(doc).encode()); ts.append(t * 1_000_000)
@@ -157,7 +158,8 @@ def test_streaming_control_equals_batch(spark, tmpdir_new):
 
     def parsed(stream):
         p = parse_readings(read_envelope_files(spark, src, stream=stream, max_files_per_trigger=1 if stream else None), HYDROPONIC)
-        return with_system_id(p, HYDROPONIC)
+        p = with_system_id(p, HYDROPONIC)
+        return p if stream else p.where("system_id != 'z'")
 
     out_a, out_e = os.path.join(tmpdir_new, "acts"), os.path.join(tmpdir_new, "el")
     for emit, out in (("actions", out_a), ("elapsed", out_e)):
@@ -235,22 +237,64 @@ def test_streaming_windows_by_system(spark, tmpdir_new):
     assert got == [("a", 2), ("b", 1)]
 
 
-def test_control_stream_out_of_order_row_cannot_fire(spark, tmpdir_new):
+def _control(spark, base, batches, watermark, emit="actions"):
     from gaugeworks.operators.control import control_stream
     from gaugeworks.operators.parse import with_system_id
     from gaugeworks.spec import HYDROPONIC
 
-    src = os.path.join(tmpdir_new, "in")
-    # clock starts at 0; 400 fires (> 300 s); 380 arrives late (older than the
-    # last action) and cannot fire; 800 fires
-    _write_keyed(src, [[("a", 0, 50.0), ("a", 400, 10.0)], [("a", 380, 10.0)], [("a", 800, 10.0)]])
+    src, out = os.path.join(base, "in"), os.path.join(base, emit)
+    _write_keyed(src, batches)
     parsed = with_system_id(parse_readings(read_envelope_files(spark, src, max_files_per_trigger=1), HYDROPONIC), HYDROPONIC)
-    out = os.path.join(tmpdir_new, "acts")
     q = (
-        control_stream(parsed, HYDROPONIC, watermark="1 hour").writeStream.format("parquet")
+        control_stream(parsed, HYDROPONIC, emit=emit, watermark=watermark).writeStream.format("parquet")
         .option("path", out).option("checkpointLocation", out + "_cp").outputMode("append")
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    got = sorted(int(r.t) for r in spark.read.parquet(out).select(F.unix_seconds("event_time").alias("t")).collect())
-    assert got == [400, 800]
+    late = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in json.loads(p.json)["stateOperators"])
+    return spark.read.parquet(out).withColumn("s", F.unix_seconds("event_time")).collect(), late
+
+
+# a far reading of another system moves the watermark past all others
+END = [("z", 100_000, 50.0)]
+
+
+def test_control_stream_replays_out_of_order_rows_in_time_order(spark, tmpdir_new):
+    # the clock starts at 10,000; 10,380 arrives after 10,400, inside the
+    # watermark: it fires, so 10,400 does not; 10,800 does
+    batches = [[("a", 10_000, 50.0), ("a", 10_400, 10.0)], [("a", 10_380, 10.0)], [("a", 10_800, 10.0)], END]
+    got, late = _control(spark, tmpdir_new, batches, "1 hour")
+    assert sorted(r.s for r in got) == [10_380, 10_800]
+    assert late == 0
+
+
+def test_control_stream_drops_and_counts_rows_behind_the_watermark(spark, tmpdir_new):
+    batches = [[("a", 1000, 50.0), ("a", 2000, 10.0)], [("a", 2100, 10.0)], [("a", 500, 10.0)], [("a", 3000, 10.0)], END]
+    got, late = _control(spark, tmpdir_new, batches, "30 seconds")
+    assert sorted(r.s for r in got) == [2000, 3000]
+    assert late == 1
+
+
+def test_control_stream_on_shuffled_input_equals_batch(spark, tmpdir_new):
+    import random
+
+    from gaugeworks.operators.control import control_actions, elapsed_since_action
+    from gaugeworks.operators.parse import with_system_id
+    from gaugeworks.spec import HYDROPONIC
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice("ab"), 10_000 + 7 * i, rnd.uniform(20, 40)) for i in range(400)]
+    near = sorted(rows, key=lambda r: r[1] + rnd.uniform(-600, 600))
+    batches = [near[i : i + 80] for i in range(0, 400, 80)] + [END]
+    acts, late = _control(spark, tmpdir_new, batches, "1 hour")
+    last, _ = _control(spark, tmpdir_new, batches, "1 hour", emit="elapsed")
+    assert late == 0
+    env = read_envelope_files(spark, os.path.join(tmpdir_new, "in"), stream=False)
+    batch = with_system_id(parse_readings(env, HYDROPONIC), HYDROPONIC).where("system_id != 'z'")
+    want = control_actions(batch, HYDROPONIC).collect()
+    assert sorted((r.system_id, r.event_time, r.rule) for r in acts) == sorted((r.system_id, r.event_time, r.rule) for r in want)
+    assert len(want) > 5
+    columns = ("system_id", "event_time", "last_refill", "last_ph_adjust", "last_nutrient_dose")
+    pick = lambda found: sorted(tuple(r[c] for c in columns) for r in found)
+    assert pick(last) == pick(elapsed_since_action(batch, HYDROPONIC).collect())
+    assert min(r.last_refill for r in last) >= 0
