@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.control import ELAPSED_COLUMNS, HYDROPONIC_RULES, control_actions, elapsed_since_action
-from ..operators.parse import clean_readings, parse_readings
+from ..operators.parse import clean_readings, nan_to_null, parse_readings
 from ..operators.points import line_protocol, points_long, raw_points, window_points
 from ..operators.readings import latest_readings, with_plant_activity, with_schedule, with_status_line
 from ..operators.windows import ANALYSES, flatten_window, measurement_name
 from ..session import ensure_utc
 from ..sources.envelope import to_envelope
-from ..sources.tables import events_as_hydroponic, events_wide, lineitem_dense, table
+from ..sources.tables import events_as_hydroponic, events_wide, events_with_gaps, lineitem_dense, table
 from ..spec import EVENT_TYPES, EVENTS, HYDROPONIC, LINEITEM
 from . import sql as S
 
@@ -147,6 +147,28 @@ register("basic_dense_by_flag_1d", S.basic_sql(S.lineitem_dense_sql(), LINEITEM,
 )
 
 
+# NULL and NaN values and NULL times: statistics skip them once NaN is NULL,
+# an uncleaned NaN is an anomaly, a reading without a time is in no window
+def _events_gaps(spark, sf_dir):
+    ensure_utc(spark)
+    return events_with_gaps(table(spark, sf_dir, "events"))
+
+
+def _events_gaps_cleaned(spark, sf_dir):
+    return nan_to_null(_events_gaps(spark, sf_dir), EVENTS)
+
+
+register("null_rules_5m", S.basic_sql(S.events_gaps_sql("NULL"), EVENTS, "5 minutes"))(
+    _analysis("basic", _events_gaps_cleaned, EVENTS, "5 minutes")
+)
+register("null_rules_health_5m", S.health_sql(S.events_gaps_sql("NULL"), EVENTS, "5 minutes"))(
+    _analysis("health", _events_gaps_cleaned, EVENTS, "5 minutes")
+)
+register("null_rules_anomaly_5m", S.anomaly_sql(S.events_gaps_sql(), EVENTS, "5 minutes"))(
+    _analysis("anomaly", _events_gaps, EVENTS, "5 minutes")
+)
+
+
 # the hydroponic ranges over dense derived readings
 def _hydro_with_activity(spark, sf_dir):
     return with_plant_activity(_events_hydro(spark, sf_dir))
@@ -209,6 +231,18 @@ def q_raw_points_long(spark, sf_dir):
     return present(points_long(pts))
 
 
+@register(
+    "raw_points_nulls",
+    "WITH w AS (\n  " + S.events_gaps_sql() + "\n)\n"
+    "SELECT 'raw_sensor_data' AS measurement, CAST(system_id AS VARCHAR) AS system_id,\n"
+    "  coalesce(event_time, epoch_ms(sensor_timestamp)) AS time, field, " + S.r("value") + " AS value\n"
+    "FROM (UNPIVOT w ON " + ", ".join(_RAW_FIELDS) + " INTO NAME field VALUE value)\n"
+    "WHERE value IS NOT NULL AND NOT isnan(value) AND NOT isinf(value)",
+)
+def q_raw_points_nulls(spark, sf_dir):
+    return present(points_long(raw_points(_events_gaps(spark, sf_dir), EVENTS)))
+
+
 def _basic_fields(spec) -> list[str]:
     out = []
     for c in spec.aggregate_columns:

@@ -29,6 +29,17 @@ def events_wide_sql() -> str:
     )
 
 
+def events_gaps_sql(nan: str = "CAST('NaN' AS DOUBLE)") -> str:
+    cols = ",\n    ".join(f"CASE WHEN event_type = '{t}' THEN v END AS {t}" for t in EVENT_TYPES)
+    return (
+        "SELECT user_id AS system_id, CASE WHEN event_id % 13 <> 0 THEN ts END AS event_time,\n"
+        "    epoch_us(ts) // 1000 AS sensor_timestamp,\n    "
+        + cols
+        + f",\n    CAST({K_SQL} AS DOUBLE) / 100.0 AS plant_activity\n  FROM (SELECT *, CASE WHEN event_id % 11 = 0 THEN NULL "
+        f"WHEN event_id % 7 = 0 THEN {nan} ELSE value END AS v FROM events) e"
+    )
+
+
 def lineitem_dense_sql() -> str:
     cols = ", ".join(f"{c} + 0.0 AS {c}" for c in LINEITEM_SENSORS)
     return f"SELECT l_returnflag AS system_id, l_shipdate AS event_time, {cols}\n  FROM lineitem"
