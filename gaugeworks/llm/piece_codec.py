@@ -33,7 +33,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNKNOWN_PENALTY = 10.0
-UNIT_TABLE = 600_000
+UNIT_TABLE = 250_000
 UNIT_CHARS = 48
 
 
@@ -200,9 +200,9 @@ class PieceCodec:
 
     def decode(self, ids) -> str:
         raw, n = self.v.raw, len(self.v.raw)
-        if len(ids) and (min(ids) < 0 or max(ids) >= n):
-            ids = [i for i in ids if 0 <= i < n]
-        text = b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")
+        ids = np.asarray(ids, dtype=np.int64)
+        ids = ids[(ids >= 0) & (ids < n)]
+        text = b"".join(map(raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -230,7 +230,8 @@ def decode_pieces(ids: Column, model_path: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = PieceCodec(PieceVocabulary(model_path))
         for batch in batches:
-            rows = [None if not r.is_valid else r.values.drop_null().to_numpy().tolist() for r in batch]
-            yield pa.array([None if r is None else codec.decode(r) for r in rows], pa.string())
+            # ids become Python numbers for one row at a time
+            texts = [codec.decode(r.values.drop_null().to_numpy()) if r.is_valid else None for r in batch]
+            yield pa.array(texts, pa.string())
 
     return decode(ids)
