@@ -25,16 +25,20 @@ control ids decode to nothing, broken bytes to U+FFFD.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN_PENALTY = 10.0
-UNIT_TABLE = 250_000
+UNIT_TABLE = 150_000
 UNIT_CHARS = 48
+ROWS = 128
+
+_NONE = float("-inf")
 
 
 class PieceVocabulary:
@@ -59,33 +63,43 @@ class PieceVocabulary:
                 self.scores[text] = (model.get_score(i), i)
                 self.raw[i] = text.encode("utf-8")
         self.longest = max(map(len, self.scores), default=1)
-        # every beginning of a piece; None where it is no piece itself
-        self.nodes: dict[str, tuple[float, int] | None] = dict(self.scores)
-        for piece in self.scores:
-            for k in range(1, len(piece)):
-                self.nodes.setdefault(piece[:k], None)
+        # children of a beginning of pieces: character to (children, score, id); id -1 where it is no piece itself
+        self.root: dict[str, tuple[dict, float, int]] = {}
+        for piece, (score, i) in sorted(self.scores.items()):  # a beginning comes before what it begins
+            at = self.root
+            for c in piece[:-1]:
+                at = at.setdefault(c, ({}, 0.0, -1))[0]
+            at[piece[-1]] = ({}, score, i)
         self.unknown = min((s for s, _ in self.scores.values()), default=0.0) - UNKNOWN_PENALTY
         if -1 in self.byte_ids:
             raise ValueError("the model lacks byte pieces, so not every text can be encoded")
         crossed = any(re.search(r"[^ ] ", p) for p in self.scores)
         broken = any("\n" in p for p in self.scores)
         # units end where no piece can reach across
-        self.units = re.compile(
-            r"[\s\S]+" if crossed else r" *[^ ]+| +" if broken else r"\n| *[^ \n]+| +"
-        )
+        if crossed or broken:
+            self.units = re.compile(r"[\s\S]+" if crossed else r" *[^ ]+| +")
+            return
+        marks = "".join(m for m in ".,;:!?" if not any(re.search(rf"[^\W_]{re.escape(m)}", p) for p in self.scores))
+        more = rf"(?:[^ \n{marks}]+|(?<![^\W_])[{marks}])" if marks else r"[^ \n]"
+        # a mark right after a letter or digit begins a unit
+        self.units = re.compile(rf"\n| *{more}+|[^ \n]{more}*| +")
 
 
 class StreamingViterbi:
     """Feed characters, take committed ids.
 
-    ``best`` holds the scores of the boundaries after the one at hand, at
-    most ``longest`` of them; ``back`` the edges since the last commit."""
+    ``best``, ``start`` and ``piece`` hold, for the boundaries since the
+    last commit, the best score and the edge that ends there; ``reach`` is
+    the last boundary with a score, at most ``longest`` after the one at
+    hand.  Text is taken in bounded steps and forgotten once committed."""
 
     def __init__(self, vocabulary: PieceVocabulary):
         self.v = vocabulary
-        self.text, self.j, self.done = "", 0, 0
-        self.best: dict[int, float] = {0: 0.0}
-        self.back: dict[int, tuple[int, int]] = {}
+        self._restart()
+
+    def _restart(self) -> None:
+        self.text, self.j, self.done, self.reach = "", 0, 0, 0
+        self.best, self.start, self.piece = [0.0], [0], [-1]
 
     def feed(self, text: str) -> list[int]:
         """Add text; starts are worked off as far as whole pieces of the
@@ -93,9 +107,15 @@ class StreamingViterbi:
         out: list[int] = []
         step = 64 * self.v.longest
         for i in range(0, len(text), step):
-            self.text += text[i : i + step]
-            out += self._advance(len(self.text) - self.v.longest + 1)
-            self._forget()
+            new = text[i : i + step]
+            self.text += new
+            self.best += [_NONE] * len(new)
+            self.start += [0] * len(new)
+            self.piece += [-1] * len(new)
+            stop = len(self.text) - self.v.longest + 1
+            if stop > self.j:
+                out += self._advance(stop)
+                self._forget()
         return out
 
     def finish(self) -> list[int]:
@@ -103,88 +123,91 @@ class StreamingViterbi:
         n = len(self.text)
         out = self._advance(n)
         self._commit(n, out)
-        self.text, self.j, self.done = "", 0, 0
-        self.best, self.back = {0: 0.0}, {}
+        self._restart()
         return out
 
     def _advance(self, stop: int) -> list[int]:
         out: list[int] = []
-        s, n, best, back = self.text, len(self.text), self.best, self.back
-        nodes, unknown, many = self.v.nodes, self.v.unknown, 8 * self.v.longest
-        for j in range(self.j, max(stop, self.j)):
-            here = best.pop(j)
-            if not best:  # no piece reaches across j: all paths meet here
+        s, best, start, piece, reach = self.text, self.best, self.start, self.piece, self.reach
+        root, unknown, longest = self.v.root, self.v.unknown, self.v.longest
+        for j in range(self.j, stop):
+            if reach <= j:  # no piece reaches across j: all paths meet here
                 self._commit(j, out)
-                here = 0.0
-            elif len(back) > many:
-                self._commit(self._meeting(j), out)
-            alone = True
-            for k in range(j + 1, n + 1):
-                hit = nodes.get(s[j:k], 0)
-                if hit == 0:
-                    break  # no piece begins like this
-                if hit is not None:
-                    score = here + hit[0]
-                    old = best.get(k)
-                    if old is None or score > old:  # a tie stays with the longer piece
-                        best[k] = score
-                        back[k] = (j, hit[1])
-                    if k == j + 1:
-                        alone = False
-            if alone:
-                score = here + unknown
-                old = best.get(j + 1)
-                if old is None or score > old:
-                    best[j + 1] = score
-                    back[j + 1] = (j, -1)
-        self.j = max(stop, self.j)
+                here, reach = 0.0, j + 1
+            else:
+                here = best[j]
+                if j - self.done > 8 * longest:
+                    self._commit(self._meeting(j, reach), out)
+            k, children = j, root
+            for c in s[j : j + longest]:
+                node = children.get(c)
+                if node is None:  # no piece begins like this
+                    break
+                k += 1
+                children, score, i = node
+                # a tie stays with the longer piece
+                if i >= 0 and here + score > best[k]:
+                    best[k], start[k], piece[k] = here + score, j, i
+                    if k > reach:
+                        reach = k
+            # a character that is no piece itself
+            node = root.get(s[j])
+            if (node is None or node[2] < 0) and here + unknown > best[j + 1]:
+                best[j + 1], start[j + 1], piece[j + 1] = here + unknown, j, -1
+        self.j, self.reach = stop, reach
         return out
 
-    def _meeting(self, j: int) -> int:
+    def _meeting(self, j: int, reach: int) -> int:
         """The last boundary that the paths of all live ends share."""
-        alive = {j, *self.best}
+        alive = {j, *(k for k in range(j + 1, reach + 1) if self.best[k] > _NONE)}
         while len(alive) > 1:
             last = max(alive)
             alive.remove(last)
-            alive.add(max(self.back[last][0], self.done))
+            alive.add(max(self.start[last], self.done))
         return alive.pop()
 
     def _commit(self, meet: int, out: list[int]) -> None:
-        path, end, back = [], meet, self.back
+        path, end = [], meet
         while end > self.done:
-            start, i = back.pop(end)
-            path.append([i] if i >= 0 else [self.v.byte_ids[b] for b in self.text[start:end].encode("utf-8")])
-            end = start
-        for ids in reversed(path):
-            out += ids
-        if meet > self.done:
-            self.done = meet
-            for k in [k for k in back if k <= meet]:
-                del back[k]
+            first, i = self.start[end], self.piece[end]
+            if i >= 0:
+                path.append(i)
+            else:
+                path += [self.v.byte_ids[b] for b in reversed(self.text[first:end].encode("utf-8"))]
+            end = first
+        out += reversed(path)
+        self.done = max(meet, self.done)
 
     def _forget(self) -> None:
         """Drop the committed characters and count boundaries from there."""
         d = self.done
         if d:
-            self.text, self.j, self.done = self.text[d:], self.j - d, 0
-            low = min(self.best.values())
-            self.best = {k - d: x - low for k, x in self.best.items()}
-            self.back = {k - d: (a - d, i) for k, (a, i) in self.back.items()}
+            self.text, self.j, self.reach, self.done = self.text[d:], self.j - d, self.reach - d, 0
+            base = self.best[self.j + d]
+            self.best = [x - base if x > _NONE else x for x in self.best[d:]]
+            self.start = [a - d for a in self.start[d:]]
+            self.piece = self.piece[d:]
 
 
 class PieceCodec:
-    """Whole texts to ids and back, with a table of short units."""
+    """Whole texts to ids and back, with a table of short units.
+
+    A full table becomes the older one, from which units in use come back."""
 
     def __init__(self, vocabulary: PieceVocabulary, table: int = UNIT_TABLE):
         self.v = vocabulary
         self.viterbi = StreamingViterbi(vocabulary)
         self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.limit = table
 
     def _unit(self, unit: str) -> bytes:
-        ids = np.array(self.viterbi.feed(unit) + self.viterbi.finish(), dtype=np.int32).tobytes()
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = array("i", self.viterbi.feed(unit) + self.viterbi.finish()).tobytes()
         if len(unit) <= UNIT_CHARS:
             if len(self.table) >= self.limit:
+                self.older = self.table.copy()
                 self.table.clear()
             self.table[unit] = ids
         return ids
@@ -206,6 +229,19 @@ class PieceCodec:
         return text[1:] if text.startswith(" ") else text
 
 
+def _id_lists(texts: pa.Array, codec: PieceCodec) -> pa.ListArray:
+    rows = [codec.encode(t.as_py()) if t.is_valid else None for t in texts]
+    offsets = np.cumsum([0, *(0 if r is None else len(r) for r in rows)]).astype(np.int32)
+    values = np.concatenate([np.empty(0, np.int32), *(r for r in rows if r is not None)])
+    missing = pa.array([r is None for r in rows], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=missing)
+
+
+def _texts(ids: pa.ListArray, codec: PieceCodec) -> pa.Array:
+    # ids become Python numbers for one row at a time
+    return pa.array([codec.decode(r.values.drop_null().to_numpy()) if r.is_valid else None for r in ids], pa.string())
+
+
 def encode_pieces(text: Column, model_path: str) -> Column:
     """Array of piece ids of a text column."""
 
@@ -213,12 +249,7 @@ def encode_pieces(text: Column, model_path: str) -> Column:
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = PieceCodec(PieceVocabulary(model_path))
         for batch in texts:
-            rows = [None if not t.is_valid else codec.encode(t.as_py()) for t in batch]
-            sizes = [0 if r is None else len(r) for r in rows]
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            values = np.concatenate([np.empty(0, np.int32), *[r for r in rows if r is not None]])
-            missing = pa.array([r is None for r in rows], pa.bool_())
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=missing)
+            yield _id_lists(batch, codec)
 
     return encode(text)
 
@@ -230,8 +261,24 @@ def decode_pieces(ids: Column, model_path: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = PieceCodec(PieceVocabulary(model_path))
         for batch in batches:
-            # ids become Python numbers for one row at a time
-            texts = [codec.decode(r.values.drop_null().to_numpy()) if r.is_valid else None for r in batch]
-            yield pa.array(texts, pa.string())
+            yield _texts(batch, codec)
 
     return decode(ids)
+
+
+def round_trips(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, text, ids, decoded`` of every row: the ids of the text and
+    the text of these ids.  One worker does both, ``ROWS`` rows at a time."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = PieceCodec(PieceVocabulary(model_path))
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                ids = _id_lists(part.column(1), codec)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), ids, _texts(ids, codec)], names=["doc_id", "text", "ids", "decoded"]
+                )
+
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(code, "doc_id bigint, text string, ids array<int>, decoded string")

@@ -102,10 +102,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("piece_bpe_32k.model")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("ids", piece_codec.encode_pieces(F.col("text"), path))
-    back = coded.withColumn("decoded", piece_codec.decode_pieces(F.col("ids"), path))
-    return back.select(
+    return piece_codec.round_trips(read_table(spark, sf_dir, "documents"), path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_pieces"),
         F.xxhash64("ids").alias("ids_hash"),
