@@ -15,9 +15,9 @@ Encoding splits a text at ASCII white space and encodes every distinct
 word once per block of texts.  That equals encoding whole texts for a
 tokenizer that drops white space before its merges, which
 ``words_encode_alone`` verifies for the one in use; any other tokenizer
-gets whole texts.  Likewise A-Z are lowered first, and a full stop or
-comma that ends a word is parted from a letter or digit, where the
-tokenizer does so itself: fewer words are distinct then.
+gets whole texts.  Likewise A-Z are lowered first, and a new word that
+ends in a full stop or comma after a letter or digit is put together from
+the two, where the tokenizer does so itself: fewer words are encoded then.
 
 Memory is bounded by one Arrow batch of texts, the word table (cleared at
 ``WORD_TABLE`` entries) and one record batch.  Files get a private name
@@ -32,6 +32,7 @@ shard and reads back as no rows.  Only the two named columns are read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -87,7 +88,17 @@ def parts_marks(tokenizer) -> bool:
     ).ids
 
 
-_ENDS = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,](?:[\x20\x09-\x0d]|$))")
+_MARKED = re.compile(rb".*[A-Za-z0-9][.,]", re.S)
+
+
+def word_ends(tokenizer) -> np.ndarray | None:
+    """Which ids end a word, where the model marks that in its pieces."""
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+    if not suffix:
+        return None
+    ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+    ends[[i for piece, i in tokenizer.get_vocab().items() if piece.endswith(suffix)]] = True
+    return ends
 
 
 class TextEncoder:
@@ -98,6 +109,7 @@ class TextEncoder:
         self.dtype = np.dtype("<u2") if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.dtype("<u4")
         self.by_word = words_encode_alone(self.tokenizer)
         self.folds, self.parts = folds_case(self.tokenizer), parts_marks(self.tokenizer)
+        self.ends = word_ends(self.tokenizer)
         self.end = np.array([end_id], dtype=self.dtype).tobytes()
         self.table: dict[bytes, bytes] = {}
         self.limit = table
@@ -116,11 +128,36 @@ class TextEncoder:
         at = np.searchsorted(np.array([a for a, _ in got.offsets], dtype=np.int64), begins)
         return [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
+    def _encode_letters(self, words: list[bytes]) -> list[bytes]:
+        """The same for words of letters, without offsets: every word has
+        an id that ends it, so with as many ends as words each has one."""
+        if self.ends is not None:
+            text = b" ".join(words).decode("utf-8")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            at = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            if len(at) == len(words) + 1 and at[-1] == len(ids):
+                return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
+        return self._encode_words(words)
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put words into the table, those with an end mark as word and mark."""
+        table = self.table
+        marked = [w for w in words if _MARKED.fullmatch(w)] if self.parts else []
+        if marked:
+            words = words.difference(marked).union(w[:-1] for w in marked).union((b".", b",")).difference(table)
+        letters, others = [], []
+        for w in words:
+            (letters if w.isalpha() or w.decode("utf-8").isalpha() else others).append(w)
+        for kind, encode in ((letters, self._encode_letters), (others, self._encode_words)):
+            for i in range(0, len(kind), 4096):
+                part = kind[i : i + 4096]
+                table.update(zip(part, encode(part)))
+        for w in marked:
+            table[w] = table[w[:-1]] + table[w[-1:]]
+
     def _plain(self, raw: bytes) -> bytes:
         # some small letters compose with a combining mark (bytes CC, CD) where the capital does not
-        if self.folds and b"\xcc" not in raw and b"\xcd" not in raw:
-            raw = raw.lower()
-        return _ENDS.sub(b" ", raw) if self.parts else raw
+        return raw.lower() if self.folds and b"\xcc" not in raw and b"\xcd" not in raw else raw
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """One array for each text, the end id included."""
@@ -132,10 +169,7 @@ class TextEncoder:
         split = [self._plain(t.encode("utf-8")).split() for t in texts]
         if len(self.table) > self.limit:
             self.table.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.table))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            self.table.update(zip(part, self._encode_words(part)))
+        self._learn(set(chain.from_iterable(split)).difference(self.table))
         get = self.table.__getitem__
         for words in split:
             yield np.frombuffer(b"".join(map(get, words)) + self.end, dtype=self.dtype)
