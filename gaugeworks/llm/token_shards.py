@@ -19,7 +19,7 @@ gets whole texts.  Likewise A-Z are lowered first, and a new word that
 ends in a full stop or comma after a letter or digit is put together from
 the two, where the tokenizer does so itself: fewer words are encoded then.
 
-Memory is bounded by one Arrow batch of texts, the word table (cleared at
+Memory is bounded by one Arrow batch of texts, the words of ``ROWS`` texts, the word table (cleared at
 ``WORD_TABLE`` entries) and one record batch.  Files get a private name
 and are moved in place when complete, so a task that runs again replaces
 its file by an equal one.  The driver sees one row for each shard.
@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 
 SEQUENCE = 2048
 BATCH = 64
+ROWS = 256
 WORD_TABLE = 800_000
 END_ID = 1
 
@@ -221,9 +222,7 @@ def write_token_shards(
             ]
             ids_out.write_batch(pa.RecordBatch.from_arrays(columns, schema=schema))
 
-        for rows in batches:
-            if not rows.num_rows:
-                continue
+        for rows in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             if encoder is None:
                 encoder = TextEncoder(tokenizer_path, end_id)
                 kind = pa.from_numpy_dtype(encoder.dtype)
