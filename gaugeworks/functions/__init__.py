@@ -8,6 +8,7 @@ from .expressions import (
     finite,
     health_score,
     mean_of,
+    mean_of_present,
     nan_to_null,
     plant_activity,
     range_flag,
@@ -23,6 +24,7 @@ __all__ = [
     "finite",
     "health_score",
     "mean_of",
+    "mean_of_present",
     "nan_to_null",
     "plant_activity",
     "range_flag",

@@ -68,6 +68,16 @@ def mean_of(cols) -> Column:
     return reduce(add, cols) / F.lit(float(len(cols)))
 
 
+def mean_of_present(cols) -> Column:
+    """Mean of those columns of a list that are not NULL; NULL if none is."""
+    cols = [col_of(c) for c in cols]
+    if not cols:
+        raise ValueError("mean_of_present needs at least one column")
+    total = reduce(add, [F.coalesce(c, F.lit(0.0)) for c in cols])
+    count = reduce(add, [c.isNotNull().cast("int") for c in cols])
+    return F.when(count > 0, total / count)
+
+
 # --- fixed values: plant-activity model (optimal light 800, optimal
 # --- temperature 22 with span 10 and floor 0.1, optimal pH 6.0 with span
 # --- 1.5 and floor 0.3).

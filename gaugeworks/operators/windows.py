@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import health_score, mean_of, range_flag
+from ..functions.expressions import health_score, mean_of, mean_of_present, range_flag
 from ..spec import PipelineSpec
 
 # --- fixed values: analysis labels (``analysis_type``) and the measurement
@@ -113,10 +113,15 @@ def system_health(
     *,
     by=(),
     watermark: str | None = None,
+    missing: str = "zero",
 ) -> DataFrame:
     """Per window: average health score of each present sensor, average
     overall health (mean over the sensor columns present), average activity
-    and row count.  A missing reading scores 0."""
+    and row count.  A missing reading scores 0 (``missing="zero"``) or
+    has no score (``"skip"``): the overall health of a row is then the mean
+    of the scores it has, NULL if none."""
+    if missing not in ("zero", "skip"):
+        raise ValueError(f"missing must be 'zero' or 'skip', not {missing!r}")
     sensors = spec.present(df.columns)
     if not sensors:
         raise ValueError(
@@ -125,8 +130,11 @@ def system_health(
     by = _by_cols(by)
     df, win = _windowed(df, spec, window, watermark)
     scores = {s.name: health_score(s.name, s) for s in sensors}
+    if missing == "skip":
+        scores = {n: F.when(F.col(n).isNotNull(), e) for n, e in scores.items()}
+    overall = (mean_of if missing == "zero" else mean_of_present)(list(scores.values()))
     aggs = [F.avg(e).alias(f"avg_{n}_health_score") for n, e in scores.items()]
-    aggs.append(F.avg(mean_of(list(scores.values()))).alias("avg_system_health"))
+    aggs.append(F.avg(overall).alias("avg_system_health"))
     if spec.activity and spec.activity in df.columns:
         aggs.append(F.avg(spec.activity).alias(f"avg_{spec.activity}"))
     else:

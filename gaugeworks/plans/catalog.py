@@ -109,11 +109,11 @@ def _lineitem_dense(spark, sf_dir):
     return lineitem_dense(table(spark, sf_dir, "lineitem"))
 
 
-def _analysis(kind: str, source, spec, window: str, by=None):
+def _analysis(kind: str, source, spec, window: str, by=None, **options):
     op = ANALYSES[kind]
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = op(source(spark, sf_dir), spec, window, by=by or ())
+        out = op(source(spark, sf_dir), spec, window, by=by or (), **options)
         return present(flatten_window(out))
 
     return build
@@ -164,6 +164,9 @@ register("null_rules_5m", S.basic_sql(S.events_gaps_sql("NULL"), EVENTS, "5 minu
 register("null_rules_health_5m", S.health_sql(S.events_gaps_sql("NULL"), EVENTS, "5 minutes"))(
     _analysis("health", _events_gaps_cleaned, EVENTS, "5 minutes")
 )
+register("health_skip_missing_5m", S.health_sql(S.events_gaps_sql("NULL"), EVENTS, "5 minutes", missing="skip"))(
+    _analysis("health", _events_gaps_cleaned, EVENTS, "5 minutes", missing="skip")
+)
 register("null_rules_anomaly_5m", S.anomaly_sql(S.events_gaps_sql(), EVENTS, "5 minutes"))(
     _analysis("anomaly", _events_gaps, EVENTS, "5 minutes")
 )

@@ -145,10 +145,15 @@ def health_score_sql(s) -> str:
     return f"greatest(0.0, 1.0 - abs({s.name} - {s.centre!r}) / {s.half_width!r})"
 
 
-def health_sql(cte: str, spec: PipelineSpec, window: str, by=None) -> str:
+def health_sql(cte: str, spec: PipelineSpec, window: str, by=None, missing: str = "zero") -> str:
     scores = [health_score_sql(s) for s in spec.sensors]
+    if missing == "skip":
+        scores = [f"CASE WHEN {s.name} IS NOT NULL THEN {e} END" for s, e in zip(spec.sensors, scores)]
     aggs = [f"{r(f'avg({e})')} AS avg_{s.name}_health_score" for s, e in zip(spec.sensors, scores)]
     overall = "(" + " + ".join(scores) + f") / {float(len(scores))!r}"
+    if missing == "skip":
+        count = " + ".join(f"CAST({s.name} IS NOT NULL AS INTEGER)" for s in spec.sensors)
+        overall = "(" + " + ".join(f"coalesce({e}, 0.0)" for e in scores) + f") / nullif({count}, 0)"
     aggs.append(f"{r(f'avg({overall})')} AS avg_system_health")
     aggs.append(f"{r(f'avg({spec.activity})')} AS avg_{spec.activity}")
     aggs.append("count(*) AS total_readings")

@@ -106,3 +106,20 @@ def test_plan_is_partial_aggregate_with_pushdown(spark):
     assert "PushedFilters" in plan and "GreaterThanOrEqual(ts" in plan
     # the scan reads only the columns the analysis needs (user_id is unused)
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double,props:string>" in plan
+
+
+def test_health_skips_missing_readings(spark):
+    from gaugeworks import HYDROPONIC
+    from gaugeworks.operators import system_health
+
+    a, b = HYDROPONIC.sensors[0], HYDROPONIC.sensors[1]
+    rows = [(a.centre, None), (None, None), (a.centre, b.centre + b.half_width / 2)]
+    df = spark.createDataFrame(rows, f"{a.name} double, {b.name} double").selectExpr(
+        "*", f"timestamp '2024-01-01 00:00:01' AS {HYDROPONIC.time_col}"
+    )
+    zero = system_health(df, HYDROPONIC).first()
+    skip = system_health(df, HYDROPONIC, missing="skip").first()
+    assert abs(zero.avg_system_health - (0.5 + 0.0 + 0.75) / 3) < 1e-9
+    assert abs(skip.avg_system_health - (1.0 + 0.75) / 2) < 1e-9
+    assert skip[f"avg_{a.name}_health_score"] == 1.0 and abs(skip[f"avg_{b.name}_health_score"] - 0.5) < 1e-9
+    assert skip.total_readings == 3
