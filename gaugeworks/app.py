@@ -21,7 +21,7 @@ from .session import checkpoint_dir, ensure_utc
 from .sources.envelope import read_envelope_files, read_json_lines, read_kafka
 from .spec import HYDROPONIC
 from .streaming.metrics import attach
-from .streaming.streams import SinkConfig, await_all, run, start_streams
+from .streaming.streams import SinkConfig, await_all, land_readings, run, start_streams
 
 log = logging.getLogger("gaugeworks")
 
@@ -46,6 +46,7 @@ def build_args(argv=None) -> argparse.Namespace:
     p.add_argument("--raw-trigger", default="5 seconds")
     p.add_argument("--window-trigger", default="15 seconds")
     p.add_argument("--by-system", action="store_true", help="group the analyses by system as well")
+    p.add_argument("--land", help="folder in which parsed readings are kept once; all outputs stream from there")
     p.add_argument("--no-clean", action="store_true", help="keep NaN readings")
     p.add_argument("--round", action="store_true", help="round readings to each sensor's precision before everything else")
     p.add_argument("--available-now", action="store_true", help="drain what is there and stop")
@@ -84,11 +85,19 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         raw_t, win_t = {"processingTime": args.raw_trigger}, {"processingTime": args.window_trigger}
 
     metrics = attach(spark)
+    landing = None
+    if args.land:  # the source is read and parsed once, whatever the number of outputs
+        landing = land_readings(readings, args.land, f"{base.rstrip('/')}/landing", trigger=raw_t)
+        if args.available_now:
+            landing.awaitTermination()
+        readings = spark.readStream.schema(readings.schema).parquet(args.land)
     streams = start_streams(
         readings, spec, SinkConfig(args.sink, fmt=args.format, stamp=args.stamp), base,
         windows=args.windows, analyses=args.analyses, raw_trigger=raw_t, window_trigger=win_t,
         by=[spec.system_col] if args.by_system else (),
     )
+    if landing is not None:
+        streams.queries.append(landing)
     for name, err in streams.errors.items():
         log.error("query %s did not start: %s", name, err)
     log.info("started %d queries (checkpoints under %s)", len(streams.queries), base)

@@ -54,3 +54,17 @@ def test_kafka_paths_without_connector(spark, tmpdir_new):
     to_envelope(h, HYDROPONIC, key_col="system_id", time_col="event_time").write.parquet(src)
     with pytest.raises(ValueError, match="checkpoint"):
         publish_kafka(read_envelope_files(spark, src), "localhost:9092", "sensors")
+
+
+def test_app_lands_readings_once(spark, tmpdir_new):
+    h = events_as_hydroponic(table(spark, SF_SMALL, "events"))
+    src, land, out = (os.path.join(tmpdir_new, n) for n in ("in", "landed", "points"))
+    to_envelope(h, HYDROPONIC, key_col="system_id", time_col="event_time").repartition(4).write.parquet(src)
+    args = ["--source", "parquet", "--path", src, "--sink", out, "--available-now", "--land", land,
+            "--windows", "1 hour", "--analyses", "basic", "--checkpoint", os.path.join(tmpdir_new, "cp")]
+    main(args, spark=spark)
+    main(args, spark=spark)  # a second run finds nothing new
+    assert spark.read.parquet(land).count() == h.count()
+    pts = spark.read.parquet(out)
+    assert pts.where(F.col("measurement") == "raw_sensor_data").count() == h.count()
+    assert pts.where(F.col("measurement") == "aggregations_1_hour").count() > 0
