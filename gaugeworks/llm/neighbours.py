@@ -173,9 +173,9 @@ def nearest(
         .where(F.col("vec_id").isNotNull() & _valid(F.col("v")))
         .withColumn("asks", is_query)
     )
-    # the k + 1 smallest ids of each vector; Spark cuts groups before the shuffle
+    # the k + 1 smallest ids of each vector, repeated rows counted once; Spark cuts groups before the shuffle
     first = Window.partitionBy("v").orderBy("vec_id")
-    few = rows.select("vec_id", "v").withColumn("r", F.rank().over(first)).where(F.col("r") <= k + 1)
+    few = rows.select("vec_id", "v").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
     classes = written(
         few.groupBy("v")
         .agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))

@@ -168,6 +168,16 @@ def test_neighbours_ties_and_odd_vectors(spark, monkeypatch):
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_neighbours_repeated_rows_take_no_place(spark):
+    v = [1.0, 2.0, 0.0, -1.0]
+    rows = [(1, v)] * 7 + [(i, v) for i in range(2, 12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.nearest(df, F.col("vec_id").isin(1, 3, 11)).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert got == {1: [2, 3, 4, 5, 6], 3: [1, 2, 4, 5, 6], 11: [1, 2, 3, 4, 5]}
+
+
 def test_hadamard_is_a_rotation():
     x = np.random.default_rng(0).normal(size=(5, 48))
     y = neighbours.rotate(x, 3)
