@@ -13,8 +13,9 @@ and holds its ``k + 1`` smallest ids, which is all that any answer can
 use, so a vector that fills a third of the table is one row.  A bucket
 holds on average one in ``2 * dimension`` of the vectors; it is cut into
 blocks of about ``BLOCK`` vectors, and queries meet a block as one matrix
-product.  Only the ``k + 1`` best of a query leave a block, so candidate
-pairs are never rows.
+product.  Only the ``k + 1`` best ids of a query leave a block, by cosine
+and then by id over all classes tied at the cut, so candidate pairs are
+never rows.
 
 Queries that found fewer than ``k`` are searched exactly, against all
 vectors in blocks.  Every vector of the table is indexed and nothing is fitted
@@ -24,9 +25,10 @@ Defined cases: vectors that are NULL, empty, zero or hold NULL or
 non-finite components take no part, neither do rows with NULL ids; rows
 with equal id and vector count once.  Vectors of different dimension never meet.  An id
 is never its own neighbour, also where it occurs with several vectors; each
-of these is a query of its own then.  Ties go to the smaller id; fewer
-than ``k`` others give all of them.  Only the two named columns are read;
-an empty table gives an empty result.
+of these is a query of its own then.  Cosines count rounded to ``DIGITS``
+digits, so scaled copies tie; ties go to the smaller id; fewer than ``k``
+others give all of them.  Only the two named columns are read; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,7 +50,12 @@ SEED = 23
 #: Share of the true 5 nearest found, against brute force (README).
 RECALL = 0.97
 
-_RESULT = "q string, c string, score double"
+#: Cosines that are equal when rounded to so many digits are ties.
+DIGITS = 12
+#: What the product of unit vectors and the cosine, or two ties, can differ by.
+TIE = 2e-12
+
+_RESULT = "q string, vec_id bigint, score double"
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -97,7 +104,8 @@ def _valid(v: Column) -> Column:
 
 
 def _bucket_rows(df: DataFrame, probes: int) -> DataFrame:
-    """``key, cls, v`` for each table and probed bucket of each class."""
+    """``key`` and the columns of ``df``, of which the first are ``cls`` and
+    ``v``, for each table and probed bucket of each class."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,17 +118,68 @@ def _bucket_rows(df: DataFrame, probes: int) -> DataFrame:
                     take = np.repeat(np.arange(len(b)), b.shape[1])
                     keys = [f"{d}:{t}:{k}" for k in b.ravel()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys), part.column(0).take(pa.array(take)), part.column(1).take(pa.array(take))],
-                        names=["key", "cls", "v"],
+                        [pa.array(keys), *(c.take(pa.array(take)) for c in part.columns)], names=["key", *part.schema.names]
                     )
 
-    return df.select("cls", "v").mapInArrow(hashed, "key string, cls string, v array<double>")
+    return df.mapInArrow(hashed, "key string, " + ", ".join(f"{n} {t}" for n, t in df.dtypes))
+
+
+def _candidates(s: np.ndarray, ids: list[np.ndarray], single: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, class) of a score matrix that hold the ``k`` best ids of
+    every row, by score, then id; an id counts once, at its best score.
+    ``single`` is the number of ids of a class that no other class has."""
+    n = s.shape[1]
+    some = min(n, 2 * k)
+    at = np.argpartition(-s, some - 1, axis=1)[:, :some]
+    top = np.take_along_axis(s, at, axis=1)
+    order = np.argsort(-top, axis=1, kind="stable")
+    at, top = np.take_along_axis(at, order, axis=1), np.take_along_axis(top, order, axis=1)
+    full = np.cumsum(single[at], axis=1) >= k
+    cut = np.where(full.any(axis=1), top[np.arange(len(s)), full.argmax(axis=1)], -np.inf) - TIE
+    # what stayed outside scores at most the last of the inside
+    easy = (cut > top[:, -1] + TIE) | (some == n)
+    rows, places = np.nonzero((top >= cut[:, None]) & easy[:, None])
+    out = [(rows, at[rows, places])]
+    for i in np.flatnonzero(~easy):
+        order, seen, take = np.argsort(-s[i], kind="stable"), set(), []
+        for c in order.tolist():
+            fresh = [x for x in ids[c] if x not in seen]
+            if fresh:
+                take.append(c)
+                seen.update(fresh)
+            if len(seen) >= k:
+                break
+        # of the classes at the cut, those with the smallest ids
+        tied = np.flatnonzero(np.abs(s[i] - s[i, take[-1]]) <= TIE)
+        whose = np.repeat(tied, [len(ids[c]) for c in tied])
+        _, first = np.unique(np.concatenate([ids[c] for c in tied]), return_index=True)
+        # an id counts for the cut only where no class above it has it
+        above = [c for c in take if s[i, c] > s[i, take[-1]] + TIE]
+        known = {x for c in above for x in ids[c].tolist()}
+        flat = np.concatenate([ids[c] for c in tied])
+        first = [f for f in first.tolist() if int(flat[f]) not in known][:k]
+        chosen = np.unique(np.array(above + whose[first].tolist(), dtype=np.int64))
+        out.append((np.full(len(chosen), i), chosen))
+    return np.concatenate([r for r, _ in out]), np.concatenate([c for _, c in out])
+
+
+def _best_ids(row: np.ndarray, vec_id: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` best distinct ids of each row, by score, then id."""
+    order = np.lexsort((-score, vec_id, row))
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = (row[order][1:] != row[order][:-1]) | (vec_id[order][1:] != vec_id[order][:-1])
+    order = order[fresh]
+    order = order[np.lexsort((vec_id[order], -score[order], row[order]))]
+    begins = np.flatnonzero(np.diff(row[order], prepend=-1))
+    rank = np.arange(len(order)) - np.repeat(begins, np.diff(begins, append=len(order)))
+    return order[rank < k]
 
 
 def _best_in_blocks(queries: DataFrame, data: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
-    """``q, c, score``: for each query the ``k`` best of each block of its
-    keys.  Both sides have ``key, cls, v``; a key with many rows is cut
-    into blocks on either side, and each pair of blocks is one product."""
+    """``q, vec_id, score``: for each query the ``k`` best ids of each block
+    of its keys.  Both sides have ``key, cls, v``, the data ``ids`` too; a
+    key with many rows is cut into blocks on either side, and each pair of
+    blocks is one product."""
     sizes = (
         data.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", F.ceil(F.col("n") / F.lit(block)).alias("parts"))
     )
@@ -132,7 +191,7 @@ def _best_in_blocks(queries: DataFrame, data: DataFrame, k: int, block: int = BL
         data.join(plan, "key")
         .withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")))
         .withColumn("ask", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("asks") - 1)))
-        .select("key", "part", "ask", "cls", "v")
+        .select("key", "part", "ask", "ids", "v")
     )
     left = (
         queries.join(plan, "key")
@@ -143,19 +202,25 @@ def _best_in_blocks(queries: DataFrame, data: DataFrame, k: int, block: int = BL
 
     def best(ours: pa.Table, theirs: pa.Table) -> pa.Table:
         if not ours.num_rows or not theirs.num_rows:
-            return pa.table({"q": pa.array([], pa.string()), "c": pa.array([], pa.string()), "score": pa.array([], pa.float64())})
+            return pa.table({"q": pa.array([], pa.string()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        v, w = (np.array(t["v"].to_pylist(), dtype=np.float64) for t in (ours, theirs))
         x, y = _unit(ours["v"]), _unit(theirs["v"])
-        some = min(k, len(y))
-        at = np.empty((len(x), some), dtype=np.int64)
+        ids = [np.array(i, dtype=np.int64) for i in theirs["ids"].to_pylist()]
+        sizes = np.array([len(i) for i in ids])
+        flat, begins = np.concatenate(ids), np.cumsum(sizes) - sizes
+        _, where, times = np.unique(flat, return_inverse=True, return_counts=True)
+        single = np.add.reduceat((times[where] == 1).astype(np.int64), begins)
+        out = []
         for i in range(0, len(x), 512):
-            s = x[i : i + 512] @ y.T
-            # equal scores must not push a neighbour out: keep k by score, then by class order
-            at[i : i + 512] = np.argpartition(-s, some - 1, axis=1)[:, :some]
-        qi, ci = np.repeat(np.arange(len(x)), some), at.ravel()
-        exact = cosine(np.array(ours["v"].to_pylist())[qi], np.array(theirs["v"].to_pylist())[ci])
-        return pa.table(
-            {"q": ours["cls"].take(pa.array(qi)), "c": theirs["cls"].take(pa.array(ci)), "score": pa.array(exact)}
-        )
+            row, c = _candidates(x[i : i + 512] @ y.T, ids, single, k)
+            score = np.round(cosine(v[row + i], w[c]), DIGITS) + 0.0
+            each = np.repeat(np.arange(len(c)), sizes[c])
+            nth = np.arange(len(each)) - np.repeat(np.cumsum(sizes[c]) - sizes[c], sizes[c])
+            found = flat[begins[c][each] + nth]
+            keep = _best_ids(row[each], found, score[each], k)
+            out.append((row[each][keep] + i, found[keep], score[each][keep]))
+        row, found, score = (np.concatenate(o) for o in zip(*out))
+        return pa.table({"q": ours["cls"].take(pa.array(row)), "vec_id": pa.array(found), "score": pa.array(score)})
 
     keys = ["key", "part", "ask"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
@@ -188,21 +253,19 @@ def nearest(
 
     def merged(found: DataFrame) -> DataFrame:
         """The k + 1 nearest ids of each query class."""
-        ids = found.distinct().join(classes.select(F.col("cls").alias("c"), "ids"), "c")
-        each = ids.select("q", "score", F.explode("ids").alias("vec_id"))
-        # several classes may share an id that occurs with several vectors: its best counts
-        each = each.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
+        # blocks may share an id, also one that occurs with several vectors: its best counts
+        each = found.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
         order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
         return each.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r")
 
     found = written(
-        merged(_best_in_blocks(_bucket_rows(seekers, PROBES), _bucket_rows(classes, 1), k + 1)), "found"
+        merged(_best_in_blocks(_bucket_rows(seekers, PROBES), _bucket_rows(classes.select("cls", "v", "ids"), 1), k + 1)), "found"
     )
     enough = found.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k)
     short = written(seekers.join(enough.select(F.col("q").alias("cls")), "cls", "left_anti"), "short")
     if not short.isEmpty():
         every = F.concat(F.size("v").cast("string"), F.lit(":all")).alias("key")
-        rest = merged(_best_in_blocks(short.select(every, "cls", "v"), classes.select(every, "cls", "v"), k + 1))
+        rest = merged(_best_in_blocks(short.select(every, "cls", "v"), classes.select(every, "cls", "v", "ids"), k + 1))
         found = found.join(short.select(F.col("cls").alias("q")), "q", "left_anti").unionByName(rest)
     own = (F.col("query_id") != F.col("vec_id"))
     out = asking.select(F.col("vec_id").alias("query_id"), F.col("cls").alias("q")).join(found, "q").where(own)

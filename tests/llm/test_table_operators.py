@@ -178,6 +178,30 @@ def test_neighbours_repeated_rows_take_no_place(spark):
     assert got == {1: [2, 3, 4, 5, 6], 3: [1, 2, 4, 5, 6], 11: [1, 2, 3, 4, 5]}
 
 
+def test_neighbours_cut_by_ids_and_ties(spark):
+    """Every bucket of four axes is probed, so the answer is the exact one:
+    many vectors at one cosine, ids with many near vectors."""
+    rng = np.random.default_rng(4)
+    rows = {(0, (1.0, 0.0, 0.0, 0.0)), (50, (9.0, 1.0, 0.0, 0.0))}
+    rows |= {(int(i), (s, s, 0.0, 0.0)) for s, i in enumerate(rng.permutation(np.arange(100, 180)), 1)}
+    rows |= {(i, (100.0, float(j), 0.0, 0.0)) for i in (0, 7) for j in range(1, 20)}
+    rows |= {(int(i), tuple(v)) for i, v in zip(rng.integers(200, 260, 150), rng.integers(-2, 3, (150, 4)).astype(float)) if any(v)}
+    rows |= {(int(i), (float(s), 0.0, float(s), 0.0)) for s, i in zip(range(1, 30), rng.permutation(np.arange(60, 100)))}
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in rows], "vec_id long, embedding array<double>")
+    vectors = [np.array(v) / np.linalg.norm(v) for _, v in rows]
+    ids = [i for i, _ in rows]
+    want = []
+    for (q, _), x in zip(rows, vectors):
+        if q % 50 == 0:
+            best = defaultdict(lambda: -2.0)
+            for i, y in zip(ids, vectors):
+                best[i] = max(best[i], round(float(x @ y), 9))
+            order = sorted((-s, i) for i, s in best.items() if i != q)[:5]
+            want += [(q, r, i) for r, (_, i) in enumerate(order, 1)]
+    got = neighbours.nearest(df, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_hadamard_is_a_rotation():
     x = np.random.default_rng(0).normal(size=(5, 48))
     y = neighbours.rotate(x, 3)
