@@ -1,5 +1,8 @@
 """URL filter: rules first, then a character language-model ratio.
 
+The models see host and path only: what follows ``?`` or ``#`` is in no
+text, so URLs that differ only there get one verdict (open, see README).
+
 Rules ``(verdict, host, path)`` judge the URLs they fit.  Those URLs also
 teach two variable-order Markov models of characters, one of accepted and
 one of rejected URLs: Witten-Bell smoothing backs a context of ``order``
