@@ -15,8 +15,12 @@ row of logits for each n-gram of a whole text, in blocks of bounded size.
 Fitting uses a bounded, documented sample: about ``sample_rows`` documents
 of each language (a hash of the id below a rate set from the counts of
 all rows), texts of at most ``max_chars`` characters (longer ones are left out,
-never cut), training folds only.  At most ``max_languages`` languages, the
-most frequent ones, are learned.  Scoring is one scan of every whole text.
+never cut), training folds only.  Every language with such a text is
+learned; with more than ``max_rows / sample_rows`` languages each gives
+fewer documents, about ``max_rows`` in all, but at least ``LEAST_ROWS``.
+Scoring is one scan of every whole text.  With more languages than
+dimensions the model keeps the embeddings and the layer apart, so it does
+not grow with languages times buckets.
 
 Defined cases: a NULL text or one without a letter is ``und`` with score
 0, as is every text where no language could be learned.  Rows with NULL
@@ -27,7 +31,7 @@ of rows do not matter; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +45,8 @@ DIM = 16
 ORDERS = (2, 3, 4)
 SAMPLE_ROWS = 500
 MAX_CHARS = 20_000
-MAX_LANGUAGES = 200
+MAX_ROWS = 100_000
+LEAST_ROWS = 20
 EPOCHS = 4
 RATE = 0.5
 MAX_FALSE_REJECTS = 0.005
@@ -54,12 +59,13 @@ _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint3
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
-    logits: np.ndarray  # float32, 2**bits rows: embedding times layer, one column a language
+    logits: np.ndarray  # float32, 2**bits rows: embedding times layer, one column a language; with a layer the embedding
     bias: np.ndarray
     temperature: float
     reject_below: float
     bits: int = BITS
     orders: tuple[int, ...] = ORDERS
+    layer: np.ndarray | None = None
 
 
 def code_points(text: str) -> np.ndarray:
@@ -119,8 +125,8 @@ def train(
     epochs: int = EPOCHS,
     rate: float = RATE,
     seed: int = 7,
-) -> tuple[np.ndarray, np.ndarray]:
-    """Stochastic gradient descent; returns (embedding times layer, bias)."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stochastic gradient descent; returns (embedding, layer, bias)."""
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
     layer = np.zeros((dim, n_languages), dtype=np.float32)
@@ -145,19 +151,20 @@ def train(
             bias -= step * 0.1 * p
             # the mean spreads the gradient thinly over many rows; a larger step makes up for it
             table[idx] -= (step * 20) * np.outer(share, back)
-    return table @ layer, bias
+    return table, layer, bias
 
 
 def raw_scores(text: str, model: LanguageModel) -> np.ndarray:
     """Logits of one whole text."""
-    total, n = np.zeros(len(model.languages)), 0
+    total, n = np.zeros(model.logits.shape[1]), 0
     for buckets in ngram_blocks(code_points(text), model.bits, model.orders):
         if buckets.size:
             total += np.bincount(buckets, minlength=1 << model.bits) @ model.logits if buckets.size > (
                 1 << model.bits
             ) else model.logits[buckets].sum(axis=0, dtype=np.float64)
             n += buckets.size
-    return total / max(n, 1) + model.bias
+    mean = total / max(n, 1)
+    return (mean if model.layer is None else mean @ model.layer) + model.bias
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -180,7 +187,7 @@ def fit(
     lang_col: str = "lang",
     sample_rows: int = SAMPLE_ROWS,
     max_chars: int = MAX_CHARS,
-    max_languages: int = MAX_LANGUAGES,
+    max_rows: int = MAX_ROWS,
     max_false_rejects: float = MAX_FALSE_REJECTS,
 ) -> LanguageModel | None:
     """Train on rows outside the held-out fold; None if there are none."""
@@ -191,23 +198,23 @@ def fit(
         known.groupBy("lang")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "lang")
-        .limit(max_languages)
-        .collect()
+        .collect()  # one row a language
     )
     if not counts:
         return None
     place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for r in counts:  # one comparison a language, so the sample needs no shuffle
-        limit = int(min(1.0, sample_rows / r["n"]) * (1 << 30))
-        chosen = chosen | ((F.col("lang") == F.lit(r["lang"])) & (F.col("place") < F.lit(limit)))
+    each = min(sample_rows, max(max_rows // len(counts), LEAST_ROWS))
+    limits = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(min(1.0, each / r["n"]) * (1 << 30))) for r in counts], "lang string, below bigint"
+    )
     rows = (
         known.where(F.length("text") <= max_chars)
         .withColumn("place", place)
-        .where(chosen)
+        .join(F.broadcast(limits), "lang")  # the sample needs no shuffle
+        .where(F.col("place") < F.col("below"))
         .select("lang", "place", "text")
         .orderBy("place", "lang", "text")
-        .limit(2 * sample_rows * len(counts))
+        .limit(2 * each * len(counts))
         .collect()
     )
     rows = [r for r in rows if has_letter(r["text"])]
@@ -218,15 +225,16 @@ def fit(
     texts, y = [r["text"] for r in rows], [code[r["lang"]] for r in rows]
     apart = [i for i in range(len(rows)) if i % 5 == 0] if len(rows) >= 50 else list(range(len(rows)))
     inside = [i for i in range(len(rows)) if len(rows) < 50 or i % 5]
-    logits, bias = train([texts[i] for i in inside], [y[i] for i in inside], len(languages))
-    plain = LanguageModel(languages, logits, bias, 1.0, 0.0)
+    table, layer, bias = train([texts[i] for i in inside], [y[i] for i in inside], len(languages))
+    parts = (table @ layer, None) if len(languages) <= DIM else (table, layer)
+    plain = LanguageModel(languages, parts[0], bias, 1.0, 0.0, layer=parts[1])
     z = np.array([raw_scores(texts[i], plain) for i in apart])
     want = np.array([y[i] for i in apart])
     temperature = fit_temperature(z, want)
     p = softmax(z / temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == want])
     limit = float(right[int(len(right) * max_false_rejects)]) if right.size else 0.0
-    return LanguageModel(languages, logits, bias, temperature, limit)
+    return replace(plain, temperature=temperature, reject_below=limit)
 
 
 def detect_language(text: Column, model: LanguageModel | None) -> Column:

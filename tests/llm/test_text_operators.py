@@ -171,6 +171,20 @@ def test_language_odd_rows(odd, empty):
     assert odd.select(language_id.detect_language(F.col("text"), None)["lang_pred"].alias("l")).distinct().collect()[0][0] == "und"
 
 
+def test_every_language_is_learned(spark):
+    """More than 200 languages, the rarest with six documents."""
+    names = [f"l{i:03d}" for i in range(230)]
+    word = lambda i: "".join(chr(0x4E00 + 40 * i + j) for j in range(4))
+    rows = [(1000 * i + j, f"{word(i)} " * 8, n) for i, n in enumerate(names) for j in range(30 if i < 225 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert model.languages == tuple(names)
+    assert model.logits.shape == (1 << 16, language_id.DIM) and model.layer.shape == (language_id.DIM, 230)
+    assert np.isfinite(language_id.raw_scores(word(229), model)).all()
+    fewer = language_id.fit(docs, max_rows=230)  # a bound on the rows leaves no language out
+    assert fewer.languages == tuple(names)
+
+
 TOKENIZER = queries.tokenizer_path("word_bpe_49k.json")
 
 
