@@ -15,7 +15,8 @@ Encoding splits a text at ASCII white space and encodes every distinct
 word once per block of texts.  That equals encoding whole texts for a
 tokenizer that drops white space before its merges, which
 ``words_encode_alone`` verifies for the one in use; any other tokenizer
-gets whole texts.  Likewise A-Z are lowered first, and a new word that
+gets whole texts, and so does a text that holds the string of an added
+token, which is that token as in the library.  Likewise A-Z are lowered first, and a new word that
 ends in a full stop or comma after a letter or digit is put together from
 the two, where the tokenizer does so itself: fewer words are encoded then.
 
@@ -62,9 +63,7 @@ def load_tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings inside a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def words_encode_alone(tokenizer) -> bool:
@@ -111,6 +110,8 @@ class TextEncoder:
         self.by_word = words_encode_alone(self.tokenizer)
         self.folds, self.parts = folds_case(self.tokenizer), parts_marks(self.tokenizer)
         self.ends = word_ends(self.tokenizer)
+        contents = {a.content.encode("utf-8") for a in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = sorted(contents | {c.lower() for c in contents})
         self.end = np.array([end_id], dtype=self.dtype).tobytes()
         self.table: dict[bytes, bytes] = {}
         self.limit = table
@@ -167,13 +168,18 @@ class TextEncoder:
                 yield np.frombuffer(ids + self.end, dtype=self.dtype)
             return
         # bytes.split() divides at ASCII white space only
-        split = [self._plain(t.encode("utf-8")).split() for t in texts]
+        plain = [self._plain(t.encode("utf-8")) for t in texts]
+        # an added token is found in the text as it is, across words and before case is folded
+        whole = [i for i, t in enumerate(plain) if any(a in t for a in self.added)]
+        as_whole = dict(zip(whole, self._encode([texts[i] for i in whole]))) if whole else {}
+        split = [() if i in as_whole else t.split() for i, t in enumerate(plain)]
         if len(self.table) > self.limit:
             self.table.clear()
         self._learn(set(chain.from_iterable(split)).difference(self.table))
         get = self.table.__getitem__
-        for words in split:
-            yield np.frombuffer(b"".join(map(get, words)) + self.end, dtype=self.dtype)
+        for i, words in enumerate(split):
+            ids = as_whole[i] if i in as_whole else b"".join(map(get, words))
+            yield np.frombuffer(ids + self.end, dtype=self.dtype)
 
 
 def _filesystem(uri: str):

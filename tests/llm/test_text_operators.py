@@ -210,6 +210,16 @@ def test_words_encode_like_whole_texts():
     assert [list(map(int, ids)) for ids in encoder.encode(texts)] == whole_ids(texts)
 
 
+def test_added_tokens_as_in_the_library():
+    from tokenizers import Tokenizer
+
+    texts = ["end <|endoftext|> of", "end<|endoftext|>of. The", "a <|ENDOFTEXT|> B", "<|startoftext|>É\u0301 x", "plain Text, here.", "<|EndOfText|><|endoftext|>", ""]
+    want = [e.ids + [1] for e in Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [806, 49407, 539, 1]
+    encoder = token_shards.TextEncoder(TOKENIZER, 1)
+    assert encoder.by_word and [list(map(int, ids)) for ids in encoder.encode(texts)] == want
+
+
 def test_token_files(spark, odd, empty, tmpdir_new):
     shards = token_shards.write_token_shards(odd.repartition(3), f"file://{tmpdir_new}/t", TOKENIZER, sequence=64, batch=8)
     rows = token_shards.read_token_shards(spark, shards).collect()
