@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    conversation_repair,
     language_id,
     mixing,
     near_dedup,
@@ -138,6 +139,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "d.lang_pred", "d.score", "d.rejected")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair_conversations(conversation_repair.damaged(turns))
+    ids = turns.select("conv_id").distinct()
+    joined = ids.join(repaired, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -151,6 +166,7 @@ QUERIES = {
         op8_neighbours,
         op9_url_filter,
         op10_language_id,
+        op11_conversation_repair,
     )
 }
 
