@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from . import (
     conversation_repair,
     language_id,
+    lexical_search,
     mixing,
     near_dedup,
     neighbours,
@@ -153,6 +154,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(read_table(spark, sf_dir, "documents"))
+    found = lexical_search.search(index, read_table(spark, sf_dir, "benchmark"))
+    index.drop()
+    return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -167,9 +175,16 @@ QUERIES = {
         op9_url_filter,
         op10_language_id,
         op11_conversation_repair,
+        op12_lexical_search,
     )
 }
 
+#: Terms of a text, as in ``lexical_search``.
+_SQL_TERMS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{lexical_search.UPPER}', '{lexical_search.LOWER}'), "
+    f"'{lexical_search.TERM_PATTERN}')"
+)
+
 _SQL_TURN = "'<|' || role || '|>' || chr(10) || txt || '<|end|>' || chr(10)"
 
 SQL = {
@@ -215,5 +230,22 @@ SELECT p.conv_id, CAST(n_chosen AS INTEGER) AS n_chosen, CAST(n_rejected AS INTE
 FROM p JOIN texts USING (conv_id)
 LEFT JOIN spans c ON c.conv_id = p.conv_id AND c.side = 'c'
 LEFT JOIN spans r ON r.conv_id = p.conv_id AND r.side = 'r'
+""",
+    "op12_lexical_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_TERMS} AS terms FROM documents),
+docs AS (SELECT r, doc_id, terms, len(terms) AS n FROM d WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+postings AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, corpus GROUP BY term),
+items AS (SELECT DISTINCT item_id, list_sort(list_distinct({_SQL_TERMS})) AS terms FROM benchmark),
+asked AS (SELECT row_number() OVER () AS q, item_id, terms FROM items),
+wanted AS (SELECT q, item_id, unnest(terms) AS term FROM asked),
+scores AS (SELECT q, item_id, r, doc_id,
+             CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+           FROM wanted JOIN postings USING (term) JOIN weights USING (term), corpus GROUP BY q, item_id, r, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+             doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """,
 }
