@@ -21,6 +21,7 @@ from . import (
     preferences,
     quality_classifier,
     quality_rules,
+    secret_scan,
     token_shards,
     url_filter,
 )
@@ -161,6 +162,19 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", "score")
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    dictionary = secret_scan.fit_dictionary(docs)
+    seen = docs.select("doc_id", secret_scan.secret_spans(F.col("text"), dictionary).alias("s"))
+    return seen.select(
+        "doc_id",
+        *[f"s.{c}" for c in ("n_assign", "n_access", "n_hex")],
+        F.sha2(F.col("s.base").cast("binary"), 256).alias("base_sha256"),
+        "s.spans",
+        F.col("s.costs").alias("guess_costs"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -176,6 +190,7 @@ QUERIES = {
         op10_language_id,
         op11_conversation_repair,
         op12_lexical_search,
+        op13_secret_scan,
     )
 }
 
