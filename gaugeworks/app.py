@@ -20,6 +20,7 @@ from .operators.parse import clean_readings, nan_to_null, parse_readings, with_s
 from .session import checkpoint_dir, ensure_utc
 from .sources.envelope import read_envelope_files, read_json_lines, read_kafka
 from .spec import HYDROPONIC
+from .streaming.fanout import admit_readings, correct_late, start_state_streams
 from .streaming.metrics import attach
 from .streaming.streams import SinkConfig, await_all, land_readings, run, start_streams
 
@@ -47,6 +48,8 @@ def build_args(argv=None) -> argparse.Namespace:
     p.add_argument("--window-trigger", default="15 seconds")
     p.add_argument("--by-system", action="store_true", help="group the analyses by system as well")
     p.add_argument("--land", help="folder in which parsed readings are kept once; all outputs stream from there")
+    p.add_argument("--states", help="with --land: folder of window states; one aggregate serves all analyses and lengths")
+    p.add_argument("--correct", action="store_true", help="with --states and --available-now: take late readings into their windows")
     p.add_argument("--no-clean", action="store_true", help="keep NaN readings")
     p.add_argument("--round", action="store_true", help="round readings to each sensor's precision before everything else")
     p.add_argument("--available-now", action="store_true", help="drain what is there and stop")
@@ -84,18 +87,31 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     else:
         raw_t, win_t = {"processingTime": args.raw_trigger}, {"processingTime": args.window_trigger}
 
+    if args.states and not args.land:
+        raise SystemExit("--states needs --land")
+    if args.correct and not (args.states and args.available_now):
+        raise SystemExit("--correct needs --states and --available-now")
     metrics = attach(spark)
     landing = None
-    if args.land:  # the source is read and parsed once, whatever the number of outputs
+    by = [spec.system_col] if args.by_system else ()
+    sink = SinkConfig(args.sink, fmt=args.format, stamp=args.stamp)
+    if args.states:  # the source is parsed once, and all analyses share one aggregate
+        landing = admit_readings(readings, spec, args.land, f"{base.rstrip('/')}/landing", trigger=raw_t, name="landing")
+        if args.available_now:
+            landing.awaitTermination()
+    elif args.land:  # the source is read and parsed once, whatever the number of outputs
         landing = land_readings(readings, args.land, f"{base.rstrip('/')}/landing", trigger=raw_t)
         if args.available_now:
             landing.awaitTermination()
         readings = spark.readStream.schema(readings.schema).parquet(args.land)
-    streams = start_streams(
-        readings, spec, SinkConfig(args.sink, fmt=args.format, stamp=args.stamp), base,
-        windows=args.windows, analyses=args.analyses, raw_trigger=raw_t, window_trigger=win_t,
-        by=[spec.system_col] if args.by_system else (),
-    )
+    shared = {"windows": args.windows, "analyses": args.analyses, "by": by}
+    if args.states:
+        streams = start_state_streams(
+            spark, spec, args.land, readings.schema, args.states, sink, base,
+            trigger=win_t, raw_trigger=raw_t, wait=args.available_now, **shared,
+        )
+    else:
+        streams = start_streams(readings, spec, sink, base, raw_trigger=raw_t, window_trigger=win_t, **shared)
     if landing is not None:
         streams.queries.append(landing)
     for name, err in streams.errors.items():
@@ -104,6 +120,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     try:
         if args.available_now:
             await_all(streams)
+            if args.correct:
+                correct_late(spark, spec, args.land, readings.schema, args.states, sink, **shared)
         else:
             run(spark, streams)
     finally:

@@ -10,7 +10,7 @@ shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,12 +30,13 @@ def _system_tag(df: DataFrame, spec: PipelineSpec):
     return F.coalesce(src, F.lit(spec.default_system)).alias("system_id")
 
 
-def raw_points(df: DataFrame, spec: PipelineSpec, measurement: str = "raw_sensor_data") -> DataFrame:
+def raw_points(df: DataFrame, spec: PipelineSpec, measurement: str = "raw_sensor_data", *, keep=()) -> DataFrame:
     """Parsed readings -> raw points (wide: one column per field).
 
     ``time`` = event time, else the reading's own epoch-ms stamp, else the
     current time; ``system_id`` tag = record key (or system column), else
-    the spec default.  Fields: the sensors and state fields present."""
+    the spec default.  Fields: the sensors and state fields present.  Columns
+    in ``keep`` are carried along (to order points, for example)."""
     fields = [c for c in spec.sensor_names + [n for n, _ in spec.state_fields] if c in df.columns]
     if not fields:
         raise ValueError("raw_points: no spec field present")
@@ -50,6 +51,7 @@ def raw_points(df: DataFrame, spec: PipelineSpec, measurement: str = "raw_sensor
         _system_tag(df, spec),
         F.coalesce(*times).alias("time"),
         *[finite(c).alias(c) for c in fields],
+        *keep,
     )
     return out.where(F.coalesce(*[F.col(c) for c in fields]).isNotNull())
 
@@ -112,6 +114,20 @@ def point_tags(points: DataFrame) -> list[str]:
     ]
 
 
+def newest_points(points: DataFrame, stamp: Column, *, ignore=()) -> DataFrame:
+    """One point per (measurement, tags, time), as a time-series store keeps
+    it: every field has its newest non-NULL value by ``stamp`` (a column that
+    orders writes; equal stamps must carry equal values).
+
+    One partial aggregate: a point that was written very often is one row a
+    task before the shuffle.  Columns in ``ignore`` are left out."""
+    fields = point_fields(points)
+    keys = ["measurement", *[t for t in point_tags(points) if t not in ignore], "time"]
+    rows = points.select(*keys, *fields, stamp.alias("__stamp"))
+    newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__stamp"))).alias(c) for c in fields]
+    return rows.groupBy(*keys).agg(*newest)
+
+
 def points_long(points: DataFrame) -> DataFrame:
     """Wide points -> one row per (point, field) with a non-NULL value."""
     fields = point_fields(points)

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from ..operators.control import ELAPSED_COLUMNS, HYDROPONIC_RULES, control_actions, elapsed_since_action
 from ..operators.parse import clean_readings, nan_to_null, parse_readings
-from ..operators.points import line_protocol, points_long, raw_points, window_points
+from ..operators.points import line_protocol, newest_points, points_long, raw_points, window_points
 from ..operators.readings import latest_readings, with_plant_activity, with_schedule, with_status_line
+from ..operators.states import combined_from, corrected_states, merge_states, window_states
 from ..operators.windows import ANALYSES, flatten_window, measurement_name
 from ..session import ensure_utc
 from ..sources.envelope import to_envelope
@@ -187,6 +188,55 @@ for _kind in ("basic", "anomaly", "health"):
     )
 
 
+# --- T8: one mergeable state for all analyses and lengths ------------------
+def _combined(states: DataFrame, spec, window: str) -> DataFrame:
+    return present(flatten_window(combined_from(states, spec, window)))
+
+
+@register("combined_5m", S.combined_sql(S.events_wide_sql(), EVENTS, "5 minutes"))
+def q_combined_5m(spark, sf_dir):
+    return _combined(window_states(_events_wide(spark, sf_dir), EVENTS, "5 minutes"), EVENTS, "5 minutes")
+
+
+def _rollup(window: str, by=()):
+    """5-minute states, merged into longer windows (and without systems)."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        states = window_states(_events_wide(spark, sf_dir), EVENTS, "5 minutes", by=by)
+        return _combined(merge_states(states, EVENTS, window), EVENTS, window)
+
+    return build
+
+
+register("rollup_15m", S.combined_sql(S.events_wide_sql(), EVENTS, "15 minutes"))(_rollup("15 minutes"))
+register("rollup_1h", S.combined_sql(S.events_wide_sql(), EVENTS, "1 hour"))(_rollup("1 hour"))
+register("rollup_systems_1h", S.combined_sql(S.events_wide_sql(), EVENTS, "1 hour"))(_rollup("1 hour", by=["system_id"]))
+
+
+@register("rollup_null_rules_1h", S.combined_sql(S.events_gaps_sql("NULL"), EVENTS, "1 hour", missing="skip"))
+def q_rollup_null_rules_1h(spark, sf_dir):
+    states = window_states(_events_gaps_cleaned(spark, sf_dir), EVENTS, "5 minutes", missing="skip")
+    return _combined(merge_states(merge_states(states, EVENTS, "15 minutes"), EVENTS, "1 hour"), EVENTS, "1 hour")
+
+
+# --- T5: windows corrected by rows that came late --------------------------
+#: Every 17th event counts as late in this query.
+LATE = 17
+
+
+@register(
+    "late_corrections_5m",
+    "SELECT * FROM (\n" + S.combined_sql(S.events_wide_sql(), EVENTS, "5 minutes") + "\n) c\n"
+    f"WHERE window_start IN (SELECT time_bucket(INTERVAL '5 minutes', ts) FROM events WHERE event_id % {LATE} = 0)",
+)
+def q_late_corrections_5m(spark, sf_dir):
+    ensure_utc(spark)
+    events = table(spark, sf_dir, "events")
+    late = F.col("event_id") % LATE == 0
+    on_time, behind = (window_states(events_wide(events.where(c)), EVENTS, "5 minutes") for c in (~late, late))
+    return _combined(corrected_states(on_time, behind, EVENTS), EVENTS, "5 minutes")
+
+
 # --- F1-F3 / P1-P4: envelope round trip --------------------------------
 def _events_envelope(spark, sf_dir):
     wide = _events_wide(spark, sf_dir)
@@ -246,6 +296,37 @@ def q_raw_points_nulls(spark, sf_dir):
     return present(points_long(raw_points(_events_gaps(spark, sf_dir), EVENTS)))
 
 
+#: Events from this day on are written again by the second run of the query below.
+SECOND_RUN = "2024-01-15"
+
+
+def _two_runs_sql() -> str:
+    first = S.events_gaps_sql().replace("SELECT ", "SELECT 1 AS run, event_id, ts, ", 1)
+    changed = ", ".join(f"CASE WHEN event_id % 3 <> 0 THEN {c} * 2.0 END AS {c}" for c in _RAW_FIELDS)
+    keys = "'raw_sensor_data' AS measurement, CAST(system_id AS VARCHAR) AS system_id, coalesce(event_time, epoch_ms(sensor_timestamp)) AS time"
+    kept = " OR ".join(f"({c} IS NOT NULL AND NOT isnan({c}))" for c in _RAW_FIELDS)
+    newest = ", ".join(f"{S.r(f'arg_max({c}, row(run, event_id)) FILTER ({c} IS NOT NULL AND NOT isnan({c}))')} AS {c}" for c in _RAW_FIELDS)
+    return (
+        f"WITH a AS (\n  {first}\n), b AS (SELECT 2 AS run, event_id, ts, system_id, event_time, sensor_timestamp, {changed}\n"
+        f"  FROM a WHERE ts >= TIMESTAMP '{SECOND_RUN}'),\n"
+        "both_runs AS (SELECT * FROM a UNION ALL BY NAME SELECT * FROM b)\n"
+        f"SELECT {keys}, {newest}\nFROM both_runs WHERE {kept} GROUP BY ALL"
+    )
+
+
+@register("points_compacted", _two_runs_sql())
+def q_points_compacted(spark, sf_dir):
+    """Raw points of two overlapping runs, the newest field values kept."""
+    ensure_utc(spark)
+    events = table(spark, sf_dir, "events")
+    first = events_with_gaps(events, keep=("event_id", "ts")).withColumn("run", F.lit(1))
+    again = first.where(F.col("ts") >= F.lit(SECOND_RUN).cast("timestamp_ntz"))
+    again = again.withColumns({c: F.when(F.col("event_id") % 3 != 0, F.col(c) * 2.0) for c in _RAW_FIELDS}).withColumn("run", F.lit(2))
+    both = first.unionByName(again)
+    points = raw_points(both, EVENTS, keep=("run", "event_id"))
+    return present(newest_points(points, F.struct("run", "event_id")))
+
+
 def _basic_fields(spec) -> list[str]:
     out = []
     for c in spec.aggregate_columns:

@@ -117,7 +117,7 @@ def _window_query(cte: str, window: str, by, aggs: list[str], tail: list[str]) -
     )
 
 
-def basic_sql(cte: str, spec: PipelineSpec, window: str, by=None) -> str:
+def _basic_aggs(spec: PipelineSpec) -> list[str]:
     aggs = []
     for c in spec.aggregate_columns:
         aggs += [
@@ -127,17 +127,24 @@ def basic_sql(cte: str, spec: PipelineSpec, window: str, by=None) -> str:
             f"{r(f'stddev_samp({c})')} AS {c}_stddev",
             f"count({c}) AS {c}_count",
         ]
+    return aggs
+
+
+def basic_sql(cte: str, spec: PipelineSpec, window: str, by=None) -> str:
     tail = [f"'{window}' AS window_duration", "'basic_aggregation' AS analysis_type"]
-    return _window_query(cte, window, by, aggs, tail)
+    return _window_query(cte, window, by, _basic_aggs(spec), tail)
 
 
-def anomaly_sql(cte: str, spec: PipelineSpec, window: str, by=None) -> str:
-    aggs = [
+def _anomaly_aggs(spec: PipelineSpec) -> list[str]:
+    return [
         f"CAST(sum(CASE WHEN {s.name} < {s.lo!r} OR {s.name} > {s.hi!r} THEN 1 ELSE 0 END) AS BIGINT)"
         f" AS {s.name}_range_anomaly"
         for s in spec.sensors
     ]
-    aggs.append("count(*) AS total_readings")
+
+
+def anomaly_sql(cte: str, spec: PipelineSpec, window: str, by=None) -> str:
+    aggs = [*_anomaly_aggs(spec), "count(*) AS total_readings"]
     return _window_query(cte, window, by, aggs, ["'anomaly_detection' AS analysis_type"])
 
 
@@ -145,7 +152,7 @@ def health_score_sql(s) -> str:
     return f"greatest(0.0, 1.0 - abs({s.name} - {s.centre!r}) / {s.half_width!r})"
 
 
-def health_sql(cte: str, spec: PipelineSpec, window: str, by=None, missing: str = "zero") -> str:
+def _health_aggs(spec: PipelineSpec, missing: str) -> list[str]:
     scores = [health_score_sql(s) for s in spec.sensors]
     if missing == "skip":
         scores = [f"CASE WHEN {s.name} IS NOT NULL THEN {e} END" for s, e in zip(spec.sensors, scores)]
@@ -156,11 +163,21 @@ def health_sql(cte: str, spec: PipelineSpec, window: str, by=None, missing: str
         overall = "(" + " + ".join(f"coalesce({e}, 0.0)" for e in scores) + f") / nullif({count}, 0)"
     aggs.append(f"{r(f'avg({overall})')} AS avg_system_health")
     aggs.append(f"{r(f'avg({spec.activity})')} AS avg_{spec.activity}")
-    aggs.append("count(*) AS total_readings")
+    return aggs
+
+
+def health_sql(cte: str, spec: PipelineSpec, window: str, by=None, missing: str = "zero") -> str:
+    aggs = [*_health_aggs(spec, missing), "count(*) AS total_readings"]
     tail = [f"'{window}' AS window_duration", "'system_health' AS analysis_type"]
     return _window_query(cte, window, by, aggs, tail)
 
 
+def combined_sql(cte: str, spec: PipelineSpec, window: str, by=None, missing: str = "zero") -> str:
+    """All three analyses in one row, straight from the readings."""
+    aggs = [*_basic_aggs(spec), *_anomaly_aggs(spec), *_health_aggs(spec, missing), "count(*) AS total_readings"]
+    return _window_query(cte, window, by, aggs, [f"'{window}' AS window_duration"])
+
+
 ANALYSIS_SQL = {"basic": basic_sql, "anomaly": anomaly_sql, "health": health_sql}
 
 

@@ -58,14 +58,15 @@ def events_wide(events: DataFrame) -> DataFrame:
     return events.select(*cols)
 
 
-def events_with_gaps(events: DataFrame) -> DataFrame:
+def events_with_gaps(events: DataFrame, keep=()) -> DataFrame:
     """All of ``events`` as sparse wide readings, some of them broken by a
     fixed rule on the id: every 11th value is NULL, of the others every 7th
     is NaN, and every 13th event time is NULL.  ``sensor_timestamp`` (epoch
-    ms) is always there."""
+    ms) is always there.  Columns in ``keep`` are carried along."""
     n = F.col("event_id")
     value = F.when(n % 11 == 0, F.lit(None)).when(n % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
     return events.withColumn("value", value).select(
+        *keep,
         F.col("user_id").alias("system_id"),
         F.when(n % 13 != 0, F.col("ts")).alias("event_time"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("sensor_timestamp"),

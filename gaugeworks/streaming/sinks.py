@@ -16,18 +16,24 @@ wrote:
   name its run.  Rows outside the range fail the write.  Backfills of
   different ranges or labels lie side by side.
 
+Equal points (measurement, tags, time) of several runs lie side by side on
+disk.  ``read_points`` gives one of each, every field with its newest value
+(by the time its file was written), and ``compact_points`` rewrites a range
+that way.
+
 Errors propagate: a failed write fails the micro-batch, which is then
 replayed from the checkpoint on restart.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.points import line_expr
+from ..operators.points import line_expr, newest_points, point_tags
 
 
 PARTITIONS = ["measurement", "date", "run", "batch_id"]
@@ -108,6 +114,67 @@ def write_line_protocol(
     _overwrite(text).text(path)
 
 
+#: Column of compacted files: when the newest file behind a point was written.
+STAMP = "_stamp"
+
+
+def _stored(spark: SparkSession, path: str, measurement: str | None, dates: tuple | None) -> DataFrame:
+    """Stored points (wide) with their stamp; files as listed now."""
+    place = path.rstrip("/") + (f"/measurement={measurement}" if measurement else "")
+    # measurements have fields of their own; those of one differ where sensors were added
+    rows = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(place)
+    if dates is not None:
+        rows = rows.where((F.col("date") >= F.lit(str(dates[0])).cast("date")) & (F.col("date") < F.lit(str(dates[1])).cast("date")))
+    written = F.col("_metadata.file_modification_time")
+    if STAMP in rows.columns:
+        written = F.coalesce(F.col(STAMP), written)
+    # files written in one millisecond: the run and batch decide, alike for every reader
+    order = F.struct(written.alias("at"), F.col("run").cast("string").alias("run"), F.col("batch_id").cast("long").alias("batch"))
+    return rows.withColumn("__order", order)
+
+
+def read_points(spark: SparkSession, path: str, *, measurement: str | None = None, dates: tuple | None = None) -> DataFrame:
+    """Stored points, each (measurement, tags, time) once; ``dates`` is a
+    half-open range of date folders."""
+    rows = _stored(spark, path, measurement, dates)
+    return newest_points(rows, F.col("__order"), ignore=("run",))
+
+
+def compact_points(spark: SparkSession, path: str, measurement: str, dates: tuple) -> int:
+    """Rewrite the points of a measurement in a range of dates so that each
+    is stored once, and return how many files were replaced.
+
+    The new files are complete before the old ones are deleted, and carry the
+    stamp of what they replace.  So a compaction that breaks off at any point
+    leaves a table that ``read_points`` reads alike (old, new, or both), the
+    next one clears it up, and files that others write meanwhile are neither
+    lost nor overruled.  Only the names of the range's files are listed here."""
+    rows = _stored(spark, path, measurement, dates)
+    old = [f for f in rows.inputFiles() if _in_range(f, dates)]
+    if not old:
+        return 0
+    newest = newest_points(rows, F.col("__order"), ignore=("run",))
+    keys = ["measurement", *[t for t in point_tags(newest)], "time"]
+    stamps = rows.groupBy(*keys).agg(F.max("__order.at").alias(STAMP), F.min("date").alias("date"))
+    same = [newest[k].eqNullSafe(stamps[k]) for k in keys]
+    found = newest.join(stamps, same).select(*[newest[c] for c in newest.columns], stamps[STAMP], stamps["date"])
+    named = found.withColumns({"run": F.lit(f"compacted_{uuid.uuid4().hex}"), "batch_id": F.lit(0)})
+    _overwrite(named.repartitionByRange("measurement", "time")).parquet(path)
+    for name in old:
+        _delete_file(spark, name)
+    return len(old)
+
+
+def _delete_file(spark: SparkSession, name: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, False)
+
+
+def _in_range(name: str, dates: tuple) -> bool:
+    day = name.split("/date=", 1)[1].split("/", 1)[0]
+    return str(dates[0]) <= day < str(dates[1])
+
+
 class PointWriter:
     """Interface of an external point store used by
     ``foreach_partition_sink``."""

@@ -68,3 +68,26 @@ def test_app_lands_readings_once(spark, tmpdir_new):
     pts = spark.read.parquet(out)
     assert pts.where(F.col("measurement") == "raw_sensor_data").count() == h.count()
     assert pts.where(F.col("measurement") == "aggregations_1_hour").count() > 0
+
+
+def test_app_with_one_aggregate_for_all_outputs(spark, tmpdir_new):
+    import pytest
+
+    from gaugeworks.streaming.sinks import read_points
+
+    h = events_as_hydroponic(table(spark, SF_SMALL, "events"))
+    src = os.path.join(tmpdir_new, "in")
+    to_envelope(h, HYDROPONIC, key_col="system_id", time_col="event_time").repartition(2).write.parquet(src)
+    out = os.path.join(tmpdir_new, "points")
+    args = ["--source", "parquet", "--path", src, "--sink", out, "--windows", "1 hour", "--checkpoint", os.path.join(tmpdir_new, "cp")]
+    args += ["--states", os.path.join(tmpdir_new, "states")]
+    with pytest.raises(SystemExit, match="--land"):
+        main(args, spark=spark)
+    args += ["--land", os.path.join(tmpdir_new, "landed")]
+    with pytest.raises(SystemExit, match="--available-now"):
+        main([*args, "--correct"], spark=spark)
+    main([*args, "--available-now", "--correct"], spark=spark)
+    pts = read_points(spark, out)
+    ms = {r.measurement for r in pts.select("measurement").distinct().collect()}
+    assert ms == {"raw_sensor_data", "aggregations_1_hour", "anomalies_1_hour", "health_1_hour"}
+    assert pts.where(F.col("measurement") == "raw_sensor_data").count() == h.select("system_id", "event_time").distinct().count()

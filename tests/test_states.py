@@ -1,0 +1,264 @@
+"""Mergeable window states: equal to the separate analyses, robust merges,
+plan shape, chained windows on a stream, late rows kept and corrected."""
+
+import datetime as dt
+import math
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeworks.operators.parse import parse_readings
+from gaugeworks.operators.states import (
+    FROM_STATES,
+    corrected_states,
+    merge_states,
+    window_seconds,
+    window_states,
+)
+from gaugeworks.operators.windows import ANALYSES, flatten_window
+from gaugeworks.sources.envelope import read_envelope_files
+from gaugeworks.sources.tables import events_wide, events_with_gaps, table
+from gaugeworks.spec import EVENTS, PipelineSpec, SensorSpec
+
+from .conftest import SF_SMALL
+from .test_streaming import SPEC, _write_batches
+
+ONE = PipelineSpec(sensors=(SensorSpec("x", 18.0, 25.0),), activity=None)
+
+
+def close(a, b):
+    if isinstance(a, float) and isinstance(b, float):
+        return (math.isnan(a) and math.isnan(b)) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)
+    return a == b
+
+
+def assert_same(got, want, keys):
+    assert got.columns == want.columns
+    assert got.dtypes == want.dtypes
+    order = lambda rows: sorted(rows, key=lambda r: tuple(str(r[k]) for k in keys))
+    g, w = order(got.collect()), order(want.collect())
+    assert len(g) == len(w) > 0
+    for a, b in zip(g, w):
+        assert all(close(x, y) for x, y in zip(a, b)), (a, b)
+
+
+@pytest.mark.parametrize("missing", ["zero", "skip"])
+@pytest.mark.parametrize("by", [(), ("system_id",)])
+def test_states_give_every_analysis(spark, by, missing):
+    # NaN readings stay in: they poison sums here as there
+    df = events_with_gaps(table(spark, SF_SMALL, "events"))
+    states = window_states(df, EVENTS, "5 minutes", by=by, missing=missing)
+    for window, merged in (("5 minutes", states), ("1 hour", merge_states(states, EVENTS, "1 hour", by=by))):
+        for kind in ("basic", "anomaly", "health"):
+            options = {"missing": missing} if kind == "health" else {}
+            want = ANALYSES[kind](df, EVENTS, window, by=by, **options)
+            got = FROM_STATES[kind](merged, EVENTS, window)
+            assert_same(flatten_window(got), flatten_window(want), ["window_start", *by])
+
+
+def test_merge_keeps_digits_far_from_zero(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(seconds=20 * i), 21.5 + 1e-7 * (i % 7)) for i in range(90)]
+    df = spark.createDataFrame(rows, "event_time timestamp, x double")
+    merged = merge_states(window_states(df, ONE, "1 minute"), ONE, "30 minutes")
+    got = FROM_STATES["basic"](merged, ONE, "30 minutes").first()
+    want = ANALYSES["basic"](df, ONE, "30 minutes").first()
+    assert math.isclose(got.x_stddev, want.x_stddev, rel_tol=1e-6)
+
+
+def test_merges_of_odd_states(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda s: t0 + dt.timedelta(seconds=s)
+    rows = [(at(0), None), (at(400), 20.0), (at(900), None), (None, 21.0), (at(1000), float("inf"))]
+    df = spark.createDataFrame(rows, "event_time timestamp, x double")
+    states = window_states(df, ONE, "5 minutes")
+    assert_same(
+        flatten_window(FROM_STATES["basic"](merge_states(states, ONE, "15 minutes"), ONE, "15 minutes")),
+        flatten_window(ANALYSES["basic"](df, ONE, "15 minutes")),
+        ["window_start"],
+    )
+    none = merge_states(states.where("false"), ONE, "15 minutes")
+    assert none.count() == 0 and none.columns == states.columns
+    # one state merged with nothing is itself
+    again = merge_states(states, ONE)
+    assert_same(flatten_window(again), flatten_window(states), ["window_start"])
+
+
+def test_window_that_states_cannot_fill_fails(spark):
+    df = events_wide(table(spark, SF_SMALL, "events"))
+    states = window_states(df, EVENTS, "15 minutes")
+    with pytest.raises(Exception, match="do not fill"):
+        merge_states(states, EVENTS, "50 minutes").count()
+    assert window_seconds("15 minutes") == 900 and window_seconds("1 hour") == 3600
+    with pytest.raises(ValueError):
+        window_seconds("5 parsecs")
+
+
+def test_one_scan_and_one_exchange(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = events_wide(table(spark, SF_SMALL, "events"))
+        states = window_states(df, EVENTS, "5 minutes")
+        plan = states._jdf.queryExecution().executedPlan().toString()
+        longer = merge_states(states, EVENTS, "1 hour")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 1
+    # states only pass the second exchange, as partial sums
+    assert longer.count("Scan parquet") == 1 and longer.count("Exchange") == 2
+    assert "EvalPython" not in longer and "MapIn" not in longer and longer.count("functions=[partial_") == 2
+
+
+def _stream(spark, base, batches):
+    src = os.path.join(base, "in")
+    _write_batches(src, batches)
+    return src, parse_readings(read_envelope_files(spark, src, max_files_per_trigger=1), SPEC)
+
+
+def test_chained_windows_equal_batch(spark, tmpdir_new):
+    # 5-minute states -> 15 minutes -> 1 hour, three stateful operators in one query
+    seconds = [7 * i for i in range(1600)]
+    batches = [seconds[i : i + 200] for i in range(0, 1600, 200)] + [[30_000], [60_000]]
+    src, parsed = _stream(spark, tmpdir_new, batches)
+    states = window_states(parsed, SPEC, "5 minutes")
+    hours = merge_states(merge_states(states, SPEC, "15 minutes"), SPEC, "1 hour")
+    out = os.path.join(tmpdir_new, "hours")
+    q = (
+        hours.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "_cp")
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    batch = parse_readings(read_envelope_files(spark, src, stream=False), SPEC).where("unix_seconds(event_time) < 30000")
+    got = FROM_STATES["basic"](spark.read.parquet(out).where("unix_seconds(window.start) < 25000"), SPEC, "1 hour")
+    assert_same(flatten_window(got), flatten_window(ANALYSES["basic"](batch, SPEC, "1 hour")), ["window_start"])
+
+
+def test_corrections_touch_only_the_windows_of_late_rows(spark):
+    df = events_wide(table(spark, SF_SMALL, "events")).withColumn("n", F.monotonically_increasing_id())
+    late = df.where("n % 29 = 0")
+    states = window_states(df.where("n % 29 != 0"), EVENTS, "1 hour", by=["system_id"])
+    fixed = corrected_states(states, window_states(late, EVENTS, "1 hour", by=["system_id"]), EVENTS, by=["system_id"])
+    touched = late.select(F.window("event_time", "1 hour").alias("window"), "system_id").distinct()
+    whole = ANALYSES["basic"](df, EVENTS, "1 hour", by=["system_id"])
+    want = whole.join(touched, ["window", "system_id"], "left_semi").select(whole.columns)
+    assert_same(flatten_window(FROM_STATES["basic"](fixed, EVENTS, "1 hour")), flatten_window(want), ["window_start", "system_id"])
+
+
+# --- landed readings, one aggregate, corrections ---------------------------
+
+from gaugeworks.streaming.fanout import (  # noqa: E402
+    admit_readings,
+    correct_late,
+    folders,
+    get_text,
+    landed,
+    start_state_streams,
+)
+from gaugeworks.streaming.sinks import read_points  # noqa: E402
+from gaugeworks.streaming.streams import SinkConfig, await_all  # noqa: E402
+
+NOW = {"availableNow": True}
+
+
+def _drain(spark, base, batches, spec=SPEC, by=(), raw=False):
+    """Land ``batches``, run every stream until nothing is left."""
+    src, parsed = _stream(spark, base, batches)
+    table, states, out = (os.path.join(base, x) for x in ("landed", "states", "points"))
+    admit_readings(parsed, spec, table, os.path.join(base, "cp_land"), trigger=NOW).awaitTermination()
+    streams = start_state_streams(
+        spark, spec, table, parsed.schema, states, SinkConfig(out), os.path.join(base, "cp"),
+        by=by, raw=raw, trigger=NOW, raw_trigger=NOW, max_files=2, wait=True,
+    )
+    assert not streams.errors
+    await_all(streams)
+    return src, parsed.schema, table, states, out
+
+
+def _counts(spark, out, measurement="aggregations_5_minutes", length=300):
+    rows = read_points(spark, out).where(F.col("measurement") == measurement)
+    return {
+        r.s: int(r.n)
+        for r in rows.select((F.unix_seconds("time") - length).alias("s"), F.col("water_temperature_count").alias("n")).collect()
+    }
+
+
+def test_late_row_is_kept_and_its_window_corrected(spark, tmpdir_new):
+    batches = [[10, 290], [340], [660], [299, 305], [1300], [1310]]
+    src, schema, table, states, out = _drain(spark, tmpdir_new, batches)
+    assert sorted(r.t for r in landed(spark, table, schema, late=True).select(F.unix_seconds("event_time").alias("t")).collect()) == [299, 305]
+    assert landed(spark, table, schema).count() == 6
+    before = _counts(spark, out)
+    assert before == {0: 2, 300: 1, 600: 1}
+    sink = SinkConfig(out)
+    assert correct_late(spark, SPEC, table, schema, states, sink) == 1
+    assert _counts(spark, out) == {0: 3, 300: 2, 600: 1}
+    assert correct_late(spark, SPEC, table, schema, states, sink) == 0
+    assert _counts(spark, out) == {0: 3, 300: 2, 600: 1}
+
+
+def test_broken_correction_is_taken_up(spark, tmpdir_new, monkeypatch):
+    from gaugeworks.streaming import fanout
+
+    src, schema, table, states, out = _drain(spark, tmpdir_new, [[10, 290], [340, 660], [299, 305], [1300]])
+    sink, real = SinkConfig(out), fanout.write_state_points
+
+    def boom(*args, **kw):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(fanout, "write_state_points", boom)
+    with pytest.raises(RuntimeError):
+        correct_late(spark, SPEC, table, schema, states, sink)
+    monkeypatch.setattr(fanout, "write_state_points", real)
+    assert correct_late(spark, SPEC, table, schema, states, sink) == 1
+    assert _counts(spark, out) == {0: 3, 300: 2, 600: 1}
+    assert correct_late(spark, SPEC, table, schema, states, sink) == 0
+
+
+def test_window_emitted_after_its_correction_takes_late_rows_in(spark, tmpdir_new):
+    spec = SPEC.with_(windows=("5 minutes", "15 minutes"))
+    src, schema, table, states, out = _drain(spark, tmpdir_new, [[10, 290], [340], [660], [299]], spec)
+    sink = SinkConfig(out)
+    assert correct_late(spark, spec, table, schema, states, sink) == 1
+    # the 15 minutes close only now
+    src, schema, table, states, out = _drain(spark, tmpdir_new, [[10, 290], [340], [660], [299], [4000]], spec)
+    assert _counts(spark, out)[0] == 3
+    assert _counts(spark, out, "aggregations_15_minutes", 900)[0] == 5
+
+
+def test_fan_out_equals_batch_and_reads_the_source_once(spark, tmpdir_new):
+    spec = SPEC.with_(windows=("5 minutes", "15 minutes", "1 hour"))
+    seconds = [11 * i for i in range(1200)]
+    late = [5, 3000]
+    batches = [seconds[:700], seconds[700:] + [30_000], late, [90_000]]
+    src, schema, table, states, out = _drain(spark, tmpdir_new, batches, spec, raw=True)
+    assert correct_late(spark, spec, table, schema, states, SinkConfig(out)) == 1
+    points = read_points(spark, out)
+    batch = parse_readings(read_envelope_files(spark, src, stream=False), spec)
+    for kind, prefix in (("basic", "aggregations"), ("anomaly", "anomalies"), ("health", "health")):
+        for window, name, length in (("5 minutes", "5_minutes", 300), ("15 minutes", "15_minutes", 900), ("1 hour", "1_hour", 3600)):
+            want = ANALYSES[kind](batch.where("unix_seconds(event_time) < 30000"), spec, window)
+            field = {"basic": "water_temperature_count", "anomaly": "total_readings", "health": "avg_system_health"}[kind]
+            expect = {r.s: float(r.v) for r in want.select(F.unix_seconds("window.end").alias("s"), F.col(field).alias("v")).collect()}
+            rows = points.where((F.col("measurement") == f"{prefix}_{name}") & (F.unix_seconds("time") <= 30_000))
+            got = {r.s: r.v for r in rows.select(F.unix_seconds("time").alias("s"), F.col(field).alias("v")).collect()}
+            assert got == pytest.approx(expect), (kind, window)
+    assert points.where("measurement = 'raw_sensor_data'").count() == 1204
+    # replayed micro-batches put nothing down twice
+    assert len(folders(spark, table, "batch_id")) == len(batches)
+
+
+def test_replayed_admission_changes_nothing(spark, tmpdir_new):
+    from gaugeworks.streaming import fanout
+
+    src, schema, table, states, out = _drain(spark, tmpdir_new, [[10, 290], [340], [20]])
+    rows = landed(spark, table, schema).count(), landed(spark, table, schema, late=True).count()
+    marks = [get_text(spark, f"{table}/_watermarks/{b}") for b in range(3)]
+    assert rows == (3, 1) and marks == ["260000000", "310000000", "310000000"]
+    batch = parse_readings(read_envelope_files(spark, src, stream=False), SPEC).where("unix_seconds(event_time) = 20")
+    options = {"spec": SPEC, "table": table, "window": "5 minutes", "delay": SPEC.watermark}
+    fanout._admit(batch, 2, **options)  # all there
+    fanout._fs(spark, table)[0].delete(fanout._path(spark, f"{table}/_watermarks/2"), False)
+    fanout._admit(batch, 2, **options)  # the watermark was lost
+    assert rows == (landed(spark, table, schema).count(), landed(spark, table, schema, late=True).count())
+    assert get_text(spark, f"{table}/_watermarks/2") == "310000000"
