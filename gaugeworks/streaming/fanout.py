@@ -27,6 +27,8 @@ admitted; each row is either in an emitted window or in ``late=true``.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -92,6 +94,20 @@ def put_folder(df: DataFrame, table: str, name: str, *, partition_by=()) -> None
         raise OSError(f"could not put folder {name} of {table}")
 
 
+@contextmanager
+def settled(df: DataFrame, table: str, name: str) -> Iterator[DataFrame]:
+    """``df`` written beside a table and read back, for several outputs of one
+    result (and a short plan for each); deleted at the end."""
+    spark = df.sparkSession
+    place = f"{table.rstrip('/')}/_settled/{name}"
+    df.write.mode("overwrite").parquet(place)
+    try:
+        yield spark.read.schema(df.schema).parquet(place)
+    finally:
+        fs, p = _fs(spark, place)
+        fs.delete(p, True)
+
+
 def folders(spark: SparkSession, table: str, key: str) -> list[int]:
     """The numbers of the folders ``key=<number>`` of a table, ascending."""
     fs, p = _fs(spark, table)
@@ -190,9 +206,13 @@ def _emit(batch: DataFrame, batch_id: int, *, spec: PipelineSpec, window: str, s
         put_folder(batch.withColumn("start", F.col("window.start")), table, name)
     emitted = spark.read.schema(batch.schema).parquet(f"{table}/{name}")
     late = late_states(spark, batch.schema, states, shortest)
-    if late is not None:  # late rows that a correction has taken in before
-        emitted = corrected_states(late if window == shortest else merge_states(late, spec, window, by=by), emitted, spec, by=by)
-    write_state_points(emitted, spec, window, analyses, sink, run=run, batch_id=batch_id)
+    if late is None:
+        write_state_points(emitted, spec, window, analyses, sink, run=run, batch_id=batch_id)
+        return
+    # late rows that a correction has taken in before
+    whole = corrected_states(late if window == shortest else merge_states(late, spec, window, by=by), emitted, spec, by=by)
+    with settled(whole, table, name) as known:
+        write_state_points(known, spec, window, analyses, sink, run=run, batch_id=batch_id)
 
 
 def state_table(base: str, window: str) -> str:
@@ -341,6 +361,7 @@ def correct_late(
         same = [F.col(f"t.{k}").eqNullSafe(F.col(f"n.{k}")) for k in ("w", *by)]
         inside = now.withColumn("w", key).alias("n").join(touched, same, "left_semi").drop("w")
         fixed = inside if w == shortest else merge_states(inside, spec, w, by=by)
-        write_state_points(fixed, spec, w, analyses, sink, run="correction", batch_id=number)
+        with settled(fixed, kept, f"{number}_{w.replace(' ', '_')}") as known:
+            write_state_points(known, spec, w, analyses, sink, run="correction", batch_id=number)
     put_text(spark, f"{kept}/_points/{number}", "")
     return number
