@@ -1,11 +1,13 @@
 """SentencePiece encoding and decoding by streaming Viterbi.
 
 The segmentation of a text into vocabulary pieces with the largest sum of
-piece scores is found by dynamic programming over characters.  Scores are
-kept only for a window of the longest piece's length; a character that no
+piece scores is found by dynamic programming over characters.  A text is
+taken in steps of 64 times the longest piece; only ends inside the longest
+piece's length ahead of the start at hand are live, and a character that no
 piece covers is one edge that stands for its bytes.  Whenever the
-back-pointer paths of all ends in the window meet on one boundary, the
-ids up to it are final: they are committed and forgotten.
+back-pointer paths of all live ends meet on one boundary, the ids up to it
+are final: they are committed and their scores forgotten.  So a step and
+what has not met yet is held, never a whole text.
 
 Boundaries that no piece of the vocabulary can cross (before a blank that
 follows another character, and around a line break, in the vocabularies
@@ -30,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN_PENALTY = 10.0
-UNIT_TABLE = 150_000
+UNIT_TABLE = 400_000
 UNIT_CHARS = 48
 ROWS = 128
 
@@ -62,6 +65,7 @@ class PieceVocabulary:
                 text = piece.replace("▁", " ")
                 self.scores[text] = (model.get_score(i), i)
                 self.raw[i] = text.encode("utf-8")
+        self.raw_array = pa.array(self.raw, pa.binary())
         self.longest = max(map(len, self.scores), default=1)
         # children of a beginning of pieces: character to (children, score, id); id -1 where it is no piece itself
         self.root: dict[str, tuple[dict, float, int]] = {}
@@ -89,9 +93,10 @@ class StreamingViterbi:
     """Feed characters, take committed ids.
 
     ``best``, ``start`` and ``piece`` hold, for the boundaries since the
-    last commit, the best score and the edge that ends there; ``reach`` is
-    the last boundary with a score, at most ``longest`` after the one at
-    hand.  Text is taken in bounded steps and forgotten once committed."""
+    last commit, the best score and the edge that ends there (for the rest
+    of a step of ``64 * longest`` characters and for what has not met);
+    ``reach`` is the last boundary with a score, at most ``longest`` after the
+    one at hand.  Text is forgotten once committed."""
 
     def __init__(self, vocabulary: PieceVocabulary):
         self.v = vocabulary
@@ -212,14 +217,19 @@ class PieceCodec:
             self.table[unit] = ids
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode_bytes(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers in native order."""
         if not text:
-            return np.empty(0, dtype=np.int32)
-        get, parts = self.table.get, []
-        for unit in self.v.units.findall(" " + text):
-            ids = get(unit)
-            parts.append(self._unit(unit) if ids is None else ids)
-        return np.frombuffer(b"".join(parts), dtype=np.int32)
+            return b""
+        units = self.v.units.findall(" " + text)
+        found = list(map(self.table.get, units))
+        for at in [k for k, ids in enumerate(found) if ids is None]:
+            # met earlier in this text, perhaps
+            found[at] = self.table.get(units[at]) or self._unit(units[at])
+        return b"".join(found)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode_bytes(text), dtype=np.int32)
 
     def decode(self, ids) -> str:
         raw, n = self.v.raw, len(self.v.raw)
@@ -230,15 +240,28 @@ class PieceCodec:
 
 
 def _id_lists(texts: pa.Array, codec: PieceCodec) -> pa.ListArray:
-    rows = [codec.encode(t.as_py()) if t.is_valid else None for t in texts]
-    offsets = np.cumsum([0, *(0 if r is None else len(r) for r in rows)]).astype(np.int32)
-    values = np.concatenate([np.empty(0, np.int32), *(r for r in rows if r is not None)])
-    missing = pa.array([r is None for r in rows], pa.bool_())
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=missing)
+    rows = [codec.encode_bytes(t.as_py()) if t.is_valid else b"" for t in texts]
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(rows))])
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=texts.is_null())
 
 
 def _texts(ids: pa.ListArray, codec: PieceCodec) -> pa.Array:
-    # ids become Python numbers for one row at a time
+    """Decoded texts: the bytes of all pieces by one lookup, then one join a
+    row; rows with unknown ids or broken UTF-8 are decoded one by one."""
+    flat = ids.flatten()
+    known = flat.null_count == 0 and (not len(flat) or (pc.min(flat).as_py() >= 0 and pc.max(flat).as_py() < len(codec.v.raw)))
+    if known:
+        ends = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False), out=ends[1:])
+        spelled = pa.ListArray.from_arrays(pa.array(ends), codec.v.raw_array.take(flat), mask=ids.is_null())
+        try:
+            joined = pc.binary_join(spelled, pa.scalar(b"", pa.binary())).cast(pa.string())
+            # the blank that encoding put before the text
+            return pc.if_else(pc.starts_with(joined, " "), pc.utf8_slice_codeunits(joined, 1), joined)
+        except pa.ArrowInvalid:
+            pass
     return pa.array([codec.decode(r.values.drop_null().to_numpy()) if r.is_valid else None for r in ids], pa.string())
 
 
