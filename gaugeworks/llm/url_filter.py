@@ -1,10 +1,8 @@
 """URL filter: rules first, then a character language-model ratio.
 
-The models see host and path only: what follows ``?`` or ``#`` is in no
-text, so URLs that differ only there get one verdict (open, see README).
-
-Rules ``(verdict, host, path)`` judge the URLs they fit.  Those URLs also
-teach two variable-order Markov models of characters, one of accepted and
+Rules ``(verdict, host, path)`` judge the URLs they fit by host and path.
+The models read the whole URL as it stands, from the scheme to the end of
+query string and fragment.  The URLs with a rule teach two variable-order Markov models of characters, one of accepted and
 one of rejected URLs: Witten-Bell smoothing backs a context of ``order``
 characters off to shorter ones, down to the uniform distribution, so an
 unseen context simply uses the longest one that was seen.  All other URLs
@@ -19,8 +17,9 @@ folded into ``SYMBOLS``, so a model has at most ``len(SYMBOLS) ** (order +
 1)`` cells however large the table: this bounds what the driver gathers
 and broadcasts (25 MB at order 3).
 
-Defined cases: a NULL URL or one without ``://`` has empty host and path,
-no rule and ratio 0, and is blocked: there is nothing to accept.  If one
+Defined cases: a URL without ``://`` has empty host and path and no rule,
+and is judged by the models like any other; a NULL or empty one has ratio 0
+and is blocked: there is nothing to accept.  If one
 class has no URLs, all ratios are 0 and URLs without a rule are allowed.
 Repeated rows and NULL ids are judged like any other; of several fitting
 rules the longest wins, then the earlier in the list; an empty table gives
@@ -195,16 +194,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], *, id_col: str = "page_i
     """``page_id, host, path, rule, verdict, log_ratio, limit``."""
     url = F.col("url")
     parts = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url")).select(
-        "page_id", host_of(url).alias("host"), path_of(url).alias("path")
-    )
-    parts = parts.select(
         "page_id",
-        F.coalesce("host", F.lit("")).alias("host"),
-        F.coalesce("path", F.lit("")).alias("path"),
-    )
-    found = parts.withColumn("found", rule_of(F.col("host"), F.col("path"), rules)).withColumn(
-        "text", F.concat("host", "path")
+        F.coalesce(host_of(url), F.lit("")).alias("host"),
+        F.coalesce(path_of(url), F.lit("")).alias("path"),
+        F.coalesce(url, F.lit("")).alias("text"),
     )
+    found = parts.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     judged = found.where("found is not null").select("text", (F.col("found.verdict") == "allow").alias("accepted"))
     ratio, limit = fit(judged, order)
     method = F.when((F.length("text") > 0) & (F.col("log_ratio") >= F.lit(limit)), "allow").otherwise("block")

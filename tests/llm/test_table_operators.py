@@ -268,10 +268,11 @@ def test_url_query(spark):
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
         if rule:
             assert r["verdict"] == verdict
-            (held.append((r["log_ratio"], verdict)) if zlib.crc32((host + path).encode()) % 5 == 0 else train[verdict].append(host + path))
+            (held.append((r["log_ratio"], verdict)) if zlib.crc32(url.encode()) % 5 == 0 else train[verdict].append(url))
     allow, block = (markov_by_hand(train[c]) for c in ("allow", "block"))
+    urls = dict(pages)
     for r in list(got.values())[:80]:
-        s = ["^"] * 3 + list((r["host"] + r["path"]).lower())
+        s = ["^"] * 3 + list(urls[r["page_id"]].lower())
         assert abs(r["log_ratio"] - (allow(s) - block(s)) / (len(s) - 3)) < 1e-3
     # the verdicts without a rule follow one limit
     rest = [r for r in got.values() if r["rule"] is None]
@@ -290,10 +291,22 @@ def test_url_odd_rows(spark):
     assert len(got) == len(rows)
     want = sorted(((i, *url_parts(u), fitting_rule(*url_parts(u))[0]) for i, u in rows), key=str)
     assert sorted(((r["page_id"], r["host"], r["path"], r["rule"]) for r in got), key=str) == want
-    assert all(r["verdict"] == "block" for r in got if not r["host"] and not r["path"])
+    assert all(r["verdict"] == "block" and r["log_ratio"] == 0 for r in got if r["page_id"] in (1, 2))
+    assert all(r["log_ratio"] != 0 for r in got if r["page_id"] in (3, 9))
     assert url_filter.judge_urls(df.limit(0), rules).count() == 0
 
 
+def test_url_parts_beyond_the_path_are_judged(spark):
+    rules = [("allow", "ok.org", "/"), ("block", "bad.org", "/")]
+    rows = [(i, f"http://ok.org/p?item=good{i}#top") for i in range(60)]
+    rows += [(100 + i, f"http://bad.org/p?buy=pills{i}") for i in range(60)]
+    rows += [(200, "http://q.net/p?item=good3"), (201, "http://q.net/p?buy=pills3"), (202, "q.net/p?item=good"), (203, "q.net/p?buy=pills")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(df, rules).collect()}
+    assert [got[i]["verdict"] for i in range(200, 204)] == ["allow", "block", "allow", "block"]
+    assert got[200]["log_ratio"] > got[201]["log_ratio"] and got[202]["log_ratio"] > got[203]["log_ratio"]
+
+
 def test_limit_of_least_error():
     hist = np.zeros((2, url_filter.BINS))
     mid = url_filter.BINS // 2
