@@ -12,12 +12,14 @@ As the layer is linear, the mean of the embeddings times the layer equals
 the mean of (embedding times layer); scoring therefore gathers one short
 row of logits for each n-gram of a whole text, in blocks of bounded size.
 
-Fitting uses a bounded, documented sample: about ``sample_rows`` documents
-of each language (a hash of the id below a rate set from the counts of
-all rows), texts of at most ``max_chars`` characters (longer ones are left out,
-never cut), training folds only.  Every language with such a text is
-learned; with more than ``max_rows / sample_rows`` languages each gives
-fewer documents, about ``max_rows`` in all, but at least ``LEAST_ROWS``.
+Fitting uses a bounded, documented sample: of each language its first
+``sample_rows`` *different* texts by a hash of the text (a rate from the counts
+of all rows thins them out before the ranking), of at most ``max_chars``
+characters (longer ones are left out, never cut), training folds only.
+Every language with such a text is learned; with more than ``max_rows /
+sample_rows`` languages each gives fewer texts, about ``max_rows`` in all, but
+``LEAST_ROWS`` if it has them, and none gives more than its share of
+``max_total_chars`` characters, its first text aside.
 Scoring is one scan of every whole text.  With more languages than
 dimensions the model keeps the embeddings and the layer apart, so it does
 not grow with languages times buckets.
@@ -35,7 +37,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out
@@ -47,6 +49,7 @@ SAMPLE_ROWS = 500
 MAX_CHARS = 20_000
 MAX_ROWS = 100_000
 LEAST_ROWS = 20
+MAX_TOTAL_CHARS = 100_000_000
 EPOCHS = 4
 RATE = 0.5
 MAX_FALSE_REJECTS = 0.005
@@ -188,35 +191,36 @@ def fit(
     sample_rows: int = SAMPLE_ROWS,
     max_chars: int = MAX_CHARS,
     max_rows: int = MAX_ROWS,
+    max_total_chars: int = MAX_TOTAL_CHARS,
     max_false_rejects: float = MAX_FALSE_REJECTS,
 ) -> LanguageModel | None:
     """Train on rows outside the held-out fold; None if there are none."""
-    known = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
-    ).where(F.col("lang").isNotNull() & ~held_out(F.col("id")) & F.col("text").isNotNull())
-    counts = (
-        known.groupBy("lang")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .collect()  # one row a language
+    known = (
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+        .where(F.col("lang").isNotNull() & ~held_out(F.col("id")) & (F.length("text") <= max_chars))
+        .where(F.col("text").rlike(r"\p{L}"))
+        .select("lang", "text", F.xxhash64("text").alias("h"))
     )
-    if not counts:
+    # different texts of each language, to a few hundredths: it only sets the rate of the draw
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    n_languages = counts.count()
+    if not n_languages:
         return None
-    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
-    each = min(sample_rows, max(max_rows // len(counts), LEAST_ROWS))
-    limits = docs.sparkSession.createDataFrame(
-        [(r["lang"], int(min(1.0, each / r["n"]) * (1 << 30))) for r in counts], "lang string, below bigint"
-    )
-    rows = (
-        known.where(F.length("text") <= max_chars)
-        .withColumn("place", place)
-        .join(F.broadcast(limits), "lang")  # the sample needs no shuffle
-        .where(F.col("place") < F.col("below"))
+    each = min(sample_rows, max(max_rows // n_languages, LEAST_ROWS))
+    share = max_total_chars // n_languages
+    rates = counts.select("lang", F.least(F.lit(1.0), F.lit(2.0 * each + 20) / F.col("n")).alias("rate"))
+    drawn = (
+        known.join(rates, "lang")
+        .withColumn("place", F.pmod("h", F.lit(1 << 30)))
+        .where(F.col("place") < F.col("rate") * float(1 << 30))
         .select("lang", "place", "text")
-        .orderBy("place", "lang", "text")
-        .limit(2 * each * len(counts))
-        .collect()
+        .distinct()  # copies are one text, before the shuffle already
     )
+    order = Window.partitionBy("lang").orderBy("place", "text")
+    first = drawn.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each)
+    before = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = first.withColumn("chars", before).where((F.col("chars") <= share) | (F.col("k") == 1)).collect()
+    rows.sort(key=lambda r: (r["place"], r["lang"], r["text"]))
     rows = [r for r in rows if has_letter(r["text"])]
     languages = tuple(sorted({r["lang"] for r in rows}))
     if not languages:

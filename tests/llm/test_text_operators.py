@@ -171,6 +171,19 @@ def test_language_odd_rows(odd, empty):
     assert odd.select(language_id.detect_language(F.col("text"), None)["lang_pred"].alias("l")).distinct().collect()[0][0] == "und"
 
 
+def test_copies_of_one_language_push_out_no_other(spark):
+    rows = [(i, "le chat est sur la table", "fr") for i in range(2000)]
+    rows += [(5000 + i, f"the dog number {i} is under a chair", "en") for i in range(300)]
+    rows += [(9000, "der hund", "de"), (9001, "der hund läuft", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert set(model.languages) >= {"en", "fr"}
+    got = docs.select("lang", language_id.detect_language(F.col("text"), model)["lang_pred"].alias("p")).where("lang != 'de'")
+    assert got.where("lang = p").count() == 2300
+    # a bound on characters leaves a text of each language
+    assert set(language_id.fit(docs, max_total_chars=3).languages) == set(model.languages)
+
+
 def test_every_language_is_learned(spark):
     """More than 200 languages, the rarest with six documents."""
     names = [f"l{i:03d}" for i in range(230)]
