@@ -21,8 +21,8 @@ The cost of a segment is the decimal logarithm of the guesses for it:
 
 The dictionary is no fixed list: it holds the most frequent words of the
 corpus, counted over all whole texts with the values of credential contexts
-taken out (a secret in thousands of copies does not become a word), ties by
-spelling.  ``DICTIONARY_WORDS`` bounds what is kept and sent to the tasks.
+taken out (a secret in thousands of copies does not become a word).
+``DICTIONARY_WORDS`` bounds what is kept and sent to the tasks.
 
 Plan: one pass to count words (a task sends on counts, not words; the sums
 are aggregated on both sides of the shuffle, so a frequent word is one row a
@@ -47,6 +47,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import drop_written, written
+
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "guess")
 
@@ -294,9 +296,25 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def fit_dictionary(docs: DataFrame, text_col: str = "text", *, words: int = DICTIONARY_WORDS) -> list[str]:
-    """The ``words`` most frequent words of the corpus, the first the most frequent."""
-    counts = word_counts(docs, text_col).where("n > 1")
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]
+    """The most frequent words of the corpus, the first the most frequent.
+
+    Words are taken by steps of their count (eight to each doubling, counts of
+    one left out), whole steps only and at most ``words`` in all: so the driver
+    gathers the sizes of a few hundred steps and the words of the dictionary,
+    however large the corpus and its partitions are."""
+    counts = word_counts(docs, text_col).where("n > 1").withColumn("step", F.floor(8 * F.log2("n")).cast("int"))
+    counts = written(counts, "words")
+    room, least = words, None
+    for r in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        if r["count"] > room:
+            break
+        room, least = room - r["count"], r["step"]
+    if least is None:
+        found = []
+    else:
+        found = counts.where(F.col("step") >= least).select("word", "n").collect()
+    drop_written(counts)
+    return [r.word for r in sorted(found, key=lambda r: (-r.n, r.word.encode()))]
 
 
 RESULT = "n_assign bigint, n_access bigint, n_hex bigint, base string, spans string, costs array<double>"

@@ -126,12 +126,18 @@ def words_by_hand(texts):
         t = (ss.CONTEXT.sub(" ", t or ""))
         low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c if c > "\x7f" or "a" <= c <= "z" else " " for c in t)
         counts.update(w for w in low.split(" ") if ss.MIN_WORD <= len(w) <= ss.MAX_WORD)
-    return [w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0].encode())) if n > 1]
+    words = [(w, n, math.floor(8 * math.log2(n))) for w, n in counts.items() if n > 1]
+    steps = sorted({s for *_, s in words}, reverse=True)
+    for least in steps:  # whole steps, as long as there is room
+        if sum(s >= least for *_, s in words) > ss.DICTIONARY_WORDS:
+            words = [x for x in words if x[2] > least]
+            break
+    return [w for w, *_ in sorted(words, key=lambda x: (-x[1], x[0].encode()))]
 
 
 def test_query_against_plain_patterns(spark, docs_rows):
     texts = {r[0]: r[1] or "" for r in docs_rows}
-    dictionary = words_by_hand(texts.values())[: ss.DICTIONARY_WORDS]
+    dictionary = words_by_hand(texts.values())
     assert ss.fit_dictionary(spark.read.parquet(f"{SF_SMALL}/documents.parquet")) == dictionary
     costs = ss.GuessCost({w: i + 1 for i, w in enumerate(dictionary)})
     rows = queries.op13_secret_scan(spark, SF_SMALL).collect()
@@ -146,10 +152,19 @@ def test_query_against_plain_patterns(spark, docs_rows):
         assert r.spans == ss.joined(ss.in_order(base + added))
 
 
+def test_dictionary_keeps_whole_steps_within_its_room(spark, monkeypatch):
+    text = " ".join(f"w{'abcdefghij'[i]}x " * (2 if i > 3 else 40 - i) for i in range(10))
+    docs = spark.createDataFrame([(text,)], "text string")
+    for room in (0, 1, 3, 4, 9, 10):
+        monkeypatch.setattr(ss, "DICTIONARY_WORDS", room)
+        found = ss.fit_dictionary(docs, words=room)
+        assert found == words_by_hand([text]) and len(found) <= room
+
+
 def test_odd_rows_and_empty_table(spark, odd, empty, monkeypatch):
     monkeypatch.setattr(ss, "FLUSH", 100)
     dictionary = ss.fit_dictionary(odd)
-    assert dictionary == words_by_hand([r.text for r in odd.collect()])[: ss.DICTIONARY_WORDS]
+    assert dictionary == words_by_hand([r.text for r in odd.collect()])
     seen = odd.select("doc_id", ss.secret_spans(F.col("text"), dictionary).alias("s")).select("doc_id", "s.*")
     rows = seen.collect()
     assert len(rows) == odd.count() and all(r.spans == "" and r.n_hex == 0 for r in rows)
