@@ -64,8 +64,8 @@ FOLD = bytes(
 )
 
 #: A segment is closed at so many documents or postings.
-SEGMENT_DOCS = 4096
-SEGMENT_POSTINGS = 2_000_000
+SEGMENT_DOCS = 2048
+SEGMENT_POSTINGS = 1_000_000
 #: One segment of so many sets the first bounds.
 SEED_SHARE = 16
 #: Distinct terms of a block of queries, on average.

@@ -53,7 +53,7 @@ def frames(spark, docs, queries):
     return d, q
 
 
-@pytest.mark.parametrize("segment_docs, block_terms", [(4096, 200_000), (7, 400)])
+@pytest.mark.parametrize("segment_docs, block_terms", [(2048, 200_000), (7, 400)])
 def test_equals_brute_force(spark, docs_rows, monkeypatch, segment_docs, block_terms):
     monkeypatch.setattr(ls, "SEGMENT_DOCS", segment_docs)
     monkeypatch.setattr(ls, "BLOCK_TERMS", block_terms)
