@@ -303,11 +303,24 @@ class ShardReader:
         return self._ids.get_batch(k).column(0).flatten().to_numpy(zero_copy_only=True)
 
     def get(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``."""
+        """Ids and mask of sequence ``i``, both as views of the file, nothing
+        copied.  The mask has a bit a position, least significant first
+        (``unpacked`` spells it out); where the length of a sequence is no
+        multiple of 8 its bits do not begin on a byte, and the mask comes
+        spelled out and packed anew."""
         rows = self._ids.get_batch(i // self._per_batch)
-        at = slice(i % self._per_batch * self.sequence, (i % self._per_batch + 1) * self.sequence)
-        ids = rows.column(0).flatten().to_numpy(zero_copy_only=True)[at]
-        return ids, rows.column(1).flatten()[at].to_numpy(zero_copy_only=False)
+        first = i % self._per_batch * self.sequence
+        ids = rows.column(0).flatten().to_numpy(zero_copy_only=True)[first : first + self.sequence]
+        mask = rows.column(1).flatten()
+        if self.sequence % 8 or mask.offset % 8:
+            bits = mask[first : first + self.sequence].to_numpy(zero_copy_only=False)
+            return ids, np.packbits(bits, bitorder="little")
+        begin = (mask.offset + first) // 8
+        return ids, np.frombuffer(mask.buffers()[1], dtype=np.uint8)[begin : begin + self.sequence // 8]
+
+    def unpacked(self, mask: np.ndarray) -> np.ndarray:
+        """A mask of ``get`` as one boolean a position."""
+        return np.unpackbits(mask, count=self.sequence, bitorder="little").astype(bool)
 
     def documents(self) -> Iterator[pa.RecordBatch]:
         with pa.ipc.open_file(self._open(".docs.arrow")) as f:

@@ -241,7 +241,9 @@ def test_token_files(spark, odd, empty, tmpdir_new):
     for _, path, n_docs, n_tokens in shards:
         reader, flat, i = token_shards.ShardReader(path), [], 0
         while len(flat) < n_tokens:
-            ids, mask = reader.get(i)
+            ids, bits = reader.get(i)
+            assert not ids.flags.owndata and (reader.sequence % 8 or not bits.flags.owndata)
+            mask = reader.unpacked(bits)
             assert len(ids) == len(mask) == 64
             flat += ids[mask].tolist()
             i += 1
