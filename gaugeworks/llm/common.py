@@ -29,6 +29,18 @@ def held_out(id_col: Column) -> Column:
     return fold(id_col) == F.lit(0)
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """``wanted``, each with underscores behind it as long as a column has
+    that name (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's ``spark.checkpoint.dir``.
 

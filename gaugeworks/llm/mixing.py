@@ -39,7 +39,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, written
+from .common import WORD_PATTERN, free_names, written
 
 CUTS = 31
 ROUNDS = 8
@@ -149,9 +149,21 @@ def mix(
     (pass, place of the block in the pass, tokens of the source before the
     document over all passes), one row for each use of a document.
 
-    ``budget_tokens`` defaults to the tokens of the input."""
-    if any(c.lower().startswith("_mix_") for c in docs.columns):
-        raise ValueError("columns named _mix_* are reserved")
+    ``budget_tokens`` defaults to the tokens of the input.  Where ``docs`` has
+    a column of one of these names, the new one has underscores behind it."""
+    names = docs.columns
+    if any(c.lower().startswith("_mix_") for c in names):
+        plain = [f"c{i}" for i in range(len(names))]
+        (extra,) = free_names(names, "c")
+        held = docs if tokens is None else docs.withColumn(extra, tokens)
+        inner = held.toDF(*plain, *([] if tokens is None else ["given"]))
+        mixed = mix(
+            inner, budget_tokens=budget_tokens, id_col=plain[names.index(id_col)], text_col=plain[names.index(text_col)],
+            source_col=plain[names.index(source_col)], tokens=None if tokens is None else F.col("given"),
+            target_entropy=target_entropy, max_repeats=max_repeats, block_tokens=block_tokens, seed=seed,
+        )
+        added = ["_mix_epoch", "_mix_block", "_mix_before"]
+        return mixed.select(*plain, *added).toDF(*names, *free_names(names, *added))
     # places are found on narrow rows; texts join at the end
     count = word_tokens(F.col(text_col)) if tokens is None else tokens
     key = [F.col(id_col).alias("_mix_id"), F.xxhash64(F.col(text_col)).alias("_mix_text"), F.col(source_col).alias("_mix_source")]

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_names, written
 from .graph import components
 
 WORDS = 5
@@ -416,19 +416,20 @@ def keep_representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     the smallest hash of the text; of rows equal in both, one.  Rows
     without words are no group and all stay."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    own_id, own_hash, of_id, of_hash = free_names(docs.columns, "_nd_i", "_nd_h", "_nd_id", "_nd_hash")
     # a group's choice is an aggregate, so large groups shrink before the shuffle
     chosen = (
         found.where("root is not null")
         .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("m"))
-        .select(F.col("m.doc_id").alias("_nd_id"), F.col("m.text_hash").alias("_nd_hash"))
+        .select(F.col("m.doc_id").alias(of_id), F.col("m.text_hash").alias(of_hash))
     )
     empty = docs.where(~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     texts = docs.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = texts.select(*columns, F.col(id_col).cast("bigint").alias("_nd_i"), F.xxhash64(F.col(text_col)).alias("_nd_h"))
+    keyed = texts.select(*columns, F.col(id_col).cast("bigint").alias(own_id), F.xxhash64(F.col(text_col)).alias(own_hash))
     kept = keyed.join(
-        chosen, F.col("_nd_i").eqNullSafe(F.col("_nd_id")) & (F.col("_nd_h") == F.col("_nd_hash")), "left_semi"
+        chosen, F.col(own_id).eqNullSafe(F.col(of_id)) & (F.col(own_hash) == F.col(of_hash)), "left_semi"
     )
-    once = kept.dropDuplicates(["_nd_i", "_nd_h"]).select(*columns)
+    once = kept.dropDuplicates([own_id, own_hash]).select(*columns)
     return once.unionByName(empty.select(*columns))

@@ -386,8 +386,22 @@ def test_mix_odd_rows(odd, empty):
     got = sorted(str(r["doc_id"]) for r in out.collect() if r["text"] and r["text"].strip())
     assert got == sorted(str(r[0]) for r in ODD if r[1] and r[1].strip())
     assert mixing.mix(empty).count() == 0
-    with pytest.raises(ValueError):
-        mixing.mix(empty.withColumn("_mix_x", F.lit(1)))
+    # columns with the names used inside come through
+    names = ["_mix_x", "_mix_epoch", "_MIX_id", "_mix_source", "c"]
+    clash = odd.withColumns({n: F.lit("x") for n in names})
+    again = mixing.mix(clash, target_entropy=0.0, max_repeats=None)
+    assert again.columns == [*clash.columns, "_mix_epoch_", "_mix_block", "_mix_before"]
+    assert sorted(map(str, again.select("doc_id", "text").collect())) == sorted(map(str, out.select("doc_id", "text").collect()))
+    counted = mixing.mix(clash, tokens=F.lit(1).cast("bigint"), target_entropy=0.0, max_repeats=None)
+    assert counted.count() == odd.count() and {r[0] for r in counted.select("_mix_x").collect()} == {"x"}
+
+
+def test_representatives_with_clashing_names(odd):
+    clash = odd.withColumns({n: F.lit("x") for n in ("_nd_i", "_nd_h", "_nd_id", "_ND_hash")})
+    got, want = near_dedup.keep_representatives(clash), near_dedup.keep_representatives(odd)
+    assert got.columns == clash.columns
+    key = lambda df: sorted(str((r["doc_id"], r["text"])) for r in df.collect())
+    assert key(got) == key(want)
 
 
 def test_preferences_by_hand(spark):
