@@ -50,6 +50,7 @@ MAX_CHARS = 20_000
 MAX_ROWS = 100_000
 LEAST_ROWS = 20
 MAX_TOTAL_CHARS = 100_000_000
+BROADCAST_LANGUAGES = 100_000
 EPOCHS = 4
 RATE = 0.5
 MAX_FALSE_REJECTS = 0.005
@@ -209,8 +210,9 @@ def fit(
     each = min(sample_rows, max(max_rows // n_languages, LEAST_ROWS))
     share = max_total_chars // n_languages
     rates = counts.select("lang", F.least(F.lit(1.0), F.lit(2.0 * each + 20) / F.col("n")).alias("rate"))
+    # the draw needs no shuffle of texts while the table of rates is known to be small
     drawn = (
-        known.join(rates, "lang")
+        known.join(F.broadcast(rates) if n_languages <= BROADCAST_LANGUAGES else rates, "lang")
         .withColumn("place", F.pmod("h", F.lit(1 << 30)))
         .where(F.col("place") < F.col("rate") * float(1 << 30))
         .select("lang", "place", "text")
