@@ -221,7 +221,7 @@ def test_window_emitted_after_its_correction_takes_late_rows_in(spark, tmpdir_ne
     sink = SinkConfig(out)
     assert correct_late(spark, spec, table, schema, states, sink) == 1
     # the 15 minutes close only now
-    src, schema, table, states, out = _drain(spark, tmpdir_new, [[10, 290], [340], [660], [299], [4000]], spec)
+    src, schema, table, states, out = _drain(spark, tmpdir_new, [[10, 290], [340], [660], [299], [2000], [4000]], spec)
     assert _counts(spark, out)[0] == 3
     assert _counts(spark, out, "aggregations_15_minutes", 900)[0] == 5
 
