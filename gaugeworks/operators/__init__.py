@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from .documents import discover_fields, expand_fields, field_inventory, leaf_fields, unknown_sensor_points, with_document
 from .parse import clean_readings, parse_readings, rejected_readings, with_system_id
 from .points import line_protocol, points_long, raw_points, window_points
 from .readings import latest_readings, with_plant_activity, with_schedule, with_status_line
@@ -20,6 +21,12 @@ from .windows import (
 )
 
 __all__ = [
+    "discover_fields",
+    "expand_fields",
+    "field_inventory",
+    "leaf_fields",
+    "unknown_sensor_points",
+    "with_document",
     "clean_readings",
     "parse_readings",
     "rejected_readings",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.control import ELAPSED_COLUMNS, HYDROPONIC_RULES, control_actions, elapsed_since_action
+from ..operators.documents import discover_fields, expand_fields, field_inventory, unknown_sensor_points, with_document
 from ..operators.parse import clean_readings, nan_to_null, parse_readings
 from ..operators.points import line_protocol, newest_points, points_long, raw_points, window_points
 from ..operators.readings import latest_readings, with_plant_activity, with_schedule, with_status_line
@@ -267,6 +268,59 @@ def q_props_parse(spark, sf_dir):
     return ev.select("event_id", F.from_json("props", "k INT").alias("p")).select("event_id", "p.k")
 
 
+# --- F1 / P4: documents whose fields no spec names ----------------------
+_DOCS_SQL = (
+    "SELECT event_id, json_object('timestamp', epoch_us(ts) // 1000, 'sensors', json_object(event_type, value),\n"
+    "  'props', CAST(props AS JSON)) AS doc FROM events"
+)
+
+
+def _event_documents(spark, sf_dir) -> DataFrame:
+    """Events as JSON text: one sensor named by the event type, and the props."""
+    ensure_utc(spark)
+    doc = F.struct(
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.create_map("event_type", "value").alias("sensors"),
+        F.parse_json("props").alias("props"),
+    )
+    return with_document(table(spark, sf_dir, "events").select("event_id", F.to_json(doc).alias("value")))
+
+
+@register(
+    "variant_fields",
+    "WITH d AS (" + _DOCS_SQL + ")\n"
+    "SELECT t.fullkey AS path, CASE WHEN t.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'number' WHEN t.type = 'VARCHAR' THEN 'text'\n"
+    "    ELSE lower(t.type) END AS kind, count(*) AS n_values,\n"
+    "  min(CAST(t.atom AS DOUBLE)) AS min_value, max(CAST(t.atom AS DOUBLE)) AS max_value\n"
+    "FROM d, json_tree(d.doc) t WHERE t.atom IS NOT NULL GROUP BY 1, 2",
+)
+def q_variant_fields(spark, sf_dir):
+    return field_inventory(_event_documents(spark, sf_dir))
+
+
+@register(
+    "variant_wide",
+    "WITH d AS (" + _DOCS_SQL + ")\n"
+    "SELECT event_id, CAST(doc ->> '$.props.k' AS DOUBLE) AS props_k, CAST(doc ->> '$.timestamp' AS DOUBLE) AS timestamp, "
+    + ", ".join(f"CAST(doc ->> '$.sensors.{t}' AS DOUBLE) AS sensors_{t}" for t in EVENT_TYPES)
+    + " FROM d",
+)
+def q_variant_wide(spark, sf_dir):
+    docs = _event_documents(spark, sf_dir)
+    return expand_fields(docs, discover_fields(field_inventory(docs)), keep=["event_id"])
+
+
+@register(
+    "unknown_sensor_points",
+    "SELECT 'raw_sensor_data' AS measurement, CAST(user_id AS VARCHAR) AS system_id,\n"
+    "  epoch_ms(epoch_us(ts) // 1000) AS time, event_type AS field, value\n"
+    f"FROM events WHERE value IS NOT NULL AND event_type NOT IN ({', '.join(repr(t) for t in EVENT_TYPES[:2])})",
+)
+def q_unknown_sensor_points(spark, sf_dir):
+    known = EVENTS.with_(sensors=EVENTS.sensors[:2])
+    return ntz(unknown_sensor_points(_events_envelope(spark, sf_dir), known))
+
+
 # --- S5 / S6 / S7: points ----------------------------------------------
 _RAW_FIELDS = list(EVENT_TYPES) + ["plant_activity"]
 
