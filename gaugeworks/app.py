@@ -21,7 +21,7 @@ from .session import checkpoint_dir, ensure_utc
 from .sources.envelope import read_envelope_files, read_json_lines, read_kafka
 from .spec import HYDROPONIC
 from .streaming.fanout import admit_readings, correct_late, start_state_streams
-from .streaming.metrics import attach
+from .streaming.metrics import attach, observe_readings
 from .streaming.streams import SinkConfig, await_all, land_readings, run, start_streams
 
 log = logging.getLogger("gaugeworks")
@@ -56,7 +56,8 @@ def build_args(argv=None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def main(argv=None, spark: SparkSession | None = None) -> None:
+def main(argv=None, spark: SparkSession | None = None) -> dict:
+    """Run the application; returns its counters (``PipelineMetrics.snapshot``)."""
     args = build_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = spark or SparkSession.builder.appName("gaugeworks").getOrCreate()
@@ -76,7 +77,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     else:
         env = read_json_lines(spark, args.path, max_files_per_trigger=args.max_files_per_trigger)
 
-    readings = with_system_id(parse_readings(env, spec), spec)
+    readings = with_system_id(observe_readings(parse_readings(env, spec), spec), spec)
     if args.round:
         readings = clean_readings(readings, spec)
     elif not args.no_clean:
@@ -108,7 +109,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     if args.states:
         streams = start_state_streams(
             spark, spec, args.land, readings.schema, args.states, sink, base,
-            trigger=win_t, raw_trigger=raw_t, wait=args.available_now, **shared,
+            trigger=win_t, raw_trigger=raw_t, wait=args.available_now, metrics=metrics, **shared,
         )
     else:
         streams = start_streams(readings, spec, sink, base, raw_trigger=raw_t, window_trigger=win_t, **shared)
@@ -121,11 +122,14 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         if args.available_now:
             await_all(streams)
             if args.correct:
-                correct_late(spark, spec, args.land, readings.schema, args.states, sink, **shared)
+                correct_late(spark, spec, args.land, readings.schema, args.states, sink, metrics=metrics, **shared)
         else:
             run(spark, streams)
     finally:
-        log.info("metrics: %s", metrics.snapshot())
+        metrics.wait_ended()
+        counters = metrics.snapshot()
+        log.info("metrics: %s", counters)
         spark.streams.removeListener(metrics)
     if streams.errors:
         raise RuntimeError(f"queries that did not start: {', '.join(sorted(streams.errors))}")
+    return counters

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import clean_reading
@@ -42,13 +42,17 @@ def parse_readings(df: DataFrame, spec: PipelineSpec, *, sensors: list[str] | No
     )
 
 
+def is_rejected(parsed: DataFrame, spec: PipelineSpec) -> Column:
+    """True where the document of a parsed row yielded nothing."""
+    fields = ["sensor_timestamp"] + spec.sensor_names + [n for n, _ in spec.state_fields]
+    return F.coalesce(*[F.col(c).cast("string") for c in fields if c in parsed.columns]).isNull()
+
+
 def rejected_readings(parsed: DataFrame, spec: PipelineSpec) -> DataFrame:
     """Rows whose document yielded nothing: no time and no field at all
     (malformed JSON).  The main path keeps them (they reach raw points
     with the ingest time), this view lets a pipeline route them apart."""
-    fields = ["sensor_timestamp"] + spec.sensor_names + [n for n, _ in spec.state_fields]
-    present = [F.col(c) for c in fields if c in parsed.columns]
-    return parsed.where(F.coalesce(*present).isNull())
+    return parsed.where(is_rejected(parsed, spec))
 
 
 def nan_to_null(df: DataFrame, spec: PipelineSpec) -> DataFrame:

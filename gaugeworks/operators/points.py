@@ -30,6 +30,17 @@ def _system_tag(df: DataFrame, spec: PipelineSpec):
     return F.coalesce(src, F.lit(spec.default_system)).alias("system_id")
 
 
+def raw_fields(df: DataFrame, spec: PipelineSpec) -> list[str]:
+    """Columns of parsed readings that become fields of raw points."""
+    return [c for c in spec.sensor_names + [n for n, _ in spec.state_fields] if c in df.columns]
+
+
+def window_fields(df: DataFrame, spec: PipelineSpec, tags=("analysis_type", "window_duration"), window_col: str = "window") -> list[str]:
+    """Columns of window results that become fields of their points."""
+    other = {*tags, spec.system_col, window_col}
+    return [f.name for f in df.schema.fields if f.name not in other and isinstance(f.dataType, T.NumericType)]
+
+
 def raw_points(df: DataFrame, spec: PipelineSpec, measurement: str = "raw_sensor_data", *, keep=()) -> DataFrame:
     """Parsed readings -> raw points (wide: one column per field).
 
@@ -37,7 +48,7 @@ def raw_points(df: DataFrame, spec: PipelineSpec, measurement: str = "raw_sensor
     current time; ``system_id`` tag = record key (or system column), else
     the spec default.  Fields: the sensors and state fields present.  Columns
     in ``keep`` are carried along (to order points, for example)."""
-    fields = [c for c in spec.sensor_names + [n for n, _ in spec.state_fields] if c in df.columns]
+    fields = raw_fields(df, spec)
     if not fields:
         raise ValueError("raw_points: no spec field present")
     times = []
@@ -74,12 +85,7 @@ def window_points(
     if stamp not in ("end", "start"):
         raise ValueError("stamp must be 'end' or 'start'")
     tag_cols = [t for t in tags if t in df.columns]
-    numeric = (T.NumericType,)
-    fields = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in {*tag_cols, spec.system_col, window_col} and isinstance(f.dataType, numeric)
-    ]
+    fields = window_fields(df, spec, tags, window_col)
     if not fields:
         raise ValueError("window_points: no numeric column")
     if window_col in df.columns:

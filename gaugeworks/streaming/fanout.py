@@ -35,10 +35,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.points import raw_points, window_points
+from ..operators.points import raw_fields, window_points
 from ..operators.states import FROM_STATES, corrected_states, merge_states, window_seconds, window_states
 from ..operators.windows import _by_cols, measurement_name
 from ..spec import PipelineSpec
+from .metrics import PipelineMetrics, observe_points
 from .sinks import write_line_protocol, write_points
 from .streams import RAW_MEASUREMENT, SinkConfig, StreamSet, _sink_raw, log
 
@@ -185,20 +186,26 @@ def landed(
 def _points_of(states: DataFrame, spec: PipelineSpec, window: str, analyses, sink: SinkConfig):
     for a in analyses:
         name = measurement_name(a, window)
-        yield window_points(FROM_STATES[a](states, spec, window), spec, name, stamp=sink.stamp)
+        yield name, window_points(FROM_STATES[a](states, spec, window), spec, name, stamp=sink.stamp)
 
 
-def write_state_points(states: DataFrame, spec: PipelineSpec, window: str, analyses, sink: SinkConfig, *, run: str, batch_id: int) -> None:
-    """Points of all analyses of some states, one write an analysis."""
+def write_state_points(states: DataFrame, spec: PipelineSpec, window: str, analyses, sink: SinkConfig, *, run: str, batch_id: int, metrics: PipelineMetrics | None = None) -> None:
+    """Points of all analyses of some states, one write an analysis; counted
+    by ``metrics`` in the pass that writes them."""
     where = {"batch_id": batch_id, "run": run, "end_stamped": sink.stamp == "end"}
-    for points in _points_of(states, spec, window, analyses, sink):
+    for name, points in _points_of(states, spec, window, analyses, sink):
+        seen = Observation()
+        if metrics is not None:
+            points = points.observe(seen, F.count(F.lit(1)).alias("points"))
         if sink.fmt == "line":
             write_line_protocol(points, sink.path, precision=sink.precision, **where)
         else:
             write_points(points, sink.path, fmt=sink.fmt, observe=False, **where)
+        if metrics is not None:
+            metrics.count_points(run, name, batch_id, int(seen.get.get("points") or 0))
 
 
-def _emit(batch: DataFrame, batch_id: int, *, spec: PipelineSpec, window: str, shortest: str, by, analyses, sink: SinkConfig, states: str) -> None:
+def _emit(batch: DataFrame, batch_id: int, *, spec: PipelineSpec, window: str, shortest: str, by, analyses, sink: SinkConfig, states: str, metrics: PipelineMetrics | None) -> None:
     spark = batch.sparkSession
     run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     table, name = state_table(states, window), f"batch_id={batch_id}"
@@ -207,12 +214,12 @@ def _emit(batch: DataFrame, batch_id: int, *, spec: PipelineSpec, window: str, s
     emitted = spark.read.schema(batch.schema).parquet(f"{table}/{name}")
     late = late_states(spark, batch.schema, states, shortest)
     if late is None:
-        write_state_points(emitted, spec, window, analyses, sink, run=run, batch_id=batch_id)
+        write_state_points(emitted, spec, window, analyses, sink, run=run, batch_id=batch_id, metrics=metrics)
         return
     # late rows that a correction has taken in before
     whole = corrected_states(late if window == shortest else merge_states(late, spec, window, by=by), emitted, spec, by=by)
     with settled(whole, table, name) as known:
-        write_state_points(known, spec, window, analyses, sink, run=run, batch_id=batch_id)
+        write_state_points(known, spec, window, analyses, sink, run=run, batch_id=batch_id, metrics=metrics)
 
 
 def state_table(base: str, window: str) -> str:
@@ -236,6 +243,7 @@ def start_state_streams(
     raw_trigger: dict | None = None,
     max_files: int | None = None,
     wait: bool = False,
+    metrics: PipelineMetrics | None = None,
 ) -> StreamSet:
     """Start the raw stream, the state stream of the shortest window and a
     stream of states for every longer one.  ``schema`` is that of the landed
@@ -264,9 +272,10 @@ def start_state_streams(
     if raw:
         fn = partial(_sink_raw, spec=spec, measurement=RAW_MEASUREMENT, sink=sink)
         whole = landed(spark, table, schema, stream=True, late=None, max_files=max_files).drop("batch_id")
+        whole = observe_points(whole, RAW_MEASUREMENT, raw_fields(whole, spec))
         plans.append(("raw", lambda: whole, fn, raw_trigger or {"processingTime": "5 seconds"}))
     for w in windows:
-        fn = partial(_emit, spec=spec, window=w, shortest=shortest, by=by, analyses=analyses, sink=sink, states=states)
+        fn = partial(_emit, spec=spec, window=w, shortest=shortest, by=by, analyses=analyses, sink=sink, states=states, metrics=metrics)
         if w == shortest:
             plans.append((f"states_{w.replace(' ', '_')}", lambda: window_states(readings, spec, shortest, by=by), fn, trigger))
         else:
@@ -325,6 +334,7 @@ def correct_late(
     windows=None,
     analyses=("basic", "anomaly", "health"),
     by=(),
+    metrics: PipelineMetrics | None = None,
 ) -> int:
     """Take in the late readings landed since the last correction: keep their
     states, and write the points of the windows (of all lengths) that they
@@ -362,6 +372,6 @@ def correct_late(
         inside = now.withColumn("w", key).alias("n").join(touched, same, "left_semi").drop("w")
         fixed = inside if w == shortest else merge_states(inside, spec, w, by=by)
         with settled(fixed, kept, f"{number}_{w.replace(' ', '_')}") as known:
-            write_state_points(known, spec, w, analyses, sink, run="correction", batch_id=number)
+            write_state_points(known, spec, w, analyses, sink, run="correction", batch_id=number, metrics=metrics)
     put_text(spark, f"{kept}/_points/{number}", "")
     return number

@@ -21,9 +21,10 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.points import raw_points, window_points
+from ..operators.points import raw_fields, raw_points, window_fields, window_points
 from ..operators.windows import ANALYSES, measurement_name
 from ..spec import PipelineSpec
+from .metrics import observe_points
 from .sinks import write_line_protocol, write_points
 
 log = logging.getLogger(__name__)
@@ -113,7 +114,11 @@ def start_streams(
     Triggers are ``DataStreamWriter.trigger`` keyword dicts, e.g.
     ``{"processingTime": "5 seconds"}`` (default raw) /
     ``{"processingTime": "15 seconds"}`` (default windows), or
-    ``{"availableNow": True}`` for a bounded catch-up run."""
+    ``{"availableNow": True}`` for a bounded catch-up run.
+
+    Every output counts its points (``metrics.observe_points``); records and
+    rejected documents are counted where ``parsed`` is observed by
+    ``metrics.observe_readings``."""
     raw_trigger = raw_trigger or {"processingTime": "5 seconds"}
     window_trigger = window_trigger or {"processingTime": "15 seconds"}
     result = StreamSet()
@@ -123,8 +128,10 @@ def start_streams(
         is_raw = name == "raw"
         fn = partial(_sink_raw if is_raw else _sink_window, spec=spec, measurement=measurement, sink=sink)
         try:
+            rows = build()
+            fields = raw_fields(rows, spec) if is_raw else window_fields(rows, spec)
             q = (
-                build()
+                observe_points(rows, measurement, fields)
                 .writeStream.queryName(f"{query_prefix}{name}")
                 .foreachBatch(fn)
                 .outputMode("append")

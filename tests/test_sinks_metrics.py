@@ -138,10 +138,10 @@ def test_latest_readings_streaming_update(spark, tmpdir_new):
         .queryName("latest_upd").trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    got = spark.sql("SELECT * FROM latest_upd")
-    final = {r.system_id: r.view for r in got.collect()}  # last update per key wins below
-    batch = {r.system_id: r.view for r in latest_readings(wide, EVENTS).collect()}
-    assert set(final) == set(batch)
+    rows = spark.sql("SELECT * FROM latest_upd").collect()
+    final = {r.system_id: r.asDict() for r in rows}  # the last update of a key wins
+    batch = {r.system_id: r.asDict() for r in latest_readings(wide, EVENTS).collect()}
+    assert final == batch
 
 
 def test_foreach_partition_sink_batches_and_closes(spark, tmpdir_new):
