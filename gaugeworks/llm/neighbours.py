@@ -25,9 +25,9 @@ Defined cases: vectors that are NULL, empty, zero or hold NULL or
 non-finite components take no part, neither do rows with NULL ids; rows
 with equal id and vector count once.  Vectors of different dimension never meet.  An id
 is never its own neighbour, also where it occurs with several vectors; each
-of these is a query of its own then.  Cosines count rounded to ``DIGITS``
-digits, so scaled copies tie; ties go to the smaller id; fewer than ``k``
-others give all of them.  Only the two named columns are read; an empty
+of these is a query of its own then.  Cosines are ordered rounded to ``DIGITS``
+digits, so scaled copies tie, and returned as they are; ties go to the
+smaller id; fewer than ``k`` others give all of them.  Only the two named columns are read; an empty
 table gives an empty result.
 """
 
@@ -55,7 +55,7 @@ DIGITS = 12
 #: What the product of unit vectors and the cosine, or two ties, can differ by.
 TIE = 2e-12
 
-_RESULT = "q string, vec_id bigint, score double"
+_RESULT = "q string, vec_id bigint, score double, exact double"
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -176,8 +176,8 @@ def _best_ids(row: np.ndarray, vec_id: np.ndarray, score: np.ndarray, k: int) ->
 
 
 def _best_in_blocks(queries: DataFrame, data: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
-    """``q, vec_id, score``: for each query the ``k`` best ids of each block
-    of its keys.  Both sides have ``key, cls, v``, the data ``ids`` too; a
+    """``q, vec_id, score, exact`` (the cosine, rounded and not): for each
+    query the ``k`` best ids of each block of its keys.  Both sides have ``key, cls, v``, the data ``ids`` too; a
     key with many rows is cut into blocks on either side, and each pair of
     blocks is one product."""
     sizes = (
@@ -202,7 +202,8 @@ def _best_in_blocks(queries: DataFrame, data: DataFrame, k: int, block: int = BL
 
     def best(ours: pa.Table, theirs: pa.Table) -> pa.Table:
         if not ours.num_rows or not theirs.num_rows:
-            return pa.table({"q": pa.array([], pa.string()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            none = pa.array([], pa.float64())
+            return pa.table({"q": pa.array([], pa.string()), "vec_id": pa.array([], pa.int64()), "score": none, "exact": none})
         v, w = (np.array(t["v"].to_pylist(), dtype=np.float64) for t in (ours, theirs))
         x, y = _unit(ours["v"]), _unit(theirs["v"])
         ids = [np.array(i, dtype=np.int64) for i in theirs["ids"].to_pylist()]
@@ -213,14 +214,16 @@ def _best_in_blocks(queries: DataFrame, data: DataFrame, k: int, block: int = BL
         out = []
         for i in range(0, len(x), 512):
             row, c = _candidates(x[i : i + 512] @ y.T, ids, single, k)
-            score = np.round(cosine(v[row + i], w[c]), DIGITS) + 0.0
+            exact = cosine(v[row + i], w[c])
+            score = np.round(exact, DIGITS) + 0.0
             each = np.repeat(np.arange(len(c)), sizes[c])
             nth = np.arange(len(each)) - np.repeat(np.cumsum(sizes[c]) - sizes[c], sizes[c])
             found = flat[begins[c][each] + nth]
             keep = _best_ids(row[each], found, score[each], k)
-            out.append((row[each][keep] + i, found[keep], score[each][keep]))
-        row, found, score = (np.concatenate(o) for o in zip(*out))
-        return pa.table({"q": ours["cls"].take(pa.array(row)), "vec_id": pa.array(found), "score": pa.array(score)})
+            out.append((row[each][keep] + i, found[keep], score[each][keep], exact[each][keep]))
+        row, found, score, exact = (np.concatenate(o) for o in zip(*out))
+        q = ours["cls"].take(pa.array(row))
+        return pa.table({"q": q, "vec_id": pa.array(found), "score": pa.array(score), "exact": pa.array(exact)})
 
     keys = ["key", "part", "ask"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
@@ -254,7 +257,7 @@ def nearest(
     def merged(found: DataFrame) -> DataFrame:
         """The k + 1 nearest ids of each query class."""
         # blocks may share an id, also one that occurs with several vectors: its best counts
-        each = found.groupBy("q", "vec_id").agg(F.max("score").alias("score"))
+        each = found.groupBy("q", "vec_id").agg(F.max("score").alias("score"), F.max("exact").alias("exact"))
         order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
         return each.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r")
 
@@ -273,5 +276,5 @@ def nearest(
     return (
         out.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("exact").alias("score"))
     )

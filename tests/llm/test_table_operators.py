@@ -140,7 +140,7 @@ def test_neighbours_recall(spark):
     s = cosines([r["embedding"] for r in rows])
     got = defaultdict(list)
     for r in sorted(queries.op8_neighbours(spark, SF_CHECK).collect(), key=lambda r: (r["query_id"], r["rank"])):
-        assert abs(r["score"] - s[ids.index(r["query_id"]), ids.index(r["vec_id"])]) < 1e-12
+        assert abs(r["score"] - s[ids.index(r["query_id"]), ids.index(r["vec_id"])]) < 1e-14
         got[r["query_id"]].append(r["vec_id"])
     hits = 0
     for q in [i for i in ids if i % 50 == 0]:
