@@ -14,15 +14,17 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from .operators.parse import clean_readings, nan_to_null, parse_readings, with_system_id
+from .operators.control import control_stream
+from .operators.parse import clean_readings, nan_to_null, parse_readings, rejected_documents, with_system_id
 from .session import checkpoint_dir, ensure_utc
 from .sources.envelope import read_envelope_files, read_json_lines, read_kafka
-from .spec import HYDROPONIC
+from .spec import HYDROPONIC, PipelineSpec
 from .streaming.fanout import admit_readings, correct_late, start_state_streams
+from .streaming.latest import start_latest
 from .streaming.metrics import attach, observe_readings
-from .streaming.streams import SinkConfig, await_all, land_readings, run, start_streams
+from .streaming.streams import SinkConfig, StreamSet, await_all, land_readings, run, start_streams
 
 log = logging.getLogger("gaugeworks")
 
@@ -50,12 +52,35 @@ def build_args(argv=None) -> argparse.Namespace:
     p.add_argument("--land", help="folder in which parsed readings are kept once; all outputs stream from there")
     p.add_argument("--states", help="with --land: folder of window states; one aggregate serves all analyses and lengths")
     p.add_argument("--correct", action="store_true", help="with --states and --available-now: take late readings into their windows")
+    p.add_argument("--latest", help="folder of the table of each system's latest values")
+    p.add_argument("--control", help="folder of control actions (actions/) and seconds since them (elapsed/)")
+    p.add_argument("--rejects", help="folder in which records are kept whose document yields nothing")
     p.add_argument("--no-clean", action="store_true", help="keep NaN readings")
     p.add_argument("--round", action="store_true", help="round readings to each sensor's precision before everything else")
     p.add_argument("--available-now", action="store_true", help="drain what is there and stop")
     return p.parse_args(argv)
 
 
+def _start_more(args, streams: StreamSet, env: DataFrame, readings: DataFrame, spec: PipelineSpec, base: str, trigger: dict) -> None:
+    """Start the outputs besides points; one that does not start leaves the others."""
+    more = {}
+    if args.latest:
+        more["latest"] = lambda at: start_latest(readings, spec, args.latest, at, trigger=trigger)
+    if args.control:
+        for emit in ("actions", "elapsed"):
+            place = f"{args.control.rstrip('/')}/{emit}"
+            more[f"control_{emit}"] = lambda at, emit=emit, place=place: land_readings(
+                control_stream(readings, spec, emit=emit), place, at, trigger=trigger
+            )
+    if args.rejects:
+        more["rejects"] = lambda at: land_readings(rejected_documents(env, spec), args.rejects, at, trigger=trigger)
+    for name, start in more.items():
+        try:
+            streams.queries.append(start(f"{base}/{name}"))
+        except Exception as e:  # noqa: BLE001 - isolate one failed start from the rest
+            streams.errors[name] = e
+
+
 def main(argv=None, spark: SparkSession | None = None) -> dict:
     """Run the application; returns its counters (``PipelineMetrics.snapshot``)."""
     args = build_args(argv)
@@ -115,6 +140,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         streams = start_streams(readings, spec, sink, base, raw_trigger=raw_t, window_trigger=win_t, **shared)
     if landing is not None:
         streams.queries.append(landing)
+    _start_more(args, streams, env, readings, spec, base.rstrip("/"), raw_t)
     for name, err in streams.errors.items():
         log.error("query %s did not start: %s", name, err)
     log.info("started %d queries (checkpoints under %s)", len(streams.queries), base)

@@ -55,6 +55,17 @@ def rejected_readings(parsed: DataFrame, spec: PipelineSpec) -> DataFrame:
     return parsed.where(is_rejected(parsed, spec))
 
 
+def rejected_documents(df: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """The records themselves (``key``, ``value`` as text, ``timestamp``)
+    whose document yields nothing, as ``rejected_readings`` tells: to be kept
+    for repair and replay."""
+    data = F.from_json(F.col("value").cast("string"), payload_schema(spec))
+    found = ["timestamp", *[f"sensors.{s}" for s in spec.sensor_names], *[f"system_state.{n}" for n, _ in spec.state_fields]]
+    fields = F.coalesce(*[F.col(f"__data.{f}").cast("string") for f in found])
+    text = [F.col(c).cast("string").alias(c) for c in ("key", "value")]
+    return df.withColumn("__data", data).where(fields.isNull()).select(*text, "timestamp")
+
+
 def nan_to_null(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     """NaN -> NULL for every spec sensor present; values stay as they are."""
     present = {s.name for s in spec.present(df.columns)}

@@ -91,3 +91,49 @@ def test_app_with_one_aggregate_for_all_outputs(spark, tmpdir_new):
     ms = {r.measurement for r in pts.select("measurement").distinct().collect()}
     assert ms == {"raw_sensor_data", "aggregations_1_hour", "anomalies_1_hour", "health_1_hour"}
     assert pts.where(F.col("measurement") == "raw_sensor_data").count() == h.select("system_id", "event_time").distinct().count()
+
+
+def test_app_latest_control_and_rejects(spark, tmpdir_new):
+    import random
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from gaugeworks.operators.control import control_actions, elapsed_since_action
+    from gaugeworks.operators.parse import parse_readings, with_system_id
+    from gaugeworks.operators.readings import latest_readings
+    from gaugeworks.sources.envelope import read_envelope_files
+    from gaugeworks.streaming.latest import read_latest
+
+    from .test_streaming import _write_keyed
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice("ab"), 10_000 + 100 * i, rnd.uniform(10, 40)) for i in range(60)]
+    src = os.path.join(tmpdir_new, "in")
+    # a far reading of another system moves the watermark past all others
+    _write_keyed(src, [rows[:30], rows[30:], [("z", 900_000, 50.0)]])
+    junk = {"key": [b"a", None], "value": [b"no document", None], "timestamp": pa.array([7, 8], pa.timestamp("us", tz="UTC"))}
+    schema = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("timestamp", pa.timestamp("us", tz="UTC"))])
+    pq.write_table(pa.table(junk, schema=schema), os.path.join(src, "junk.parquet"))
+    places = {n: os.path.join(tmpdir_new, n) for n in ("latest", "control", "rejects")}
+    args = ["--source", "parquet", "--path", src, "--sink", os.path.join(tmpdir_new, "points"), "--available-now",
+            "--windows", "1 hour", "--analyses", "basic", "--checkpoint", os.path.join(tmpdir_new, "cp"),
+            "--watermark", "1 hour", "--max-files-per-trigger", "1"]
+    args += [x for n, p in places.items() for x in (f"--{n}", p)]
+    counters = main(args, spark=spark)
+    assert counters["records"] == {"source": 63}
+    assert counters["rejected"] == {"source": 2} and not any(counters["failures"].values())
+    kept = spark.read.parquet(places["rejects"]).collect()
+    assert sorted((r["key"] or "", r["value"] or "") for r in kept) == [("", ""), ("a", "no document")]
+    batch = with_system_id(parse_readings(read_envelope_files(spark, src, stream=False), HYDROPONIC), HYDROPONIC)
+    want = {r.system_id: r.asDict() for r in latest_readings(batch, HYDROPONIC).collect()}
+    names = next(iter(want.values())).keys()
+    got = {r.system_id: {n: r[n] for n in names} for r in read_latest(spark, places["latest"]).collect()}
+    assert got == want
+    replayed = batch.where("system_id != 'z' AND event_time IS NOT NULL")
+    key = ["system_id", "event_time", "rule", "action"]
+    acts = sorted(map(tuple, spark.read.parquet(f"{places['control']}/actions").select(key).collect()))
+    assert acts == sorted(map(tuple, control_actions(replayed, HYDROPONIC).select(key).collect())) and len(acts) > 5
+    key = ["system_id", "event_time", "last_refill"]
+    elapsed = sorted(map(tuple, spark.read.parquet(f"{places['control']}/elapsed").select(key).collect()))
+    assert elapsed == sorted(map(tuple, elapsed_since_action(replayed, HYDROPONIC).select(key).collect()))

@@ -1,0 +1,101 @@
+"""The table of latest values kept by a stream."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeworks.operators.readings import latest_readings
+from gaugeworks.sources.tables import events_wide, table
+from gaugeworks.spec import EVENTS, PipelineSpec, SensorSpec
+from gaugeworks.streaming import latest
+from gaugeworks.streaming.latest import read_latest, start_latest, upsert_latest
+
+from .conftest import SF_SMALL
+
+SPEC = PipelineSpec(sensors=(SensorSpec("a", 0.0, 1.0, 1), SensorSpec("b", 0.0, 1.0, 1)), windows=("5 minutes",))
+
+
+def _frame(spark, rows):
+    timed = [(s, t, a, b) for s, t, a, b in rows]
+    return spark.createDataFrame(timed, "system_id string, t long, a double, b double").select(
+        "system_id", F.timestamp_seconds("t").alias("event_time"), "a", "b"
+    )
+
+
+def _table(spark, place):
+    rows = read_latest(spark, place, times=True).select(
+        "system_id", "a", "b", *[F.unix_seconds(c).alias(c) for c in ("last_seen", "a_at", "b_at")]
+    )
+    return {r[0]: tuple(r)[1:] for r in rows.collect()}
+
+
+def test_stream_equals_batch_after_restart(spark, tmpdir_new):
+    spec = EVENTS
+    wide = events_wide(table(spark, SF_SMALL, "events")).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    src, place, cp = (os.path.join(tmpdir_new, n) for n in ("in", "latest", "cp"))
+    first, second = wide.randomSplit([0.5, 0.5], seed=3)
+    now = {"availableNow": True}
+    stream = spark.readStream.schema(wide.schema).option("maxFilesPerTrigger", 1)
+    for part in (first, second):  # the second start goes on from the checkpoint
+        part.repartition(2).write.mode("append").parquet(src)
+        q = start_latest(stream.parquet(src), spec, place, cp, buckets=4, trigger=now)
+        q.awaitTermination()
+        assert q.exception() is None
+    want = {r.system_id: r.asDict() for r in latest_readings(wide, spec).collect()}
+    got = {r.system_id: r.asDict() for r in read_latest(spark, place).collect()}
+    assert got == want
+    # a new checkpoint over the same readings changes nothing
+    start_latest(stream.parquet(src), spec, place, cp + "2", trigger=now).awaitTermination()
+    assert {r.system_id: r.asDict() for r in read_latest(spark, place).collect()} == want
+
+
+def test_merge_order_nulls_ties_and_empty_batches(spark, tmpdir_new):
+    place = os.path.join(tmpdir_new, "latest")
+    with pytest.raises(FileNotFoundError):
+        read_latest(spark, place)
+    assert upsert_latest(_frame(spark, []), SPEC, place) is None
+    assert upsert_latest(_frame(spark, [("x", 100, 1.0, None), (None, 5, 2.0, 3.0), ("z", None, 9.0, None)]), SPEC, place, buckets=3) == 0
+    # older values lose, missing ones do not count, the larger of a tie wins
+    assert upsert_latest(_frame(spark, [("x", 90, 7.0, 4.0), ("x", 100, 0.5, None), ("y", 1, None, None), ("z", 1, 8.0, None)]), SPEC, place) == 1
+    want = {
+        "x": (1.0, 4.0, 100, 100, 90), None: (2.0, 3.0, 5, 5, 5), "y": (None, None, 1, None, None), "z": (8.0, None, 1, 1, None),
+    }
+    assert _table(spark, place) == want
+    assert upsert_latest(_frame(spark, [("x", 90, 7.0, 4.0)]), SPEC, place) == 2  # again: the same
+    assert _table(spark, place) == want
+    assert upsert_latest(_frame(spark, []), SPEC, place) is None
+
+
+def test_break_off_leaves_the_version_before(spark, tmpdir_new, monkeypatch):
+    place = os.path.join(tmpdir_new, "latest")
+    upsert_latest(_frame(spark, [("x", 1, 1.0, None), ("y", 1, 1.0, 1.0)]), SPEC, place, buckets=2)
+    before = _table(spark, place)
+    news = _frame(spark, [("x", 2, 5.0, None)])
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(latest, "put_text", broken)  # rows written, version not
+        with pytest.raises(OSError):
+            upsert_latest(news, SPEC, place)
+    assert _table(spark, place) == before
+    assert upsert_latest(news, SPEC, place) == 1  # the replay
+    assert _table(spark, place) == before | {"x": (5.0, None, 2, 2, None)}
+
+
+def test_only_touched_buckets_are_written_and_old_versions_go(spark, tmpdir_new):
+    place = os.path.join(tmpdir_new, "latest")
+    upsert_latest(_frame(spark, [(f"s{i}", 1, float(i), None) for i in range(40)]), SPEC, place, buckets=4, keep=2)
+    for n in range(1, 5):
+        upsert_latest(_frame(spark, [("s3", 1 + n, -float(n), None)]), SPEC, place, keep=2)
+        assert len([f for f in os.listdir(os.path.join(place, f"version={n}")) if f.startswith("bucket=")]) == 1
+    got = _table(spark, place)
+    assert len(got) == 40 and got["s3"][0] == -4.0 and got["s4"][0] == 4.0
+    kept = [f for f in os.listdir(os.path.join(place, "_versions")) if not f.startswith(".")]
+    assert sorted(kept) == ["version=3", "version=4"]
+    assert sorted(f for f in os.listdir(place) if f.startswith("version=")) == ["version=0", "version=3", "version=4"]
+    # of the first version only the buckets in use stay
+    assert len([f for f in os.listdir(os.path.join(place, "version=0")) if f.startswith("bucket=")]) == 3
+    assert read_latest(spark, place, version=3).where("system_id = 's3'").first()["a"] == -3.0
