@@ -76,7 +76,8 @@ def upsert_latest(batch: DataFrame, spec: PipelineSpec, table: str, *, buckets:
     bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(before["buckets"])).cast("int")
     news = latest_pairs(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = [str(r[0]) for r in news.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+        # one row comes to the driver, with at most ``buckets`` numbers
+        touched = [str(b) for b in news.agg(F.collect_set(bucket).alias("b")).first()["b"]]
         if not touched:
             return None
         both = news
