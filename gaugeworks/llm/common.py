@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 #: Words are maximal runs of anything but these (ASCII white space).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+#: Partitions of an intermediate of known size: so many a core, or more at so many rows each.
+PARTS_A_CORE = 8
+ROWS_A_PART = 100_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One provided table, through Spark's reader only (the path may be in
@@ -58,13 +62,25 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def in_few_parts(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df`` in no more partitions than its at most ``rows`` rows are worth
+    (as it is, if None).  With many shuffle partitions a small table is
+    otherwise mostly the start of Python workers and the commit of tiny
+    files."""
+    if rows is None:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(PARTS_A_CORE * cores, -(-rows // ROWS_A_PART)))
+
+
+def written(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
     """Cut lineage: write an intermediate to the shared folder as Parquet
     and read it back, so a lost executor costs no recomputation and the
-    optimizer knows its size."""
+    optimizer knows its size.  ``rows``, a bound on its number of rows,
+    limits the files (``in_few_parts``)."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    in_few_parts(df, rows).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

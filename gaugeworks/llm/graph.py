@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import drop_written, written
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """``node, root`` for every node of ``links(a, b)``; ``root`` is the
     smallest node of its component.
 
@@ -16,9 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     larger neighbours to its smallest one (large star), then its smaller
     neighbours and itself (small star).  Edges never grow in number, and the
     rounds grow with the logarithm of the path lengths.  Only counts and sums reach
-    the driver."""
+    the driver.  ``rows`` bounds the number of links, where it is known."""
     edges = written(
-        links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
+        links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", rows
     )
     before = None
     while True:
@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-        after = written(small.where("a != b").distinct(), "links")
+        after = written(small.where("a != b").distinct(), "links", rows if before is None else before[0])
         state = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         drop_written(edges)
         edges = after

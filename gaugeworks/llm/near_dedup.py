@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, written
+from .common import free_names, in_few_parts, written
 from .graph import components
 
 WORDS = 5
@@ -186,8 +186,8 @@ def band_rows(classes: DataFrame) -> DataFrame:
     return classes.select("node", "sig").mapInArrow(bands, "band bigint, slot int, node binary")
 
 
-def prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` whose sizes and signatures allow the threshold."""
+def prune(pairs: DataFrame, classes: DataFrame, rows: int | None = None) -> DataFrame:
+    """Pairs ``(a, b)``, at most ``rows``, whose sizes and signatures allow the threshold."""
     steps = least_matches()
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,12 +202,14 @@ def prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     two = classes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     both = pairs.join(one, "a").join(two, "b").where(small * 100 >= large * PERCENT)
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(test, "a binary, b binary")
+    return in_few_parts(both.select("a", "b", "sig_a", "sig_b"), rows).mapInArrow(test, "a binary, b binary")
 
 
-def class_shingles(needed: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def class_shingles(
+    needed: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, rows: int | None = None
+) -> DataFrame:
     """``node, items`` (the full set, as bytes) of the classes in
-    ``needed(node)``, made anew from one text of each."""
+    ``needed(node)``, at most ``rows``, made anew from one text of each."""
     where = needed.join(classes.select("node", "rep"), "node").select("node", "rep.doc_id", "rep.text_hash")
     text = docs.select(
         F.col(id_col).cast("bigint").alias("d"),
@@ -226,15 +228,18 @@ def class_shingles(needed: DataFrame, classes: DataFrame, docs: DataFrame, id_co
                 names=["node", "items"],
             )
 
-    items = found.select("node", "text").mapInArrow(sets, "node binary, items binary")
+    items = in_few_parts(found.select("node", "text"), rows).mapInArrow(sets, "node binary, items binary")
     # a row that repeats id and text would come twice
     return items.dropDuplicates(["node"])
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
+def verify(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, rows: int | None = None
+) -> DataFrame:
+    """Pairs whose full sets reach the threshold; ``rows`` bounds the number of
+    classes, and with its bands that of pairs."""
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    items = written(class_shingles(needed, classes, docs, id_col, text_col), "shingles")
+    items = written(class_shingles(needed, classes, docs, id_col, text_col, rows), "shingles", rows)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,7 +255,8 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     both = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
         items.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"
     )
-    return both.select("a", "b", "x", "y").mapInArrow(confirm, "a binary, b binary")
+    both = in_few_parts(both.select("a", "b", "x", "y"), rows and BANDS * rows)
+    return both.mapInArrow(confirm, "a binary, b binary")
 
 
 def shared_counts(items: DataFrame) -> DataFrame:
@@ -283,18 +289,20 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(main.where("roots > 1").select("band", "main"), "band")
 
 
-def _apart(shared: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _apart(
+    shared: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, rows: int
+) -> DataFrame:
     """Step 2: candidate pairs of classes in different components."""
-    rows = shared.where("node != hub").join(roots, "node", "left").select("band", "slot", "node", F.coalesce("root", "node").alias("root"))
+    others = shared.where("node != hub").join(roots, "node", "left").select("band", "slot", "node", F.coalesce("root", "node").alias("root"))
     # the hub of a band met all others in step 1
-    left = written(_mixed(rows).drop("main"), "apart")
-    items = written(class_shingles(left.select("node").distinct(), classes, docs, id_col, text_col), "shingles")
-    known = left.join(written(shared_counts(items), "counts"), "node")
+    left = written(_mixed(others).drop("main"), "apart", BANDS * rows)
+    items = written(class_shingles(left.select("node").distinct(), classes, docs, id_col, text_col, rows), "shingles", rows)
+    known = left.join(written(shared_counts(items), "counts", rows), "node")
     # a class too rich in shingles of its own for the smallest set of a band has no partner there
     smallest = known.groupBy("band").agg(F.min("n").alias("least_n"))
     able = known.join(smallest, "band").where(f"100 * c >= {PERCENT} * (n + least_n - c)").drop("least_n")
-    able = written(_mixed(able), "apart")
-    return _close_in_blocks(able.join(classes.select("node", "sig"), "node"))
+    able = written(_mixed(able), "apart", BANDS * rows)
+    return _close_in_blocks(able.join(classes.select("node", "sig"), "node"), rows=BANDS * rows)
 
 
 def _ranks(*columns: pa.ChunkedArray) -> list[np.ndarray]:
@@ -304,7 +312,7 @@ def _ranks(*columns: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.array([rank[v] for v in column], dtype=np.int64) for column in values]
 
 
-def _close_in_blocks(able: DataFrame, block: int = BLOCK) -> DataFrame:
+def _close_in_blocks(able: DataFrame, block: int = BLOCK, rows: int | None = None) -> DataFrame:
     """Pairs ``(a, b)`` of ``able`` that survive pruning, each once.
 
     A band with many classes is cut into blocks on either side; a pair of
@@ -317,13 +325,13 @@ def _close_in_blocks(able: DataFrame, block: int = BLOCK) -> DataFrame:
         F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("parts"),
         F.ceil(F.count(F.when(minor, 1)) / F.lit(block)).alias("asks"),
     )
-    rows = written(able.join(sizes.where("asks > 0"), "band"), "blocks")
+    dealt = written(able.join(sizes.where("asks > 0"), "band"), "blocks", rows)
     place = F.xxhash64("node")
     zero = F.lit(0).cast("bigint")
-    left = rows.where(minor).withColumn("ask", F.pmod(place, "asks")).withColumn(
+    left = dealt.where(minor).withColumn("ask", F.pmod(place, "asks")).withColumn(
         "part", F.explode(F.sequence(zero, F.col("parts") - 1))
     )
-    right = rows.withColumn("part", F.pmod(place, "parts")).withColumn(
+    right = dealt.withColumn("part", F.pmod(place, "parts")).withColumn(
         "ask", F.explode(F.sequence(zero, F.col("asks") - 1))
     )
 
@@ -366,6 +374,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """``doc_id, text_hash, n_shingles, component_id, kept, root`` of every
     row; ``root`` names the component by content (NULL without shingles)."""
     sets = written(document_sets(docs, id_col, text_col), "sets")
+    rows = sets.count()  # bounds the tables below, which are often far smaller than the partitions they leave
     classes = written(
         sets.where("node is not null")
         .groupBy("node")
@@ -376,25 +385,26 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             F.first("sig").alias("sig"),
         ),
         "classes",
+        rows,
     )
     # bands with one class can be dropped before anything is paired
     bands = band_rows(classes).repartition("band")
     several = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    crowded = written(bands.join(several, "band"), "bands")
+    crowded = written(bands.join(several, "band"), "bands", BANDS * rows)
     degree = crowded.groupBy("node").agg(F.sum("size").alias("degree"))
     hubs = crowded.join(degree, "node").groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
-    shared = written(crowded.select("band", "slot", "node").join(hubs, "band"), "bands")
+    shared = written(crowded.select("band", "slot", "node").join(hubs, "band"), "bands", BANDS * rows)
 
     ends = F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
     stars = shared.where("node != hub").select(*ends).distinct()
-    close = written(prune(stars, classes), "close")
-    first = written(verify(close, classes, docs, id_col, text_col), "verified")
-    roots = written(components(first), "roots")
-    apart = written(_apart(shared, roots, classes, docs, id_col, text_col), "close")
+    close = written(prune(stars, classes, BANDS * rows), "close")
+    first = written(verify(close, classes, docs, id_col, text_col, rows), "verified")
+    roots = written(components(first, BANDS * rows), "roots", rows)
+    apart = written(_apart(shared, roots, classes, docs, id_col, text_col, rows), "close", BANDS * rows)
     if not apart.isEmpty():
-        second = written(verify(apart, classes, docs, id_col, text_col), "verified")
+        second = written(verify(apart, classes, docs, id_col, text_col, rows), "verified")
         if not second.isEmpty():
-            roots = written(components(first.unionByName(second)), "roots")
+            roots = written(components(first.unionByName(second), BANDS * rows), "roots", rows)
     named = classes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_node = named.select("node", "root").join(ids, "root")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gaugeworks.llm import graph, mixing, near_dedup, neighbours, preferences, queries, url_filter
+from gaugeworks.llm import common, graph, mixing, near_dedup, neighbours, preferences, queries, url_filter
 
 from ..conftest import SF_CHECK, SF_SMALL
 from .conftest import ODD
@@ -102,6 +102,43 @@ def test_near_dedup_odd_rows(spark, odd, empty):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 5, 7, 8, 9, 10]
 
 
+def test_near_dedup_small_tables_in_few_files(spark, monkeypatch):
+    # many shuffle partitions, and nothing that coalesces them
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    monkeypatch.setattr(common, "PARTS_A_CORE", 1)
+    files = []
+
+    def counted(*args):
+        out = common.written(*args)
+        files.append((args[1], len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    monkeypatch.setattr(graph, "written", counted)
+    rows = near_copies(12)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 4 * cores)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = near_dedup.near_duplicates(df).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert ordered(map(tuple, got)) == ordered(groups_by_force(rows))
+    assert {"classes", "bands", "close", "shingles", "verified", "links", "roots"} <= {k for k, _ in files}
+    assert all(n <= cores for k, n in files if k != "sets"), files
+
+
+def test_few_parts_grow_with_the_rows(spark):
+    df = spark.range(0, 1000, 1, 10 * spark.sparkContext.defaultParallelism)
+    parts = lambda rows: common.in_few_parts(df, rows).rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    assert parts(None) == 10 * cores and parts(0) == parts(1000) == 8 * cores
+    assert parts(9 * cores * common.ROWS_A_PART) == 9 * cores
+    assert parts(10**12) == 10 * cores
+
+
 def test_pruning_bounds():
     steps = near_dedup.least_matches()
     assert [n for n, _ in steps] == list(range(32, 193, 32))
