@@ -17,8 +17,12 @@ tokenizer that drops white space before its merges, which
 ``words_encode_alone`` verifies for the one in use; any other tokenizer
 gets whole texts, and so does a text that holds the string of an added
 token, which is that token as in the library.  Likewise A-Z are lowered first, and a new word that
-ends in a full stop or comma after a letter or digit is put together from
-the two, where the tokenizer does so itself: fewer words are encoded then.
+ends in ASCII marks (no apostrophe) after a letter or digit is put together
+from the two, where the tokenizer does so itself: fewer words are encoded then.
+Words of small Latin-1 letters go to the tokenizer's model behind a plain
+split at blanks (``letters_model``): normalising and splitting by pattern
+leave them as they are and cost more than the merges.  A Python worker
+keeps its encoder, so a task begins with the words of the one before.
 
 Memory is bounded by one Arrow batch of texts, the words of ``ROWS`` texts, the word table (cleared at
 ``WORD_TABLE`` entries) and one record batch.  Files get a private name
@@ -39,6 +43,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -82,13 +87,43 @@ def folds_case(tokenizer) -> bool:
     ).ids
 
 
+#: ASCII marks but the apostrophe, which a tokenizer may take with the letters behind it.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 def parts_marks(tokenizer) -> bool:
-    return tokenizer.encode("ab, the. 7, x9. Word,", add_special_tokens=False).ids == tokenizer.encode(
-        "ab , the . 7 , x9 . Word ,", add_special_tokens=False
-    ).ids
+    """True if marks at the end of a word part from a letter or digit
+    before them: each alone, twice, and before another one."""
+    ends = [e for c in _MARKS for e in (c, c * 2, c + ".", "," + c)] + [_MARKS]
+    stems = ("ab", "the", "7", "x9", "Word", "déjà", "it's", "a.b")
+    whole, parted = (" ".join(f"{w}{gap}{e}" for e in ends for w in stems) for gap in ("", " "))
+    one, two = tokenizer.encode_batch_fast([whole, parted], add_special_tokens=False)
+    return one.ids == two.ids
+
+
+#: Small letters of ASCII and Latin-1; none composes with another.
+_LATIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+def letters_model(tokenizer):
+    """The model behind a plain split at blanks into bytes, if words of
+    small Latin-1 letters get the same ids from it (tried on the letters,
+    contractions without their mark and a sixteenth of the pieces of small
+    ASCII letters), else None."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    plain = Tokenizer(tokenizer.model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    pieces = sorted(set(re.findall(r"\b[a-z]+\b", " ".join(tokenizer.get_vocab()))))
+    words = ["s t re ve m ll d", *_LATIN, *(f"st{c}{c}e" for c in _LATIN), _LATIN, *pieces[::16]]
+    whole, alone = (t.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids for t in (tokenizer, plain))
+    return plain if whole == alone else None
 
 
-_MARKED = re.compile(rb".*[A-Za-z0-9][.,]", re.S)
+_MARKED = re.compile(rb"(.*(?:[A-Za-z0-9]|\xc3[\x9f-\xb6\xb8-\xbf]))([!-&(-/:-@[-`{-~]+)", re.S)
 
 
 def word_ends(tokenizer) -> np.ndarray | None:
@@ -106,10 +141,10 @@ class TextEncoder:
 
     def __init__(self, path: str, end_id: int, table: int = WORD_TABLE):
         self.tokenizer = load_tokenizer(path)
+        self.letters, self.ends = letters_model(self.tokenizer), word_ends(self.tokenizer)
         self.dtype = np.dtype("<u2") if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.dtype("<u4")
         self.by_word = words_encode_alone(self.tokenizer)
         self.folds, self.parts = folds_case(self.tokenizer), parts_marks(self.tokenizer)
-        self.ends = word_ends(self.tokenizer)
         contents = {a.content.encode("utf-8") for a in self.tokenizer.get_added_tokens_decoder().values()}
         self.added = sorted(contents | {c.lower() for c in contents})
         self.end = np.array([end_id], dtype=self.dtype).tobytes()
@@ -130,32 +165,41 @@ class TextEncoder:
         at = np.searchsorted(np.array([a for a, _ in got.offsets], dtype=np.int64), begins)
         return [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
-    def _encode_letters(self, words: list[bytes]) -> list[bytes]:
+    def _encode_letters(self, words: list[bytes], tokenizer=None) -> list[bytes]:
         """The same for words of letters, without offsets: every word has
         an id that ends it, so with as many ends as words each has one."""
         if self.ends is not None:
             text = b" ".join(words).decode("utf-8")
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
-            at = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-            if len(at) == len(words) + 1 and at[-1] == len(ids):
-                return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
+            ids = np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            raw, at = ids.tobytes(), [0, *((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()]
+            if len(at) == len(words) + 1 and at[-1] == len(raw):
+                return [raw[a:b] for a, b in zip(at, at[1:])]
         return self._encode_words(words)
 
+    def _encode_small(self, words: list[bytes]) -> list[bytes]:
+        return self._encode_letters(words, self.letters)
+
     def _learn(self, words: set[bytes]) -> None:
-        """Put words into the table, those with an end mark as word and mark."""
+        """Put words into the table, those with marks at their end as word
+        and marks."""
         table = self.table
-        marked = [w for w in words if _MARKED.fullmatch(w)] if self.parts else []
+        small = [w for w in words if _SMALL.fullmatch(w)]
+        rest = words.difference(small)
+        marked = [m for m in map(_MARKED.fullmatch, rest) if m] if self.parts else []
         if marked:
-            words = words.difference(marked).union(w[:-1] for w in marked).union((b".", b",")).difference(table)
+            parts = {p for m in marked for p in m.groups()}.difference(table, words)
+            stems = [w for w in parts if _SMALL.fullmatch(w)]
+            small += stems
+            rest = rest.difference(m[0] for m in marked) | parts.difference(stems)
         letters, others = [], []
-        for w in words:
-            (letters if w.isalpha() or w.decode("utf-8").isalpha() else others).append(w)
-        for kind, encode in ((letters, self._encode_letters), (others, self._encode_words)):
+        for w in rest:
+            (letters if w.decode("utf-8").isalpha() else others).append(w)
+        for kind, encode in ((small, self._encode_small), (letters, self._encode_letters), (others, self._encode_words)):
             for i in range(0, len(kind), 4096):
                 part = kind[i : i + 4096]
                 table.update(zip(part, encode(part)))
-        for w in marked:
-            table[w] = table[w[:-1]] + table[w[-1:]]
+        for m in marked:
+            table[m[0]] = table[m[1]] + table[m[2]]
 
     def _plain(self, raw: bytes) -> bytes:
         # some small letters compose with a combining mark (bytes CC, CD) where the capital does not
@@ -182,6 +226,13 @@ class TextEncoder:
             yield np.frombuffer(ids + self.end, dtype=self.dtype)
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, end_id: int) -> TextEncoder:
+    """The encoder that a Python worker keeps for its next task, with the
+    words it has."""
+    return TextEncoder(path, end_id)
+
+
 def _filesystem(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
@@ -230,7 +281,7 @@ def write_token_shards(
 
         for rows in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             if encoder is None:
-                encoder = TextEncoder(tokenizer_path, end_id)
+                encoder = worker_encoder(tokenizer_path, end_id)
                 kind = pa.from_numpy_dtype(encoder.dtype)
                 schema = pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
                 ids_file, docs_file = (fs.open_output_stream(private + s) for s in (".arrow", ".docs.arrow"))

@@ -223,6 +223,44 @@ def test_words_encode_like_whole_texts():
     assert [list(map(int, ids)) for ids in encoder.encode(texts)] == whole_ids(texts)
 
 
+def test_small_letters_skip_normalising():
+    one = token_shards.TextEncoder(TOKENIZER, 1)
+    seen = []
+    one._encode_small = lambda words: seen.extend(words) or token_shards.TextEncoder._encode_small(one, words)
+    texts = ["The straße ça déjà NIÑO naïve. s ll", "ÿ þ ð ø ÷ × É\u0301 e\u0301tat ﬁn ŝ", "thth" * 400 + " ænæ", "don't x1 ÀB", "déjà\u00a0vu"]
+    assert [list(map(int, ids)) for ids in one.encode(texts)] == whole_ids(texts)
+    assert one.letters is not None
+    assert {"the", "straße", "ça", "déjà", "naïve", "s", "ll", "ÿ", "þ", "ð", "ø", "ænæ"} <= {w.decode() for w in seen}
+    assert not {"÷", "×", "ŝ", "don't", "x1", "É\u0301"} & {w.decode() for w in seen}
+    # a tokenizer that treats small letters on their own gets whole words
+    from tokenizers import Tokenizer, normalizers
+
+    other = Tokenizer.from_file(TOKENIZER)
+    other.normalizer = normalizers.Replace("é", "e")
+    assert token_shards.letters_model(other) is None
+
+
+def test_words_part_from_their_marks():
+    ends = ["$$$", ".%%%", "!?", "'", "'s", ",'", "...", ");", "~`", "=\u0338", "<|", "-", "_", "\\", "\u2019,", "'.s"]
+    stems = ["abc", "Déjà", "x1", "it's", "a.b", "--", "É\u0301", "你好", "", "don"]
+    texts = [" ".join(s + e for e in ends) for s in stems] + [f"{s}{e}" for s in stems for e in ends]
+    encoder = token_shards.TextEncoder(TOKENIZER, 1)
+    others = []
+    encoder._encode_words = lambda words: others.extend(words) or token_shards.TextEncoder._encode_words(encoder, words)
+    assert encoder.parts
+    assert [list(map(int, ids)) for ids in encoder.encode(texts)] == whole_ids(texts)
+    assert not {b"abc$$$", b"abc.%%%", "déjà!?".encode(), b"x1);"} & set(others)
+
+
+def test_a_worker_keeps_its_encoder():
+    one = token_shards.worker_encoder(TOKENIZER, 1)
+    list(one.encode(["some words"]))
+    two = token_shards.worker_encoder(TOKENIZER, 1)
+    assert two is one and b"words" in two.table
+    assert [list(map(int, ids)) for ids in two.encode(["words, Some"])] == whole_ids(["words, Some"])
+    assert token_shards.worker_encoder(TOKENIZER, 2) is not one
+
+
 def test_added_tokens_as_in_the_library():
     from tokenizers import Tokenizer
 
