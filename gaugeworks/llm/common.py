@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,17 +75,47 @@ def in_few_parts(df: DataFrame, rows: int | None) -> DataFrame:
     return df.coalesce(max(PARTS_A_CORE * cores, -(-rows // ROWS_A_PART)))
 
 
-def written(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+def written(df: DataFrame, purpose: str, rows: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Cut lineage: write an intermediate to the shared folder as Parquet
     and read it back, so a lost executor costs no recomputation and the
     optimizer knows its size.  ``rows``, a bound on its number of rows,
-    limits the files (``in_few_parts``)."""
+    limits the files (``in_few_parts``); ``options`` are the writer's."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    in_few_parts(df, rows).write.parquet(path)
+    in_few_parts(df, rows).write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def wide_row_options(group_bytes: int, plain: tuple[str, ...] = ()) -> dict[str, str]:
+    """Writer options for rows of some MB: pages and row groups end by size
+    after any row.  Parquet looks at sizes only from the hundredth row on
+    otherwise, so a writer, and each reader, holds that many rows at once.
+    Columns in ``plain`` (values that never repeat) get no dictionary."""
+    return {
+        "parquet.block.size": str(group_bytes),
+        "parquet.block.size.row.check.min": "1",
+        "parquet.block.size.row.check.max": "1",
+        "parquet.page.size.row.check.min": "1",
+        "parquet.page.size.check.estimate": "false",
+    } | {f"parquet.enable.dictionary#{c}": "false" for c in plain}
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, max_bytes: int) -> Iterator[None]:
+    """Python workers get Arrow batches of about ``max_bytes`` at most in
+    what is executed inside (64 MB by default, held by both sides)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(max_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete the folder of an intermediate made by ``written``."""
     spark = df.sparkSession

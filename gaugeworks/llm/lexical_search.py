@@ -30,7 +30,10 @@ document that can be among the best is scored, and ties are kept to the end.
 Plan: one pass over texts (no shuffle), an aggregation of document counts by
 term, then scans of segments; a task sends on at most ``k`` rows a query, so
 no group grows with the table.  Queries are taken in blocks of a bounded
-number of terms; only the terms of one block reach the driver.
+number of terms; only the terms of one block reach the driver.  Memory of a
+task is that of a few segments, however many its partition has: a segment is
+bounded by text, postings and documents, its numbers are stored as narrow as
+they fit, row groups hold a few segments and Arrow batches a few MB.
 
 Defined cases: terms are maximal runs of ASCII letters and digits and of
 characters beyond ASCII, A-Z in lower case; a NULL or empty text has none and
@@ -53,7 +56,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_written, written
+from .common import arrow_batches, drop_written, wide_row_options, written
 
 #: Terms are maximal runs of these: ASCII letters, digits, all beyond ASCII.
 TERM_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -63,9 +66,13 @@ FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256)
 )
 
-#: A segment is closed at so many documents or postings.
+#: A segment is closed at so many documents, postings or bytes of text.
 SEGMENT_DOCS = 2048
 SEGMENT_POSTINGS = 1_000_000
+SEGMENT_BYTES = 8 << 20
+#: Bytes of a row group of segments, and of an Arrow batch to a worker.
+GROUP_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: One segment of so many sets the first bounds.
 SEED_SHARE = 16
 #: Distinct terms of a block of queries, on average.
@@ -90,6 +97,18 @@ def _bytes(values, kind) -> bytes:
     return np.ascontiguousarray(values, dtype=kind).tobytes()
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers of 0 or more, each in as few bytes as the largest needs."""
+    top = int(values.max(initial=0))
+    return _bytes(values, np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.int64)
+
+
+def _unpacked(buffer, n: int) -> np.ndarray:
+    """``n`` numbers, as ``_packed`` stored them."""
+    width = len(buffer) // n if n else 8
+    return np.frombuffer(buffer, dtype={1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.int64}[width])
+
+
 # --- index ---------------------------------------------------------------
 
 
@@ -108,7 +127,7 @@ class SegmentBuilder:
     def _clear(self):
         self.terms, self.ids, self.lengths = _Terms(), [], []
         self.numbers, self.tfs, self.sizes = [], [], []
-        self.postings = 0
+        self.postings = self.text_bytes = 0
 
     def add(self, doc_id: int | None, raw: bytes) -> None:
         found = raw.translate(FOLD).split()
@@ -121,9 +140,10 @@ class SegmentBuilder:
         self.tfs.append(np.fromiter(counts.values(), np.int64, len(counts)))
         self.sizes.append(len(counts))
         self.postings += len(counts)
+        self.text_bytes += len(raw)
 
     def full(self) -> bool:
-        return len(self.ids) >= SEGMENT_DOCS or self.postings >= SEGMENT_POSTINGS
+        return len(self.ids) >= SEGMENT_DOCS or self.postings >= SEGMENT_POSTINGS or self.text_bytes >= SEGMENT_BYTES
 
     def take(self, name: str) -> dict:
         numbers = np.concatenate(self.numbers)
@@ -142,6 +162,12 @@ class SegmentBuilder:
         return row
 
 
+def _stored(row: dict, schema: pa.Schema) -> pa.RecordBatch:
+    """A segment as a row of the table, its numbers packed."""
+    packed = {"docs": _packed(np.frombuffer(row["docs"], np.int32)), "tfs": _packed(np.frombuffer(row["tfs"], np.int64))}
+    return pa.RecordBatch.from_pylist([row | packed], schema=schema)
+
+
 @dataclass
 class LexicalIndex:
     """Segments (a table in the shared folder) and corpus counts."""
@@ -168,13 +194,15 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                     continue
                 now.add(doc_id.as_py(), text.as_buffer().to_pybytes())
                 if now.full():
-                    yield pa.RecordBatch.from_pylist([now.take(f"{part}-{count}")], schema=schema)
+                    yield _stored(now.take(f"{part}-{count}"), schema)
                     count += 1
         if now.ids:
-            yield pa.RecordBatch.from_pylist([now.take(f"{part}-{count}")], schema=schema)
+            yield _stored(now.take(f"{part}-{count}"), schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    segments = written(rows.mapInArrow(work, _SEGMENT), "segments")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        options = wide_row_options(GROUP_BYTES, ("docs", "tfs"))
+        segments = written(rows.mapInArrow(work, _SEGMENT), "segments", options=options)
     sums = segments.select(
         F.size("ids").cast("long").alias("n"), F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("l")
     )
@@ -261,8 +289,9 @@ def weigh(segment: dict, block: QueryBlock, n_docs: int, n_terms: int) -> dict |
     np.cumsum(sizes, out=ends[1:])
     # positions of the chosen lists, one behind the other
     pick = np.arange(ends[-1]) + np.repeat(starts[at[here]] - ends[:-1], sizes)
-    docs, tfs = docs[pick], tfs[pick]
-    impacts = np.repeat(weights[here], sizes) * (1_000_000_000 * tfs // (1000 * tfs + m20[docs]))
+    docs, tfs = docs[pick], tfs[pick].astype(np.int64)
+    gains = 1_000_000_000 * tfs // (1000 * tfs + m20[docs])  # at most a million
+    impacts = np.repeat(weights[here], sizes) * gains
     maxima = np.maximum.reduceat(impacts, ends[:-1])
 
     slot = {int(t): i for i, t in enumerate(here)}
@@ -293,8 +322,8 @@ def weigh(segment: dict, block: QueryBlock, n_docs: int, n_terms: int) -> dict |
         "terms": here.astype(np.int32),
         "starts": ends,
         "maxima": maxima,
-        "docs": _bytes(docs, np.int32),
-        "impacts": _bytes(impacts, np.int64),
+        "docs": _packed(docs),
+        "impacts": _packed(gains),  # their term's weight comes back in SegmentSearch
         "pairs": pairs,
         "pair_starts": pair_ends,
         "joint_maxima": joint_maxima,
@@ -324,9 +353,9 @@ def _weighed(index: LexicalIndex, block: QueryBlock) -> DataFrame:
                     "lengths": _array(batch, "lengths", r),
                     "terms": batch.column("terms")[r].values,
                     "holders": _array(batch, "holders", r),
-                    "docs": _buffer(batch, "docs", r, np.int32),
-                    "tfs": _buffer(batch, "tfs", r, np.int64),
                 }
+                postings = int(segment["holders"].sum())
+                segment |= {c: _unpacked(batch.column(c)[r].as_buffer(), postings) for c in ("docs", "tfs")}
                 row = weigh(segment, block, n_docs, n_terms)
                 if row is not None:
                     yield pa.RecordBatch.from_pylist([row], schema=schema)
@@ -345,9 +374,10 @@ class SegmentSearch:
         ids = batch.column("ids")[r].values
         self.no_id = ids.is_null().to_numpy(zero_copy_only=False)
         self.ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
-        docs, impacts = _buffer(batch, "docs", r, np.int32), _buffer(batch, "impacts", r, np.int64)
         ends = _array(batch, "starts", r)
         terms = _array(batch, "terms", r).tolist()
+        docs, gains = (_unpacked(batch.column(c)[r].as_buffer(), int(ends[-1])).astype(np.int64) for c in ("docs", "impacts"))
+        impacts = gains * np.repeat(np.array(block.weights, np.int64)[terms], np.diff(ends))
         self.lists = {t: (docs[ends[i] : ends[i + 1]], impacts[ends[i] : ends[i + 1]]) for i, t in enumerate(terms)}
         self.maxima = dict(zip(terms, _array(batch, "maxima", r).tolist()))
         pair_docs, joint = _buffer(batch, "pair_docs", r, np.int32), _buffer(batch, "joint_impacts", r, np.int64)
@@ -475,17 +505,19 @@ def search(
     spark = queries.sparkSession
     out = None
     for block in _blocks(index, queries, id_col, text_col):
-        weighed = written(_weighed(index, block), "weighed")
-        seed = F.pmod(F.xxhash64("segment"), F.lit(SEED_SHARE)) == 0
-        none = [0] * len(block.ids)
-        first = written(_ranked(_hits(weighed.where(seed), block, none, k), k), "hits")
-        least = list(none)
-        for r in first.where(F.col("rank") == k).collect():
-            least[r["query"]] = r["score"]
-        others = _hits(weighed.where(~seed), block, least, k)
-        best = _ranked(first.drop("rank").unionByName(others), k)
-        ids = spark.createDataFrame([(i, v) for i, v in enumerate(block.ids)], "query int, query_id bigint")
-        found = written(best.join(F.broadcast(ids), "query").select("query_id", "rank", "doc_id", "score"), "found")
+        with arrow_batches(spark, BATCH_BYTES):
+            options = wide_row_options(GROUP_BYTES, ("docs", "impacts", "pair_docs", "joint_impacts"))
+            weighed = written(_weighed(index, block), "weighed", options=options)
+            seed = F.pmod(F.xxhash64("segment"), F.lit(SEED_SHARE)) == 0
+            none = [0] * len(block.ids)
+            first = written(_ranked(_hits(weighed.where(seed), block, none, k), k), "hits")
+            least = list(none)
+            for r in first.where(F.col("rank") == k).collect():
+                least[r["query"]] = r["score"]
+            others = _hits(weighed.where(~seed), block, least, k)
+            best = _ranked(first.drop("rank").unionByName(others), k)
+            ids = spark.createDataFrame([(i, v) for i, v in enumerate(block.ids)], "query int, query_id bigint")
+            found = written(best.join(F.broadcast(ids), "query").select("query_id", "rank", "doc_id", "score"), "found")
         drop_written(weighed)
         drop_written(first)
         out = found if out is None else out.unionByName(found)

@@ -1,12 +1,15 @@
 """Ranked search against scoring every document for every query."""
 
 import math
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeworks.llm import lexical_search as ls
+from gaugeworks.llm.common import arrow_batches
 
 TERM = re.compile(ls.TERM_PATTERN)
 FOLD = str.maketrans(ls.UPPER, ls.LOWER)
@@ -123,3 +126,50 @@ def test_pair_bounds_open_fewer_lists_and_lose_nothing():
         assert dict(zip(ids.tolist(), scores.tolist())) == {i: s for i, s in every.items() if s >= least}
     assert len(search.best(0, max(every.values()) + 1)[0]) == 0
     assert search.opened <= search.opened_alone
+
+
+def test_memory_of_a_task_does_not_grow_with_its_partition(spark):
+    """One partition of long texts of new words: rows and row groups stay
+    bounded (one of each held all of it), and the ranking is whole."""
+    import pyarrow.parquet as pq
+
+    draw = random.Random(5)
+    words = [[f"{draw.getrandbits(256):064x}" for _ in range(4000)] for _ in range(96)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(words)]
+    queries = [(i, " ".join(words[i][7:12] + words[i + 1][:2])) for i in range(0, 90, 9)]
+    d, q = frames(spark, docs, queries)
+    index = ls.build_index(d.coalesce(1))
+    text = max(len(t) for _, t in docs)
+    sizes = [r.n for r in index.segments.select(F.aggregate("terms", F.lit(0), lambda a, t: a + F.length(t)).alias("n")).collect()]
+    assert sum(sizes) == 96 * 4000 * 64
+    assert max(sizes) <= ls.SEGMENT_BYTES + text
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in index.segments.inputFiles()]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert len(groups) >= 2 and all(g.num_rows * max(sizes) <= 2 * (ls.GROUP_BYTES + max(sizes)) for g in groups)
+    assert found(index, q, k=3) == brute_force(docs, queries, 3)
+    index.drop()
+
+
+def test_workers_get_small_batches(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.nbytes], pa.int64())})
+
+    rows = spark.range(2000, numPartitions=1).select(F.expr("repeat('word ', 2000)").alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    with arrow_batches(spark, ls.BATCH_BYTES):
+        got = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) >= 2000 * 10_000 and max(got) <= 1.25 * ls.BATCH_BYTES
+    assert spark.conf.get(key, None) == before
+
+
+def test_packed_numbers_come_back():
+    import numpy as np
+
+    for top in (0, 255, 256, 65_535, 65_536, (1 << 32) - 1, 1 << 32):
+        values = np.array([0, top, top // 2], np.int64)
+        assert ls._unpacked(ls._packed(values), 3).tolist() == values.tolist()
+    assert len(ls._unpacked(ls._packed(np.zeros(0, np.int64)), 0)) == 0
